@@ -25,6 +25,7 @@ import pyarrow.compute
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetmetrics.llm.shared import slices
 
@@ -245,4 +246,4 @@ def decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids") -> DataFra
     A column ``decoded`` that is already there is replaced.
     """
     rows = encoded.select(*[c for c in encoded.columns if c not in (ids_col, "decoded")], F.col(ids_col).cast("array<int>").alias(ids_col))
-    return rows.mapInArrow(_decoded(vocabulary), rows.schema.add("decoded", "string"))
+    return rows.mapInArrow(_decoded(vocabulary), T.StructType([*rows.schema.fields, T.StructField("decoded", T.StringType())]))
