@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmetrics.llm import bpe, jaccard, packing, topk
+from fleetmetrics.llm import bpe, jaccard, packing, pii, secrets, topk
 from fleetmetrics.llm.shared import table
 
 
@@ -32,6 +32,20 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def _digest(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{k}") for k in kinds]
+    return found.select("doc_id", *counts, F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _digest(pii.find_pii(table(spark, sf_dir, "documents")), pii.KINDS)
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _digest(secrets.find_secrets(table(spark, sf_dir, "documents")), secrets.KINDS)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
