@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmetrics.llm import bpe, jaccard, packing, pii, secrets, topk
+from fleetmetrics.llm import bpe, jaccard, media, packing, pii, secrets, topk
 from fleetmetrics.llm.shared import table
 
 
@@ -17,6 +17,21 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"), 10)
 
 
+def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = media.read_media(media.store_texts(table(spark, sf_dir, "documents")))
+    return read.select(
+        "doc_id",
+        "n_bytes",
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_sha256"),
+        F.crc32(F.expr("substring(payload, -32, 32)")).alias("tail_crc32"),
+        F.octet_length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"),
+        "feature",
+        F.size("clips").alias("n_clips"),
+    )
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)

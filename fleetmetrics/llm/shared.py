@@ -73,6 +73,22 @@ def buffers(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+class Remembered(dict):
+    """What ``make`` gives for a key, for the keys met lately: two generations of ``size`` entries at most."""
+
+    def __init__(self, make, size: int) -> None:
+        self.make, self.size, self.older = make, size, {}
+
+    def __missing__(self, key: str) -> bytes:
+        if (found := self.older.get(key)) is None:
+            found = self.make(key)
+        if len(self) >= self.size:
+            self.older = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+
 # A random odd multiplier, and a table of byte values from a seeded generator.
 _R = 0x9E3779B97F4A7C15
 _BYTE_VALUE = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=np.uint64) * U(2) + U(1)

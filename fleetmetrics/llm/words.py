@@ -1,49 +1,93 @@
 """Tokens of a lower-casing word-end BPE vocabulary, word by word.
 
 White space never survives into a token, so a text's ids are those of its space-free chunks, one after another. Each
-task keeps the ids of the chunks it has met (a bounded number) and asks the vocabulary for new ones only.
+task remembers the ids of the chunks and of the pieces of chunks that it has met, in two generations of bounded size:
+when the younger is full it becomes the older, so that what occurs often stays. Texts with characters on which
+libraries differ about white space, or with the names of special tokens, go to the tokenizers library whole; so do
+chunks beyond Latin letters, on which Unicode versions may differ.
 """
 
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
+import unicodedata
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
 
 import numpy as np
+import regex
 from tokenizers import Tokenizer
 
-CACHED = 200_000
-#: Characters on which Python and the vocabulary's pattern differ about white space, and starts of its special tokens.
-_UNUSUAL = re.compile("[\x1c-\x1f\x85\u180e\u200b-\u200d\u2060\ufeff\u03a3]|<\\|")
+from fleetmetrics.llm.bpe import _byte_letters
+from fleetmetrics.llm.shared import Remembered
+
+#: Entries of one generation: about 200 bytes each.
+PIECES_KEPT, CHUNKS_KEPT = 400_000, 150_000
+#: The vocabulary's pattern (fixed value).
+PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+_SPACES = re.compile("[\x1c-\x1f\x85\u180e]")  # not white space to all
+_LATIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+")
 
 
 class WordTokenizer:
     def __init__(self, path: str) -> None:
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_padding()
-        self.tokenizer.no_truncation()
-        self.known: dict[str, bytes] = {}
+        self.library = Tokenizer.from_file(path)
+        self.library.no_padding()
+        self.library.no_truncation()
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        self.end = model["end_of_word_suffix"]
+        vocabulary = model["vocab"]
+        pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        # (left id, right id) as one number -> (rank, merged id) as one number
+        self.merges = {vocabulary[u] << 20 | vocabulary[v]: k << 20 | vocabulary[u + v] for k, (u, v) in enumerate(pairs)}
+        letter = {b: c for c, b in _byte_letters().items()}
+        self.first = [vocabulary[letter[b]] for b in range(256)]
+        self.last = [vocabulary[letter[b] + self.end] for b in range(256)]
+        self.pieces, self.chunks = Remembered(self._piece, PIECES_KEPT), Remembered(self._chunk, CHUNKS_KEPT)
 
     @staticmethod
     @functools.lru_cache(2)
     def at(path: str) -> WordTokenizer:
         return WordTokenizer(path)
 
+    def _piece(self, piece: str) -> bytes:
+        """Ids of one piece: of the pairs of least rank, the first is merged, until none is left. Long pieces are left to the library."""
+        if len(piece) > 64:
+            return np.array(self.library.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+        data = piece.encode()
+        parts = list(map(self.first.__getitem__, data))
+        parts[-1] = self.last[data[-1]]
+        merged, none = self.merges.get, 1 << 60
+        found = [merged(u << 20 | v, none) for u, v in zip(parts, parts[1:])]  # noqa: B905
+        while found and (low := min(found)) < none:
+            i = found.index(low)
+            parts[i] = low & 0xFFFFF
+            del parts[i + 1], found[i]
+            if i < len(found):
+                found[i] = merged(parts[i] << 20 | parts[i + 1], none)
+            if i:
+                found[i - 1] = merged(parts[i - 1] << 20 | parts[i], none)
+        return np.array(parts, "<u4").tobytes()
+
+    def _chunk(self, chunk: str) -> bytes:
+        if chunk.isascii():
+            low = chunk.lower()
+            if low.isalpha():
+                return self.pieces[low]
+            if low[:-1].isalpha() and low[-1] in ",.":
+                return self.pieces[low[:-1]] + self.pieces[low[-1]]
+        elif not _LATIN.fullmatch(chunk):
+            return np.array(self.library.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        else:
+            low = unicodedata.normalize("NFC", chunk).lower()
+        return b"".join(map(self.pieces.__getitem__, PIECES.findall(low)))
+
     def encode(self, text: str) -> bytes:
         """Little-endian 32-bit ids of a whole text."""
-        if _UNUSUAL.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        chunks, known = text.split(), self.known
-        try:
-            return b"".join(map(known.__getitem__, chunks))
-        except KeyError:
-            new = list({c for c in chunks if c not in known})
-            if len(known) + len(new) > CACHED:
-                known.clear()
-                new = list(set(chunks))
-            for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                known[c] = np.array(e.ids, "<u4").tobytes()
-            return b"".join(map(known.__getitem__, chunks))
+        if "<|" in text or _SPACES.search(text):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return b"".join(map(self.chunks.__getitem__, text.split()))
