@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmetrics.llm import bpe, jaccard, media, packing, pii, secrets, topk
+from fleetmetrics.llm import backoff, bpe, jaccard, media, packing, pii, quality, secrets, topk, warc
 from fleetmetrics.llm.shared import table
 
 
@@ -47,6 +47,11 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = warc.records(table(spark, sf_dir, "pages"))
+    return warc.audit(warc.leaves(archive), warc.leaves(warc.damaged(archive)))
+
+
 def _digest(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
     base = F.filter("spans", lambda s: s["base"])
     counts = [F.size(F.filter("spans", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{k}") for k in kinds]
@@ -65,11 +70,45 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op10_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff.backoff_scores(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
-ORACLE = {}
+ORACLE = {
+    "op1_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS vec
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.vec, c.vec) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank" FROM s)
+SELECT query_id, "rank", vec_id, score FROM r WHERE "rank" <= 10""",
+    "op5_warc_fixity": r"""
+WITH c AS (
+  SELECT page_id AS record_id, CAST(floor(page_id / 1024) AS BIGINT) AS file,
+    'WARC/1.1' || e || 'WARC-Type: response' || e || 'WARC-Record-ID: <urn:page:' || page_id || '>' || e
+    || 'WARC-Target-URI: ' || coalesce(url, '') || e || 'Content-Type: text/html' || e || 'Content-Length: '
+    || strlen(coalesce(html, '')) || e || e || coalesce(html, '') || e || chr(13) AS most
+  FROM pages, (SELECT chr(13) || chr(10) AS e) WHERE page_id IS NOT NULL),
+p AS (
+  SELECT record_id, file, CAST(row_number() OVER w - 1 AS BIGINT) AS number,
+    CAST(coalesce(sum(strlen(most) + 1) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start,
+    CAST(strlen(most) + 1 AS BIGINT) AS length, sha256(most || chr(10)) AS expected, sha256(most || ' ') AS found, 'changed' AS fault
+  FROM c WINDOW w AS (PARTITION BY file ORDER BY record_id))
+SELECT * FROM p WHERE md5(CAST(record_id AS VARCHAR)) LIKE '00%'""",
+}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -74,19 +74,23 @@ def buffers(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Remembered(dict):
-    """What ``make`` gives for a key, for the keys met lately: two generations of ``size`` entries at most."""
+    """Results for the keys met lately: two generations of about ``size`` entries; what is asked for again stays."""
 
-    def __init__(self, make, size: int) -> None:
-        self.make, self.size, self.older = make, size, {}
+    def __init__(self, size: int) -> None:
+        self.size, self.older = size, {}
 
-    def __missing__(self, key: str) -> bytes:
-        if (found := self.older.get(key)) is None:
-            found = self.make(key)
-        if len(self) >= self.size:
+    def fill(self, found: dict[str, bytes]) -> None:
+        if len(self) + len(found) > self.size:
             self.older = dict(self)
             self.clear()
-        self[key] = found
-        return found
+        self.update(found)
+
+    def known(self, keys: set[str]) -> dict[str, bytes]:
+        """What is remembered of ``keys``."""
+        found = {k: self[k] for k in keys.intersection(self)}
+        older = {k: self.older[k] for k in keys.difference(found).intersection(self.older)}
+        self.update(older)
+        return found | older
 
 
 # A random odd multiplier, and a table of byte values from a seeded generator.
