@@ -18,6 +18,7 @@ import functools
 import heapq
 import json
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,13 +28,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetmetrics.llm.shared import slices
+from fleetmetrics.llm.merging import LONGEST, PairTable, merge_all
+from fleetmetrics.llm.shared import Remembered, slices
 
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 3_000_000
 CHUNK_CHARS = 1 << 16
-CACHED = 250_000
+#: Pieces of one generation that a task remembers: about 200 bytes each.
+KEPT = 160_000
 #: The vocabulary's pattern (fixed value), and what continues a piece of each kind.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_RARE_SPACE = regex.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _KINDS = (r"\p{L}+", r"\p{N}+", r"[^\s\p{L}\p{N}]+", r"\s+")
 
 
@@ -44,17 +48,36 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-class Merges:
-    """A merge list over byte strings: ranks, ids, and the lookahead that makes a token final."""
+class Vocabulary:
+    """Bytes of each id."""
 
     def __init__(self, path: str) -> None:
+        self._load(path)
+
+    @staticmethod
+    @functools.lru_cache(2)
+    def at(path: str) -> Vocabulary:
+        return Vocabulary(path)
+
+    def _load(self, path: str) -> dict:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         letter = _byte_letters()
         raw = lambda s: bytes(letter[c] for c in s)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.ids = {raw(s): i for s, i in spec["model"]["vocab"].items() if s not in self.special}
-        pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
+        self.bytes_of = {i: b for b, i in self.ids.items()} | {i: s.encode() for s, i in self.special.items()}
+        return spec["model"]
+
+
+class Merges(Vocabulary):
+    """A merge list over byte strings: ranks, ids, and the lookahead that makes a token final."""
+
+    def __init__(self, path: str) -> None:
+        merges = self._load(path)["merges"]
+        letter = _byte_letters()
+        raw = lambda s: bytes(letter[c] for c in s)
+        pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in merges]
         self.rules = [(raw(u), raw(v)) for u, v in pairs]
         self.rank = {pair: k for k, pair in enumerate(self.rules)}
         self.made = {u + v: k for k, (u, v) in reversed(list(enumerate(self.rules)))}
@@ -62,7 +85,10 @@ class Merges:
             if any(len(x) > 1 and self.made.get(x, k) >= k for x in (u, v)):
                 raise ValueError(f"merge {k} has a part that no earlier merge makes")
         self.lookahead = self._lookahead()
-        self.bytes_of = {i: b for b, i in self.ids.items()} | {i: s.encode() for s, i in self.special.items()}
+        # (left id, right id) as one number -> (rank, merged id) as one number
+        self.table = PairTable({self.ids[u] << 20 | self.ids[v]: k << 20 | self.ids[u + v] for k, (u, v) in enumerate(self.rules)})
+        self.first = [self.ids[bytes([b])] for b in range(256)]
+        self.code = {t: np.uint32(i).tobytes() for t, i in self.ids.items()}
 
     def _lookahead(self) -> int:
         longest: dict[bytes, int] = {}  # left part -> longest chain that ends with one of its rules so far
@@ -76,19 +102,12 @@ class Merges:
             longest[u] = max(longest.get(u, 0), len(u) + reach)
         return max(longest.values(), default=0)
 
+    def codes(self, tokens: list[bytes]) -> bytes:
+        return b"".join(map(self.code.__getitem__, tokens))
+
     def merge(self, data: bytes) -> list[bytes]:
-        """Tokens of one piece: always the first of the pairs of least rank is merged. A heap keeps long pieces near-linear."""
+        """Tokens of a piece of any length, by the same rule; a heap keeps long pieces near-linear."""
         rank = self.rank
-        if len(data) <= 32:
-            parts = [data[i : i + 1] for i in range(len(data))]
-            while len(parts) > 1:
-                found = [rank.get(p, 1 << 30) for p in zip(parts, parts[1:])]  # noqa: B905
-                low = min(found)
-                if low == 1 << 30:
-                    break
-                i = found.index(low)
-                parts[i : i + 2] = [parts[i] + parts[i + 1]]
-            return parts
         token: list[bytes | None] = [data[i : i + 1] for i in range(len(data))]
         after, before = list(range(1, len(data) + 1)), list(range(-1, len(data) - 1))
         heap = [(rank[p], i) for i in range(len(data) - 1) if (p := (token[i], token[i + 1])) in rank]
@@ -109,28 +128,11 @@ class Merges:
         return [t for t in token if t is not None]
 
 
-class _Known(dict):
-    """Ids of the pieces met so far, as little-endian 32-bit numbers; a bounded number of them."""
-
-    def __init__(self, merges: Merges) -> None:
-        self.merges = merges
-        self.code = {t: np.uint32(i).tobytes() for t, i in merges.ids.items()}
-
-    def codes(self, tokens: list[bytes]) -> bytes:
-        return b"".join(map(self.code.__getitem__, tokens))
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHED:
-            self.clear()
-        found = self[piece] = self.codes(self.merges.merge(piece.encode()))
-        return found
-
-
 class Encoder:
     """Text in chunks of any size -> ids, as soon as they are final (runs of little-endian 32-bit numbers)."""
 
     def __init__(self, merges: Merges) -> None:
-        self.m, self.known = merges, _Known(merges)
+        self.m, self.known, self.chunks = merges, Remembered(KEPT), Remembered(KEPT // 2)
         self.pieces = regex.compile(PATTERN)
         self.kinds = [regex.compile(k) for k in _KINDS]
         self.window = 4 * merges.lookahead + 64
@@ -152,7 +154,7 @@ class Encoder:
             while kept < len(tokens) and at + len(tokens[kept]) <= end:
                 at += len(tokens[kept])
                 kept += 1
-            yield self.known.codes(tokens[:kept])
+            yield self.m.codes(tokens[:kept])
             self.open = self.open[at:]
 
     def feed(self, text: str, last: bool = False) -> list[bytes]:
@@ -176,7 +178,7 @@ class Encoder:
             self.tail = found.pop()
             if self.tail in ("l", "r", "v") and found and found[-1] == "'":
                 self.tail = found.pop() + self.tail
-        out += map(self.known.__getitem__, found)
+        out += [self.m.codes(self.m.merge(p.encode())) for p in found]
         if len(self.tail) > self.window:
             self.kind = next(k for k in (3, 0, 1, 2) if self.kinds[k].fullmatch(self.tail[-1]))
             whole, self.tail = self.tail, self.tail[-1] if self.kind == 3 else ""
@@ -186,15 +188,43 @@ class Encoder:
     def encode(self, text: str, chunk: int = CHUNK_CHARS) -> bytes:
         """Ids of a whole text, in which the vocabulary's special tokens stand for themselves."""
         out: list[bytes] = []
-        for name, i in self.m.special.items():  # the vocabulary has one
-            parts = text.split(name)
-            for k, part in enumerate(parts):
-                for at in range(0, len(part), chunk):
-                    out += self.feed(part[at : at + chunk], at + chunk >= len(part))
-                if k + 1 < len(parts):
-                    out.append(np.uint32(i).tobytes())
-            return b"".join(out)
-        raise ValueError("a vocabulary with one special token is expected")
+        (name, special), *others = self.m.special.items()
+        if others:
+            raise ValueError("a vocabulary with one special token is expected")
+        for k, part in enumerate(text.split(name)):
+            if k:
+                out.append(np.uint32(special).tobytes())
+            for at in range(0, len(part), chunk):
+                out += self.feed(part[at : at + chunk], at + chunk >= len(part))
+        return b"".join(out)
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """Ids of many texts. A space before a letter or sign starts a piece, so plain texts are put together from the
+        ids of what lies between spaces; the pieces of what was not met before are merged in step first."""
+        plain = [len(t) <= CHUNK_CHARS and not ("<|" in t or "  " in t or " \n" in t or " \r" in t or " \t" in t or t[-1:] == " " or _RARE_SPACE.search(t)) for t in texts]
+        split = [t.split(" ") if p else [] for t, p in zip(texts, plain, strict=True)]
+        find = self.pieces.findall
+        met = set().union(*(w[1:] for w in split))
+        ids = self.chunks.known(met)
+        cuts = {c: find(" " + c) for c in met.difference(ids)}
+        met = set(chain.from_iterable(cuts.values()))
+        piece_ids = self.known.known(met)
+        new: dict[str, bytes] = {}
+        short, data = [], []
+        for p in met.difference(piece_ids):
+            b = p.encode()
+            if len(b) <= LONGEST:
+                short.append(p)
+                data.append(b)
+            else:
+                new[p] = b"".join(self.feed(p, True))
+        new.update(zip(short, merge_all(data, self.m.table, self.m.first), strict=True))
+        self.known.fill(new)
+        of = (piece_ids | new).__getitem__
+        fresh = {c: of(cut[0]) if len(cut) == 1 else b"".join(map(of, cut)) for c, cut in cuts.items()}
+        self.chunks.fill(fresh)
+        of = (ids | fresh).__getitem__
+        return [b"".join([*self.feed(w[0], True), *map(of, w[1:])]) if p else self.encode(t) for t, p, w in zip(texts, plain, split, strict=True)]
 
 
 def _encoded(vocabulary: str):
@@ -202,7 +232,7 @@ def _encoded(vocabulary: str):
         encoder = Encoder.at(vocabulary)
         for batch in batches:
             for part in slices(batch, batch.num_columns - 1, SLICE_BYTES):
-                ids = [encoder.encode(text or "") for text in part.column(part.num_columns - 1).to_pylist()]
+                ids = encoder.encode_many([text or "" for text in part.column(part.num_columns - 1).to_pylist()])
                 offsets = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
                 column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), np.int32)))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], column], [*part.schema.names[:-1], "ids"])
@@ -212,7 +242,7 @@ def _encoded(vocabulary: str):
 
 def _decoded(vocabulary: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bytes_of = Encoder.at(vocabulary).m.bytes_of
+        bytes_of = Vocabulary.at(vocabulary).bytes_of
         for batch in batches:
             ids = batch.column(batch.num_columns - 1)
             sizes = np.cumsum([0, *pa.compute.fill_null(ids.value_lengths(), 0).to_pylist()])

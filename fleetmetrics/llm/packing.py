@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from fleetmetrics.llm.shared import slices
 from fleetmetrics.llm.words import WordTokenizer
 
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 12_000_000
 MOST_OPEN = 1024
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -29,7 +29,7 @@ class Packer:
 
     def __init__(self, size: int, first_id: int) -> None:
         self.size, self.next_id = size, first_id
-        self.count = np.zeros(size + 1, np.int64)  # N(h)
+        self.count, self.open = np.zeros(size + 1, np.int64), 0  # N(h), and their sum
         self.at: dict[int, list[list[tuple]]] = {}  # level -> open windows, each a list of pieces
         self.rows: list[tuple] = []
 
@@ -44,25 +44,28 @@ class Packer:
 
     def _place(self, piece: tuple, s: int) -> None:
         n, last = self.count, self.size - s
-        # Growth of the sum of squares, halved and shifted: N(h + s) - N(h); a new window counts N(s) + 1/2, a full one -N(h) - 1/2.
-        growth = (n[s + 1 : self.size] - n[1:last]).astype(float) + 1
-        growth[n[1:last] == 0] = np.inf
+        # Growth of the sum of squares, halved: N(h + s) - N(h) + 1; N(s) + 1/2 for a new window, 1/2 - N(h) for one filled up.
         best, h = float(n[s]) + 0.5, 0
-        if len(growth) and growth[k := int(growth.argmin())] < best:
-            best, h = growth[k], k + 1
+        levels = np.flatnonzero(n[1:last]) + 1
+        if len(levels):
+            growth = n[levels + s] - n[levels] + 1
+            if growth[k := int(growth.argmin())] < best:
+                best, h = float(growth[k]), int(levels[k])
         if n[last] and 0.5 - n[last] <= best:
             h = last
         pieces = []
         if h:
             pieces = self.at[h].pop()
             n[h] -= 1
+            self.open -= 1
         pieces.append(piece)
         if h + s == self.size:
             self._close(pieces)
         else:
             self.at.setdefault(h + s, []).append(pieces)
             n[h + s] += 1
-            if n.sum() > MOST_OPEN:
+            self.open += 1
+            if self.open > MOST_OPEN:
                 self.join_open()
 
     def _close(self, pieces: list[tuple]) -> None:
@@ -76,7 +79,7 @@ class Packer:
         """Fill the fullest open windows with cuts of the emptiest; one window stays partly filled at most."""
         open_ = [w for h in sorted(self.at, reverse=True) for w in self.at[h]]
         self.at.clear()
-        self.count[:] = 0
+        self.count[:], self.open = 0, 0
         low = len(open_) - 1
         for k, window in enumerate(open_):
             if k > low:
@@ -108,8 +111,9 @@ def _packed(vocabulary: str, size: int, end_id: int):
 
         for batch in batches:
             for part in slices(batch, 1, SLICE_BYTES):
-                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    packer.add(doc_id, tokenizer.encode(text or "") + end)
+                coded = tokenizer.encode_many([text or "" for text in part.column(1).to_pylist()])
+                for doc_id, ids in zip(part.column(0).to_pylist(), coded, strict=True):
+                    packer.add(doc_id, ids + end)
                 yield out()
         packer.join_open()
         yield out()

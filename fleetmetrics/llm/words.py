@@ -13,7 +13,7 @@ import functools
 import json
 import os
 import re
-import unicodedata
+from itertools import chain
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
 
@@ -22,10 +22,11 @@ import regex
 from tokenizers import Tokenizer
 
 from fleetmetrics.llm.bpe import _byte_letters
+from fleetmetrics.llm.merging import LONGEST, PairTable, merge_all
 from fleetmetrics.llm.shared import Remembered
 
 #: Entries of one generation: about 200 bytes each.
-PIECES_KEPT, CHUNKS_KEPT = 400_000, 150_000
+PIECES_KEPT, CHUNKS_KEPT = 600_000, 300_000
 #: The vocabulary's pattern (fixed value).
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 _SPACES = re.compile("[\x1c-\x1f\x85\u180e]")  # not white space to all
@@ -43,51 +44,55 @@ class WordTokenizer:
         vocabulary = model["vocab"]
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         # (left id, right id) as one number -> (rank, merged id) as one number
-        self.merges = {vocabulary[u] << 20 | vocabulary[v]: k << 20 | vocabulary[u + v] for k, (u, v) in enumerate(pairs)}
+        self.table = PairTable({vocabulary[u] << 20 | vocabulary[v]: k << 20 | vocabulary[u + v] for k, (u, v) in enumerate(pairs)})
         letter = {b: c for c, b in _byte_letters().items()}
         self.first = [vocabulary[letter[b]] for b in range(256)]
         self.last = [vocabulary[letter[b] + self.end] for b in range(256)]
-        self.pieces, self.chunks = Remembered(self._piece, PIECES_KEPT), Remembered(self._chunk, CHUNKS_KEPT)
+        self.pieces, self.chunks = Remembered(PIECES_KEPT), Remembered(CHUNKS_KEPT)
 
     @staticmethod
     @functools.lru_cache(2)
     def at(path: str) -> WordTokenizer:
         return WordTokenizer(path)
 
-    def _piece(self, piece: str) -> bytes:
-        """Ids of one piece: of the pairs of least rank, the first is merged, until none is left. Long pieces are left to the library."""
-        if len(piece) > 64:
-            return np.array(self.library.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
-        data = piece.encode()
-        parts = list(map(self.first.__getitem__, data))
-        parts[-1] = self.last[data[-1]]
-        merged, none = self.merges.get, 1 << 60
-        found = [merged(u << 20 | v, none) for u, v in zip(parts, parts[1:])]  # noqa: B905
-        while found and (low := min(found)) < none:
-            i = found.index(low)
-            parts[i] = low & 0xFFFFF
-            del parts[i + 1], found[i]
-            if i < len(found):
-                found[i] = merged(parts[i] << 20 | parts[i + 1], none)
-            if i:
-                found[i - 1] = merged(parts[i - 1] << 20 | parts[i], none)
-        return np.array(parts, "<u4").tobytes()
+    def _library(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _chunk(self, chunk: str) -> bytes:
-        if chunk.isascii():
-            low = chunk.lower()
-            if low.isalpha():
-                return self.pieces[low]
-            if low[:-1].isalpha() and low[-1] in ",.":
-                return self.pieces[low[:-1]] + self.pieces[low[-1]]
-        elif not _LATIN.fullmatch(chunk):
-            return np.array(self.library.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-        else:
-            low = unicodedata.normalize("NFC", chunk).lower()
-        return b"".join(map(self.pieces.__getitem__, PIECES.findall(low)))
+    @staticmethod
+    def _cut(chunk: str) -> list[str]:
+        """Pieces of a chunk; of one that is left to the library, itself."""
+        if not chunk.isascii() and not _LATIN.fullmatch(chunk):
+            return [chunk]
+        low = chunk.lower()
+        if low.isalpha():
+            return [low]
+        word, mark = low[:-1], low[-1]
+        return [word, mark] if word.isalpha() and (mark == "," or mark == ".") else PIECES.findall(low)
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of whole texts; pieces not met before are merged in step."""
+        split = [None if "<|" in t or _SPACES.search(t) else t.split() for t in texts]
+        met = set().union(*(words for words in split if words))
+        ids = self.chunks.known(met)
+        cuts = {c: self._cut(c) for c in met.difference(ids)}
+        met = set(chain.from_iterable(cuts.values()))
+        piece_ids = self.pieces.known(met)
+        new: dict[str, bytes] = {}
+        short, data = [], []
+        for p in met.difference(piece_ids):
+            b = p.encode()
+            if len(b) <= LONGEST and (len(b) == len(p) or _LATIN.fullmatch(p)):
+                short.append(p)
+                data.append(b)
+            else:
+                new[p] = self._library(p)
+        new.update(zip(short, merge_all(data, self.table, self.first, self.last), strict=True))
+        self.pieces.fill(new)
+        of = (piece_ids | new).__getitem__
+        fresh = {c: of(cut[0]) if len(cut) == 1 else b"".join(map(of, cut)) for c, cut in cuts.items()}
+        self.chunks.fill(fresh)
+        of = (ids | fresh).__getitem__
+        return [self._library(t) if words is None else b"".join(map(of, words)) for t, words in zip(texts, split, strict=True)]
 
     def encode(self, text: str) -> bytes:
-        """Little-endian 32-bit ids of a whole text."""
-        if "<|" in text or _SPACES.search(text):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join(map(self.chunks.__getitem__, text.split()))
+        return self.encode_many([text])[0]
