@@ -45,6 +45,10 @@ def _gram_sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
         yield np.unique(gram_hashes(words[a:b], min(n, int(b - a)))) if b > a else words[:0]
 
 
+def _key(content: bytes) -> bytes:
+    return hashlib.blake2b(content, digest_size=16).digest()
+
+
 def _permutations(count: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(7)
     return rng.integers(0, 1 << 31, (count, 1), dtype=np.uint32) * np.uint32(2) + np.uint32(1), rng.integers(0, 1 << 32, (count, 1), dtype=np.uint32)
@@ -60,7 +64,7 @@ def _signatures(n: int, bands: int, rows: int):
                 data, at = buffers(part.column(1))
                 for i, grams in enumerate(_gram_sets(part.column(1), n)):
                     content = grams.tobytes() if len(grams) else b"\0" + data[at[i] : at[i + 1]].tobytes()
-                    keys.append(hashlib.blake2b(content, digest_size=16).digest())
+                    keys.append(_key(content))
                     sizes.append(len(grams))
                     if not len(grams):
                         sigs.append(None)
@@ -187,8 +191,9 @@ def _with_grams(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1, SLICE_BYTES):
-                grams = pa.array([g.tobytes() for g in _gram_sets(part.column(1), n)], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(0), *part.columns[2:], grams], ["node", "copies", "cluster", "blocks", "grams"])
+                grams = [g.tobytes() for g in _gram_sets(part.column(1), n)]
+                own = pa.array([_key(g) == k for g, k in zip(grams, part.column(2).to_pylist(), strict=True)])  # an id may have other texts too
+                yield pa.RecordBatch.from_arrays([part.column(0), *part.columns[3:], pa.array(grams, pa.binary())], ["node", "copies", "cluster", "blocks", "grams"]).filter(own)
 
     return run
 
@@ -215,7 +220,11 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
 def _verified(similarity: float):
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         node, copies, block = (rows.column(c).to_numpy() for c in ("node", "copies", "block"))
-        sets = [np.frombuffer(g, np.uint64) for g in rows.column("grams").to_pylist()]
+        grams = rows.column("grams").to_pylist()
+        _, once = np.unique(np.array([hash((int(i), g)) for i, g in zip(node, grams, strict=True)]), return_index=True)  # repeated rows
+        once.sort()
+        rows, node, copies, block = rows.take(pa.array(once)), node[once], copies[once], block[once]
+        sets = [np.frombuffer(grams[i], np.uint64) for i in once]
         lo, hi = key[1].as_py(), key[2].as_py()
         a, b = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
         links, left, right = np.zeros(len(node), np.int64), [], []
@@ -245,8 +254,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes are the connected components of links. ``recall`` is the least chance that a pair right at ``similarity``
     shares a band; every pair of a candidate cluster is then compared on full gram sets. Words as in ``word_hashes``.
     A text of fewer than ``n`` words has one gram. Texts without a word, null and empty ones among them, are linked with
-    equal texts only (null is empty). Repeated rows count as documents of their own, linked with each other. Rows
-    without an id are returned with a null class and no links. Other columns are ignored; an empty table gives no rows.
+    equal texts only (null is empty). Repeated rows count as documents of their own, linked with each other; rows of
+    one id with different texts share their class and links. Rows without an id are returned with a null class and no links. Other columns are ignored; an empty table gives no rows.
     """
     bands, rows = choose_bands(similarity, recall)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -255,10 +264,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = reps.where("bands is not null").select("node", "bands").mapInArrow(_within_batch, "bucket long, doc long, least long")
     dealt = buckets.repartition(F.coalesce("bucket", "doc")).sortWithinPartitions("bucket")
     cluster = connected_components(dealt.mapInArrow(_chained, "u long, v long"), "candidates")
-    members = materialise(reps.select("node", "copies", "grams").join(cluster.withColumnRenamed("component", "cluster"), "node"), "members")
+    members = materialise(reps.select("node", "key", "copies", "grams").join(cluster.withColumnRenamed("component", "cluster"), "node"), "members")
     sizes = members.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("grams") / BLOCK_GRAMS)).alias("blocks")).where("blocks > 1")
-    members = members.join(_sized(materialise(sizes, "large")), "cluster", "left").select(F.col("node").alias("doc_id"), "copies", "cluster", F.coalesce("blocks", F.lit(1)).cast("long").alias("blocks"))
-    full = docs.join(members, "doc_id").select("doc_id", "text", "copies", "cluster", "blocks").mapInArrow(_with_grams(n), "node long, copies long, cluster long, blocks long, grams binary")
+    members = members.join(_sized(materialise(sizes, "large")), "cluster", "left").select(F.col("node").alias("doc_id"), "key", "copies", "cluster", F.coalesce("blocks", F.lit(1)).cast("long").alias("blocks"))
+    full = docs.join(members, "doc_id").select("doc_id", "text", "key", "copies", "cluster", "blocks").mapInArrow(_with_grams(n), "node long, copies long, cluster long, blocks long, grams binary")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
     dealt = full.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).select("*", other).select("node", "copies", "cluster", "blocks", "block", "grams", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
     checked = materialise(dealt.groupBy("cluster", "lo", "hi").applyInArrow(_verified(similarity), "node long, root long, links long, blocks long"), "verified")
