@@ -31,10 +31,10 @@ from pyspark.sql import types as T
 from fleetmetrics.llm.merging import LONGEST, PairTable, merge_all
 from fleetmetrics.llm.shared import Remembered, slices
 
-SLICE_BYTES = 3_000_000
+SLICE_BYTES = 6_000_000
 CHUNK_CHARS = 1 << 16
 #: Pieces of one generation that a task remembers: about 200 bytes each.
-KEPT = 160_000
+KEPT = 400_000
 #: The vocabulary's pattern (fixed value), and what continues a piece of each kind.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _RARE_SPACE = regex.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -227,15 +227,25 @@ class Encoder:
         return [b"".join([*self.feed(w[0], True), *map(of, w[1:])]) if p else self.encode(t) for t, p, w in zip(texts, plain, split, strict=True)]
 
 
-def _encoded(vocabulary: str):
+def _text(ids: np.ndarray, bytes_of: dict[int, bytes]) -> str:
+    """Text of ids, through a decoder that keeps the bytes of an unfinished character from one run of ids to the next."""
+    state, out = codecs.getincrementaldecoder("utf-8")("replace"), []
+    for k in range(0, len(ids), CHUNK_CHARS):
+        out.append(state.decode(b"".join(map(bytes_of.__getitem__, ids[k : k + CHUNK_CHARS].tolist()))))
+    out.append(state.decode(b"", True))
+    return "".join(out)
+
+
+def _encoded(vocabulary: str, decoded: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.at(vocabulary)
         for batch in batches:
-            for part in slices(batch, batch.num_columns - 1, SLICE_BYTES):
-                ids = encoder.encode_many([text or "" for text in part.column(part.num_columns - 1).to_pylist()])
+            for part in slices(batch, 1, SLICE_BYTES):
+                ids = encoder.encode_many([text or "" for text in part.column(1).to_pylist()])
                 offsets = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
                 column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), np.int32)))
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], column], [*part.schema.names[:-1], "ids"])
+                texts = [pa.array([_text(np.frombuffer(x, np.int32), encoder.m.bytes_of) for x in ids], pa.string())] if decoded else []
+                yield pa.RecordBatch.from_arrays([part.column(0), column, *texts], ["doc_id", "ids", "decoded"][: 2 + decoded])
 
     return run
 
@@ -246,28 +256,25 @@ def _decoded(vocabulary: str):
         for batch in batches:
             ids = batch.column(batch.num_columns - 1)
             sizes = np.cumsum([0, *pa.compute.fill_null(ids.value_lengths(), 0).to_pylist()])
-            flat = ids.flatten()
+            flat = ids.flatten().to_numpy(zero_copy_only=False)
             for at in range(0, len(ids), 512):
-                texts = []
-                for a, b in zip(sizes[at : at + 512], sizes[at + 1 : at + 513]):  # noqa: B905
-                    state, text = codecs.getincrementaldecoder("utf-8")("replace"), []
-                    for k in range(a, b, 1 << 16):
-                        text.append(state.decode(b"".join(map(bytes_of.__getitem__, flat[k : min(b, k + (1 << 16))].to_pylist()))))
-                    texts.append("".join(text) + state.decode(b"", True))
+                texts = [_text(flat[a:b], bytes_of) for a, b in zip(sizes[at : at + 512], sizes[at + 1 : at + 513])]  # noqa: B905
                 some = batch.slice(at, 512)
                 yield pa.RecordBatch.from_arrays([*some.columns, pa.array(texts, pa.string())], [*some.schema.names, "decoded"])
 
     return run
 
 
-def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
     """doc_id, ids (array of int) of every whole text; null counts as empty, and an empty text has no ids.
 
+    ``decoded`` adds the text that the ids decode to, from the same pass.
+
     ``vocabulary`` is the path of a byte-level BPE file whose pattern is ``PATTERN``; its special token stands for itself
     in a text. Repeated rows, equal and null ids are kept as they are; no rows give none. Other columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(_encoded(vocabulary), "doc_id long, ids array<int>")
+    return rows.mapInArrow(_encoded(vocabulary, decoded), "doc_id long, ids array<int>" + ", decoded string" * decoded)
 
 
 def decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids") -> DataFrame:

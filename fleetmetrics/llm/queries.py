@@ -33,8 +33,7 @@ def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    coded = bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), decoded=True)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
