@@ -154,7 +154,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     many = marks.count()
     if many > fit_rows:
         marks = marks.where(F.pmod(F.xxhash64("id_"), F.lit(1_000_000)) < int(1e6 * fit_rows / many))
-    rows = docs.select(F.col(id_col).alias("id_"), F.col(text_col).alias("text_")).join(marks, "id_")
+    rows = docs.select(F.col(id_col).alias("id_"), F.col(text_col).alias("text_")).join(F.broadcast(marks), "id_")  # fit_rows bounds the labels
     parts = max(2, min(many, fit_rows) // 8000)
     seen = materialise(statistics(rows.select("id_", "label", "text_"), ["id_", "label"], "text_").repartition(parts, "id_").sortWithinPartitions("id_", *STATISTICS), "quality-fit")
     share = {r["label"]: r["count"] for r in seen.groupBy("label").count().collect()}
