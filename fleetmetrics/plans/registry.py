@@ -588,3 +588,82 @@ def _(spark, sf):
 def _(spark, sf):
     rows = _run_stream(spark, streaming.streaming_windowed(_event_stream(spark, sf), LO), "windowed")
     return _plain(rows.select("DeviceId", "LocationId", "SensorTyId", "LocalTimeSpan", "is_okay", "StatusCode"), "LocalTimeSpan")
+
+
+_SQL["S-3"] = f"WITH {t.SQL} {_W} SELECT DeviceId, LocationId, SensorTyId, h AS LocalTimeSpan, count(*) FILTER (WHERE vm > {LO}) AS is_okay, CAST(CASE WHEN count(*) FILTER (WHERE vm > {LO}) / 12.0 >= 0.3 THEN 1 ELSE 3 END AS INTEGER) AS StatusCode FROM d WHERE h + INTERVAL 1 HOUR <= (SELECT max(LocalTimeSpan) FROM cur) - INTERVAL 2 HOURS GROUP BY DeviceId, LocationId, SensorTyId, h"
+
+
+# Operators that are parts of the queries above, on their own
+
+
+def _appended(spark, rows: DataFrame, keys: list[list[str]]) -> DataFrame:
+    """Rows written to a new table in two runs that overlap: what is there already is left out."""
+    path = _scratch(spark, "fact")
+    first = rows.where(F.pmod(F.xxhash64(*keys[0]), F.lit(2)) == 0)
+    incremental.write_new(first, rows.limit(0), path, *keys)
+    incremental.write_new(rows, spark.read.schema(rows.schema).parquet(path), path, *keys)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+@_query("L-5", f"{_family_sql(None)} SELECT {_UUID} AS OperationId, SensorTyId, CAST(StatusCode AS SMALLINT) AS StatusCode, CAST(\"Anomalies\" AS INTEGER) AS \"Anomalies\" FROM allrows")
+def _(spark, sf):
+    return _appended(spark, _Q["F-8-readings"](spark, sf), [["OperationId", "SensorTyId"]])
+
+
+@_query("L-6", f"{_DEVICES} SELECT DeviceId, {_UUID} AS OperationId, h AS LocalTimeSpan, status AS StatusCode, anomalies AS \"Anomalies\" FROM devices")
+def _(spark, sf):
+    return _appended(spark, _Q["A-9"](spark, sf), [["OperationId"], ["DeviceId", "LocalTimeSpan"]])
+
+
+@_query("J-6", "SELECT o_orderkey AS Id, o_custkey AS Fk_Tienda, l_extendedprice AS Oportunidad FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE l_returnflag = 'A'", cte=False)
+def _(spark, sf):
+    m = t.modules(spark, sf).where("Fk_ModuloEvaluable = 'SEG'").select(F.col("Fk_EvaluacionGeneral").alias("Id"), "Oportunidad")
+    return t.evaluations(spark, sf).select("Id", "Fk_Tienda").join(m, "Id")
+
+
+@_query("J-8", f"{_W} SELECT DeviceId, LocationId, SensorTyId, h AS LocalTimeSpan, {_UUID} AS OperationId FROM out")
+def _(spark, sf):
+    rows = status.windowed_status(t.enriched(spark, sf), "Corriente", LO, None, 20)
+    return rows.select("DeviceId", "LocationId", "SensorTyId", "LocalTimeSpan", operation_id().alias("OperationId"))
+
+
+@_query("A-11", "SELECT max(LocalTimeSpan) AS latest, max(ReadId) AS latest_id FROM readings")
+def _(spark, sf):
+    return t.readings(spark, sf).agg(F.max("LocalTimeSpan").alias("latest"), F.max("ReadId").alias("latest_id"))
+
+
+_query("A-12", _opportunity_sql("MTO", "evaluation"), cte=False)(_opportunity("MTO", "evaluation"))
+
+
+@_query("A-14", "SELECT nullif((SELECT count(*) FROM not_armed) + (SELECT count(*) FROM orders WHERE o_orderkey % 100 IN (87, 43, 89, 42)), 0) AS n_total")
+def _(spark, sf):
+    return _Q["M-4"](spark, sf).select("n_total")
+
+
+@_query("M-6", "SELECT count(*) FILTER (WHERE o_orderkey % 5 = 1) AS n FROM orders", cte=False)
+def _(spark, sf):
+    return measures.alerts_by_description(t.alerts(spark, sf), t.alert_types(spark, sf), {"n": t.DESCRIPTIONS[1]})
+
+
+@_query("M-7", "SELECT count(*) FILTER (WHERE o_orderkey % 5 = 2) AS n FROM orders", cte=False)
+def _(spark, sf):
+    return measures.alerts_by_description(t.alerts(spark, sf), t.alert_types(spark, sf), {"n": t.DESCRIPTIONS[2]})
+
+
+@_query("U-1", f"{_family_sql(None)} {_STATUS}")
+def _(spark, sf):
+    rows, out = t.enriched(spark, sf), None
+    for family in FAMILIES:
+        part = status.family_status(rows, family)
+        out = part if out is None else out.unionByName(part)
+    return _rounded(out, "MeasurementValue")
+
+
+@_query("U-3", "SELECT * FROM readings WHERE false")
+def _(spark, sf):
+    return t.readings(spark, sf).limit(0)
+
+
+@_query("U-4", "SELECT * FROM readings")
+def _(spark, sf):
+    return t.readings(spark, sf).coalesce(4)
