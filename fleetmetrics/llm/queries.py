@@ -53,8 +53,8 @@ def op5_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _digest(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
     base = F.filter("spans", lambda s: s["base"])
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{k}") for k in kinds]
-    return found.select("doc_id", *counts, F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in kinds], F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from fleetmetrics.llm.merging import LONGEST, PairTable, merge_all
 from fleetmetrics.llm.shared import Remembered
 
 #: Entries of one generation: about 200 bytes each.
-PIECES_KEPT, CHUNKS_KEPT = 600_000, 300_000
+PIECES_KEPT, CHUNKS_KEPT = 250_000, 120_000
 #: The vocabulary's pattern (fixed value).
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 _SPACES = re.compile("[\x1c-\x1f\x85\u180e]")  # not white space to all
