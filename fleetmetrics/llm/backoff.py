@@ -111,7 +111,7 @@ def _scored(order: int, total: int, kinds: int):
             seen = (other[k] > 0) & (history > 0)
             backed += (~seen) & (grams.levels[k] != 0)
             p = np.where(seen, other[k] / np.maximum(history, 1), np.where(grams.levels[k] != 0, BACKOFF * p, p))
-        logs = np.bincount(grams.doc, weights=np.log(p), minlength=grams.docs)
+        logs = np.bincount(grams.doc, weights=np.log(p), minlength=grams.docs).astype(float)  # of no words, bincount gives integers
         words = np.bincount(grams.doc, minlength=grams.docs)
         lost = np.bincount(grams.doc, weights=backed, minlength=grams.docs).astype(np.int64)
         return pa.table({"doc_id": docs.column("doc_id"), "n_words": pa.array(words), "log_score": pa.array(np.round(logs, 9)), "n_backed_off": pa.array(lost)})
