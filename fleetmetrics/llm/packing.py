@@ -117,6 +117,7 @@ def _packed(vocabulary: str, size: int, end_id: int):
                 yield out()
         packer.join_open()
         yield out()
+        tokenizer.forget()
 
     return run
 

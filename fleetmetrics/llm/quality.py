@@ -81,19 +81,21 @@ def _measures(texts: pa.Array) -> np.ndarray:
     return np.round(np.stack(columns, axis=1), 9)
 
 
-def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        k = batch.num_columns - 1
-        for part in slices(batch, k, SLICE_BYTES):
-            x = _measures(part.column(k))
-            yield pa.RecordBatch.from_arrays([*part.columns[:-1], *(pa.array(c) for c in x.T)], [*part.schema.names[:-1], *STATISTICS])
+def _run(kept: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, batch.num_columns - 1, SLICE_BYTES):
+                x = _measures(part.column(part.num_columns - 1))
+                yield pa.RecordBatch.from_arrays([*part.columns[:kept], *(pa.array(c) for c in x.T)], [*part.schema.names[:kept], *STATISTICS])
+
+    return run
 
 
 def statistics(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
-    """The columns ``keep`` and the statistics of each whole text (null counts as empty; all of an empty text's are 0). Other columns are dropped."""
-    rows = docs.select(*keep, F.col(text_col).alias("text_"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(_run, ", ".join([fields, *(f"{s} double" for s in STATISTICS)]))
+    """The columns ``keep`` (the text may be the last of them) and the statistics of each whole text (null counts as empty; all of an empty text's are 0). Other columns are dropped."""
+    rows = docs.select(*keep) if keep[-1] == text_col else docs.select(*keep, F.col(text_col).alias("text_"))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(keep)])
+    return rows.mapInArrow(_run(len(keep)), ", ".join([fields, *(f"{s} double" for s in STATISTICS)]))
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -191,5 +193,5 @@ def keep_good(docs: DataFrame, rules: Rules, threshold: float = 0.7, text_col: s
     names = docs.columns
     inner = docs.select(*[F.col(f"`{c}`").alias(f"c{i}_") for i, c in enumerate(names)])
     at = f"c{names.index(text_col)}_"
-    good = statistics(inner.withColumn("copy_", F.col(at)), inner.columns, "copy_").where(rules.score() >= threshold)
+    good = statistics(inner, [*(c for c in inner.columns if c != at), at], at).where(rules.score() >= threshold)
     return good.select(*[F.col(f"c{i}_").alias(c) for i, c in enumerate(names)])

@@ -94,5 +94,9 @@ class WordTokenizer:
         of = (ids | fresh).__getitem__
         return [self._library(t) if words is None else b"".join(map(of, words)) for t, words in zip(texts, split, strict=True)]
 
+    def forget(self) -> None:
+        """Give back the older generations, so that a worker that goes on to other work holds less."""
+        self.pieces.older, self.chunks.older = {}, {}
+
     def encode(self, text: str) -> bytes:
         return self.encode_many([text])[0]
