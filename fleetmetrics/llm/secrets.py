@@ -28,7 +28,8 @@ _any_case = lambda words: "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() el
 _ASSIGN = re.compile(rf"""(?:{_any_case("password|passwd|secret|token|api_?key")})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
+# A token may follow '=' (env lines, URL parameters), and may stand before one that is no padding (a name or a pair).
+_TOKEN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+(?:={1,2}(?![A-Za-z0-9+/_=-]))?")
 
 # How often each letter comes in a thousand letters of English prose, a to z.
 LETTERS_PER_THOUSAND = (82, 15, 28, 43, 127, 22, 20, 61, 70, 2, 8, 40, 24, 67, 75, 19, 1, 60, 63, 91, 28, 10, 24, 2, 20, 1)

@@ -344,6 +344,14 @@ def test_random_tokens():
     assert secrets.spans("see internationalization_of_everything and OzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzW and 12345678901234567890123") == []
 
 
+@pytest.mark.parametrize("text", ["DB_PASS={}", "export STRIPE_KEY={}\n", "see https://x.org/?sig={}&x=1", "a=1&sig={}==&x=1", "A_RATHER_LONG_VARIABLE_NAME={}", "{}=value"])
+def test_random_tokens_beside_an_equals_sign(text):
+    key = "q7Xv2LmR9tZb4KsW8nYc3HdP6fGj1QaE5uVo"
+    at = text.index("{")
+    assert [s[:2] for s in secrets.spans(text.format(key))] == [("random", at)]
+    assert secrets.spans(text.format(key))[0][2] == at + len(key) + 2 * ("{}==" in text)
+
+
 def test_span_edges(spark, odd, none):
     for find in (pii.find_pii, secrets.find_secrets):
         assert find(odd).count() == len(ODD) + 1 and find(none).count() == 0
