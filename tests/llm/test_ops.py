@@ -352,6 +352,25 @@ def test_random_tokens_beside_an_equals_sign(text):
     assert secrets.spans(text.format(key))[0][2] == at + len(key) + 2 * ("{}==" in text)
 
 
+NATURAL = """see_also_the_following_section /usr/local/lib/python3/site-packages getElementsByTagNameNS MAX_CONNECTIONS_PER_HOST_DEFAULT 2023-11-28-12-30-45-000
+20231128T123045-000123Z AbstractSingletonProxyFactoryBean /2024/01/15/how-to-make-bread-at-home VeryLongClassNameForTestingPurposes22 isbn-978-3-16-148410-0-2nd-edition
+donaudampfschifffahrtsgesellschaft-kapitaen2 /wp-content/uploads/2019/07/DSC00123-1024x768 X1-Carbon-ThinkPad-Gen9-20XW TRANSACTION_ID_0000000012345 DE89370400440532013000
+ABCDEFGHIJKLMNOPQRSTUVWXYZ234567 przedsiebiorstwo-wielobranzowe-nr-12 pneumonoultramicroscopicsilicovolcanoconiosis1 /questions/11227809/why-is-it-faster""".split()
+
+
+@pytest.mark.parametrize("encoding", secrets.ALPHABETS)
+def test_random_keys_of_every_length(encoding):
+    assert not secrets.random_tokens(" ".join(NATURAL)) and not any(map(secrets.random_tokens, NATURAL))
+    rng = np.random.default_rng(7)
+    for size in (20, 24, 32, 40, 64):
+        for many in (0, 4, 19):
+            found = 0
+            for _ in range(60):
+                text = " ".join([*rng.choice(NATURAL, many), "".join(rng.choice([*secrets.ALPHABETS[encoding]], size))])
+                found += (len(text) - size, len(text)) in secrets.random_tokens(text)
+            assert found >= 55, (size, many)
+
+
 def test_span_edges(spark, odd, none):
     for find in (pii.find_pii, secrets.find_secrets):
         assert find(odd).count() == len(ODD) + 1 and find(none).count() == 0
