@@ -77,7 +77,7 @@ LOOKALIKES = {
     "А": "A", "В": "B", "Е": "E", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "Х": "X", "У": "Y", "І": "I", "Ј": "J", "Ѕ": "S",
     "α": "a", "ο": "o", "ν": "v", "ρ": "p", "ι": "i", "κ": "k", "τ": "t", "υ": "u", "γ": "y", "χ": "x",
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X",
-    "ı": "i", "ɑ": "a", "ɡ": "g", "ѵ": "v", "ԛ": "q", "ԝ": "w", "‐": "-", "‑": "-", "‒": "-", "–": "-", "−": "-", "٫": ".", "․": ".", "。": ".", "⁺": "+",
+    "ı": "i", "ɑ": "a", "ɡ": "g", "к": "k", "м": "m", "т": "t", "в": "b", "н": "h", "β": "b", "ε": "e", "η": "n", "ω": "w", "ѵ": "v", "ԛ": "q", "ԝ": "w", "‐": "-", "‑": "-", "‒": "-", "–": "-", "−": "-", "٫": ".", "․": ".", "。": ".", "⁺": "+",
 }
 # Characters that do not show.
 INVISIBLE = "­​‌‍‎‏⁠⁡⁢⁣﻿"
@@ -167,6 +167,7 @@ def _spoken_dots(n: Normalised) -> Iterator[tuple[int, int, str]]:
 
 
 def _digit_words(n: Normalised) -> Iterator[tuple[int, int, str]]:
+    """Digits and signs for their words; white space between those of a run becomes one plain space, as numbers have it."""
     for run in _WORD_RUN.finditer(n.text):
         end, dotted = run.start(), re.search(rf"(?i)(?<!\w)(?:{DOT_WORDS})(?!\w)", run.group())
         before = False  # whether a digit word ends at ``end``
@@ -175,28 +176,39 @@ def _digit_words(n: Normalised) -> Iterator[tuple[int, int, str]]:
             if word in DIGIT_WORDS:
                 if dotted and before and n.text[end:a].isspace():
                     a = end  # digits of one part of an address stand together
+                yield from _spaces(n.text, end, a)
                 yield a, b, DIGIT_WORDS[word]
             else:  # a sign takes the spaces around it along
                 while a > end and n.text[a - 1].isspace():
                     a -= 1
                 while b < len(n.text) and n.text[b].isspace():
                     b += 1
+                yield from _spaces(n.text, end, a)
                 yield a, b, "+" if re.fullmatch(PLUS_WORDS, word) else "."
             end, before = b, word in DIGIT_WORDS
+        if end > run.start():
+            yield from _spaces(n.text, end, run.start() + len(run.group().rstrip()))
 
 
-_RARE_DIGITS = frozenset(DIGIT_WORDS) - {"un", "uno", "oh"}
+def _spaces(text: str, start: int, end: int) -> Iterator[tuple[int, int, str]]:
+    for m in re.compile(r"\s+").finditer(text, start, max(start, end)):
+        if m.group() != " ":
+            yield *m.span(), " "
+
+
+_DOT_SET = frozenset(DOT_WORDS.split("|"))
+_RUN_SET = frozenset(DIGIT_WORDS) | _DOT_SET | frozenset(PLUS_WORDS.split("|"))
+_WORDS = re.compile(r"\w+")
 
 
 def _maybe(text: str) -> bool:
-    """Whether any transducer may find something to do. Digit words that are also articles do not count alone."""
+    """Whether any transducer may find something to do: true of every text that one of them changes."""
     if not text.isascii() and _letters()[1].search(text) and not _letters()[0].keys().isdisjoint(text) or _TRACE.search(text):
         return True
-    low = text.lower()
-    if any(f" {w} " in low for w in DOT_WORDS.split("|")) and (_SPOKEN.search(text) or _WORD_RUN.search(text)):
+    words = set(_WORDS.findall(text.replace("İ", "i").lower()))  # patterns that ignore case take İ for an i
+    if not _DOT_SET.isdisjoint(words) and ("@" in text and _SPOKEN_DOT.search(text) or _SPOKEN.search(text)):
         return True
-    words = low.replace(",", " ").replace(".", " ").replace("-", " ").split()
-    return not _RARE_DIGITS.isdisjoint(words) and _WORD_RUN.search(text) is not None
+    return not _RUN_SET.isdisjoint(words) and _WORD_RUN.search(text) is not None
 
 
 def spans(text: str) -> list[tuple[str, int, int, bool]]:

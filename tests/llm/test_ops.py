@@ -333,6 +333,54 @@ def test_disguised(text, kind, part):
     assert (kind, text.index(part), text.index(part) + len(part), False) in pii.spans(text)
 
 
+@pytest.mark.parametrize("space", ["\n", "\t", "\u00a0", "\u2003", " \n"])
+@pytest.mark.parametrize(
+    ("part", "kind"),
+    [
+        ("jane at example dot com", "email"),
+        ("jane@example dot com", "email"),
+        ("jane at mail.example punto org", "email"),
+        ("jane (at) example [dot] com", "email"),
+        ("jane ( at ) exa\u043cple { dot } com", "email"),
+        ("192 dot 168 dot 0 dot 1", "ip"),
+        ("one nine two dot one six eight dot zero dot one", "ip"),
+        ("plus 49 151 1234 5678", "phone"),
+        ("plus one five five five zero one two three four five six", "phone"),
+        ("four" + " one" * 15, "card"),
+        ("4111 1111 uno uno uno uno 1111", "card"),
+    ],
+)
+def test_disguised_with_other_spaces(part, kind, space):
+    for before, after in (("to ", ", please"), ("(", ")"), ("", "")):
+        text = before + part.replace(" ", space) + after
+        assert (kind, len(before), len(text) - len(after), False) in pii.spans(text)
+        assert pii._masked(text) == f"{before}[{kind.upper()}]{after}"
+    text = "some words " + part + " some more"
+    assert (kind, 11, len(text) - 10, False) in pii.spans(text)
+
+
+def test_lower_case_lookalikes():
+    for c, n in (("\u043a", "k"), ("\u043c", "m"), ("\u0442", "t"), ("\u0432", "b"), ("\u043d", "h")):
+        text = f"to jane@xx{c}xx.com"
+        assert pii.spans(text)[-1] == ("email", 3, len(text), False) and pii.LOOKALIKES[c] == n
+
+
+def test_prefilter_passes_all_that_transducers_change():
+    rng = np.random.default_rng(6)
+    parts = ["jane", "example", "com", "at", "dot", "Punto", "plus", "uno", "oh", "five", "S\u0130ETE", "192", "1", "@", ".", "(", ")"]
+    changed = 0
+    for _ in range(10000):
+        size = rng.integers(3, 12)
+        text = "".join(map("".join, zip(rng.choice(parts, size), rng.choice([*" \n\t\u00a0,", "  ", ""], size), strict=True)))
+        n = pii.Normalised(text)
+        for step in (pii._look, pii._signs, pii._spoken, pii._spoken_dots, pii._digit_words):
+            n.rewrite(step(n))
+        changed += n.text != text
+        assert n.text == text or pii._maybe(text), text
+        assert len(n.text) == len(n.starts) == len(n.ends) and n.starts == sorted(n.starts)
+    assert changed > 300
+
+
 def test_plain_prose_has_no_spans():
     for text in ("look at example.com please", "he met one of the two at noon", TEXT, "Straße, über 3.5 m² – ok"):
         assert pii.spans(text) == [] and secrets.spans(text) == []
