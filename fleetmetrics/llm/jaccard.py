@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetmetrics.llm.shared import U, buffers, gram_hashes, materialise, mixed, slices, word_hashes
 
@@ -49,6 +50,11 @@ def _key(content: bytes) -> bytes:
     return hashlib.blake2b(content, digest_size=16).digest()
 
 
+def _content(grams: np.ndarray, data: np.ndarray, at: np.ndarray, i: int) -> bytes:
+    """What texts with the same key have alike: the gram set, or the text where it has no word."""
+    return grams.tobytes() if len(grams) else b"\0" + data[at[i] : at[i + 1]].tobytes()
+
+
 def _permutations(count: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(7)
     return rng.integers(0, 1 << 31, (count, 1), dtype=np.uint32) * np.uint32(2) + np.uint32(1), rng.integers(0, 1 << 32, (count, 1), dtype=np.uint32)
@@ -63,8 +69,7 @@ def _signatures(n: int, bands: int, rows: int):
                 keys, sigs, sizes = [], [], []
                 data, at = buffers(part.column(1))
                 for i, grams in enumerate(_gram_sets(part.column(1), n)):
-                    content = grams.tobytes() if len(grams) else b"\0" + data[at[i] : at[i + 1]].tobytes()
-                    keys.append(_key(content))
+                    keys.append(_key(_content(grams, data, at, i)))
                     sizes.append(len(grams))
                     if not len(grams):
                         sigs.append(None)
@@ -193,7 +198,7 @@ def _with_grams(n: int):
             for part in slices(batch, 1, SLICE_BYTES):
                 grams = [g.tobytes() for g in _gram_sets(part.column(1), n)]
                 own = pa.array([_key(g) == k for g, k in zip(grams, part.column(2).to_pylist(), strict=True)])  # an id may have other texts too
-                yield pa.RecordBatch.from_arrays([part.column(0), *part.columns[3:], pa.array(grams, pa.binary())], ["node", "copies", "cluster", "blocks", "grams"]).filter(own)
+                yield pa.RecordBatch.from_arrays([*part.columns[3:], pa.array(grams, pa.binary())], ["node", "copies", "cluster", "blocks", "grams"]).filter(own)
 
     return run
 
@@ -247,40 +252,98 @@ def _verified(similarity: float):
     return run
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, similarity: float = 0.8, recall: float = 0.9999) -> DataFrame:
-    """One row per document: doc_id, class_id (smallest doc_id of its near-duplicate class), n_links (documents it is linked with).
+def _apart(reps: DataFrame) -> DataFrame | None:
+    """Where several texts have the same smallest doc_id, all but one get nodes of their own, below all ids or, if there is no room, above. None if there are none."""
+    same = materialise(reps.groupBy("least").agg(F.count("*").alias("texts")).where("texts > 1").select("least"), "several")
+    if same.isEmpty():
+        return None
+    low, high = reps.agg(F.min("least"), F.max("least")).first()
+    # Few rows: only the ids that have several texts.
+    keys = reps.select("least", "key").join(same, "least")
+    others = keys.join(keys.groupBy("least").agg(F.min("key").alias("key")), ["least", "key"], "left_anti")
+    numbered = others.rdd.map(tuple).zipWithIndex().map(lambda x: (bytes(x[0][1]), x[1]))
+    new = materialise(reps.sparkSession.createDataFrame(numbered, "key binary, number long"), "apart")
+    node = F.lit(low) - 1 - F.col("number") if low > -(1 << 62) else F.lit(high) + 1 + F.col("number")
+    return materialise(reps.join(new, "key", "left").withColumn("node", F.coalesce(node, "node")).drop("number"), "apart-classes")
 
-    Two documents are linked if the Jaccard similarity of their sets of ``n``-word grams is at least ``similarity``;
-    classes are the connected components of links. ``recall`` is the least chance that a pair right at ``similarity``
-    shares a band; every pair of a candidate cluster is then compared on full gram sets. Words as in ``word_hashes``.
-    A text of fewer than ``n`` words has one gram. Texts without a word, null and empty ones among them, are linked with
-    equal texts only (null is empty). Repeated rows count as documents of their own, linked with each other; rows of
-    one id with different texts share their class and links. Rows without an id are returned with a null class and no links. Other columns are ignored; an empty table gives no rows.
+
+def _classes(docs: DataFrame, n: int, similarity: float, recall: float, apart: bool = False) -> tuple[DataFrame, DataFrame]:
+    """doc_id, key of the text (of its gram set) of every row with an id; and key, least doc_id, class_id, n_links and head (least doc_id and key of the class) of texts that have others alike.
+
+    ``apart`` keeps different texts of one id apart; class_id is then any number that tells classes from each other.
     """
     bands, rows = choose_bands(similarity, recall)
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = materialise(docs.where("doc_id is not null").mapInArrow(_signatures(n, bands, rows), "doc_id long, key binary, bands binary, grams long"), "signatures")
-    reps = materialise(signed.groupBy("key").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"), F.first("bands").alias("bands"), F.first("grams").alias("grams")), "classes")
+    reps = materialise(signed.groupBy("key").agg(F.min("doc_id").alias("least"), F.min("doc_id").alias("node"), F.count("*").alias("copies"), F.first("bands").alias("bands"), F.first("grams").alias("grams")), "classes")
+    own = _apart(reps) if apart else None
+    reps = reps if own is None else own
     buckets = reps.where("bands is not null").select("node", "bands").mapInArrow(_within_batch, "bucket long, doc long, least long")
     dealt = buckets.repartition(F.coalesce("bucket", "doc")).sortWithinPartitions("bucket")
     cluster = connected_components(dealt.mapInArrow(_chained, "u long, v long"), "candidates")
-    members = materialise(reps.select("node", "key", "copies", "grams").join(cluster.withColumnRenamed("component", "cluster"), "node"), "members")
+    members = materialise(reps.select("node", "least", "key", "copies", "grams").join(cluster.withColumnRenamed("component", "cluster"), "node"), "members")
     sizes = members.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("grams") / BLOCK_GRAMS)).alias("blocks")).where("blocks > 1")
-    members = members.join(_sized(materialise(sizes, "large")), "cluster", "left").select(F.col("node").alias("doc_id"), "key", "copies", "cluster", F.coalesce("blocks", F.lit(1)).cast("long").alias("blocks"))
-    full = docs.join(members, "doc_id").select("doc_id", "text", "key", "copies", "cluster", "blocks").mapInArrow(_with_grams(n), "node long, copies long, cluster long, blocks long, grams binary")
+    members = members.join(_sized(materialise(sizes, "large")), "cluster", "left").select(F.col("least").alias("doc_id"), "node", "key", "copies", "cluster", F.coalesce("blocks", F.lit(1)).cast("long").alias("blocks"))
+    full = docs.join(members, "doc_id").select("doc_id", "text", "key", "node", "copies", "cluster", "blocks").mapInArrow(_with_grams(n), "node long, copies long, cluster long, blocks long, grams binary")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
     dealt = full.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).select("*", other).select("node", "copies", "cluster", "blocks", "block", "grams", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
     checked = materialise(dealt.groupBy("cluster", "lo", "hi").applyInArrow(_verified(similarity), "node long, root long, links long, blocks long"), "verified")
     joined = connected_components(checked.where("blocks > 1").select(F.col("node").alias("u"), F.col("root").alias("v")), "links")
     links = checked.groupBy("node").agg(F.sum("links").alias("links"), F.min(F.when(F.col("blocks") == 1, F.col("root"))).alias("root")).where("links > 0")
     found = links.join(joined, "node", "left").select("node", F.coalesce("component", "root", "node").alias("class_id"), "links")
-    verdict = materialise(reps.join(found, "node", "left").where("copies > 1 or links > 0").select("key", F.coalesce("class_id", "node").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "verdict")
-    out = signed.select("doc_id", "key").join(verdict, "key", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+    verdict = materialise(reps.join(found, "node", "left").where("copies > 1 or links > 0").select("key", "least", F.coalesce("class_id", "node").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "verdict")
+    if own is None:  # the node of the smallest id is its text
+        return signed, verdict.withColumn("head", F.struct(F.col("class_id").alias("least"), "key"))
+    return signed, verdict.join(verdict.groupBy("class_id").agg(F.min(F.struct("least", "key")).alias("head")), "class_id")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, similarity: float = 0.8, recall: float = 0.9999) -> DataFrame:
+    """One row per document: doc_id, class_id (smallest doc_id of its near-duplicate class), n_links (documents it is linked with).
+
+    Two documents are linked if the Jaccard similarity of their sets of ``n``-word grams is at least ``similarity``;
+    classes are the connected components of links. ``recall`` is the least chance that a pair right at ``similarity``
+    shares a band; every pair of a candidate cluster is then compared on full gram sets. Words as in ``word_hashes``.
+    A text of fewer than ``n`` words has one gram. Texts without a word, null and empty ones among them, are linked with
+    equal texts only (null is empty). Repeated rows count as documents of their own, linked with each other; rows of
+    one id with different texts share their class and links. Rows without an id are returned with a null class and no links. Other columns are ignored; an empty table gives no rows.
+    """
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    signed, verdict = _classes(docs, n, similarity, recall)
+    out = signed.select("doc_id", "key").join(verdict.select("key", "class_id", "n_links"), "key", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
     return out.unionByName(docs.where("doc_id is null").select("doc_id", F.lit(None).cast("long").alias("class_id"), F.lit(0).cast("long").alias("n_links")))
 
 
-def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document of each near-duplicate class: the one of the smallest doc_id; repeated rows of it go too. Rows without an id stay."""
-    gone = near_duplicates(docs, **options).where("doc_id <> class_id").select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+def _keyed(n: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            k = batch.schema.get_field_index("_text")
+            for part in slices(batch, k, SLICE_BYTES):
+                data, at = buffers(part.column(k))
+                keys = [_key(_content(g, data, at, i)) for i, g in enumerate(_gram_sets(part.column(k), n))]
+                yield pa.RecordBatch.from_arrays([*part.columns[:k], pa.array(keys, pa.binary())], [*part.schema.names[:k], "_key"])
+
+    return run
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, similarity: float = 0.8, recall: float = 0.9999) -> DataFrame:
+    """``docs`` with one document of each near-duplicate class: the one of the smallest doc_id (of several texts of that id in the class, one by a hash).
+
+    Repeated rows of it (same id, same set of grams) go too. Different texts of one id are documents of their own: each
+    is judged by its own class. Rows without an id stay.
+    """
+    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    signed, verdict = _classes(plain, n, similarity, recall, apart=True)
+    gone = materialise(signed.select("doc_id", "key").join(verdict.select("key", "head"), "key").where("doc_id <> head.least or key <> head.key").select("doc_id", "key").distinct(), "gone")
+    several = materialise(signed.groupBy("doc_id").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b").select(F.col("doc_id").alias("_id")), "several-texts")
+    rows = docs.withColumn("_id", F.col(id_col).cast("long"))
+    known = rows.where("_id is not null")
+    kept = known.join(gone.select(F.col("doc_id").alias("_id")).distinct(), "_id", "left_anti")
+    if several.isEmpty():
+        kept = kept.dropDuplicates(["_id"]).drop("_id")
+    else:
+        once = kept.join(several, "_id", "left_anti").dropDuplicates(["_id"]).drop("_id")
+        mixed_rows = known.join(several, "_id", "left_semi").select(*known.columns, F.col(text_col).alias("_text"))
+        schema = T.StructType([*known.schema.fields, T.StructField("_key", T.BinaryType())])
+        keyed = mixed_rows.mapInArrow(_keyed(n), schema)
+        own = keyed.join(gone.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")), ["_id", "_key"], "left_anti").dropDuplicates(["_id", "_key"])
+        kept = once.unionByName(own.drop("_id", "_key"))
+    return kept.select(*docs.columns).unionByName(docs.where(F.col(id_col).cast("long").isNull()))

@@ -250,6 +250,17 @@ def test_near_duplicate_edges(spark, odd, none):
     assert kept.columns == odd.columns and sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == sorted({r.class_id for r in got if r.doc_id is not None})
 
 
+def test_one_of_each_where_an_id_has_several_texts(spark):
+    text = lambda k: " ".join(f"w{k}_{i}" for i in range(40))
+    near = lambda k: text(k) + " more"
+    rows = [(5, text(1)), (5, text(2)), (5, text(2)), (3, near(2)), (9, near(1)), (7, text(3)), (8, near(4)), (8, text(4)), (8, text(5)), (9, near(5)), (9, text(6)), (None, text(1)), (2, text(7)), (2, text(7)), (6, ""), (6, text(8))]
+    kept = [tuple(r) for r in jaccard.one_of_each(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()]
+    fours = [r for r in kept if r in ((8, near(4)), (8, text(4)))]
+    assert len(fours) == 1
+    want = [(5, text(1)), (3, near(2)), (7, text(3)), (8, text(5)), (9, text(6)), (None, text(1)), (2, text(7)), (6, ""), (6, text(8))]
+    assert sorted(map(str, kept)) == sorted(map(str, want + fours))
+
+
 def test_bands():
     b, r = jaccard.choose_bands(0.8, 0.9999)
     assert 1 - (1 - 0.8**r) ** b >= 0.9999 and b * r <= 128
