@@ -555,10 +555,18 @@ def _(spark, sf):
 # Streaming
 
 
+def _events(spark, sf):
+    """The events table as a stream: of the part files where the table is a folder, else of the one file beside the other tables."""
+    stream, path = spark.readStream.schema(t.load(spark, sf, "events").schema), f"{sf}/events.parquet"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hadoop).isDirectory():
+        return stream.parquet(path)
+    return stream.option("pathGlobFilter", "events.parquet").parquet(sf)
+
+
 def _event_stream(spark, sf):
     """The events table as a stream of enriched readings."""
-    schema = t.load(spark, sf, "events").schema
-    e = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    e = _events(spark, sf)
     ts = F.col("ts").cast("timestamp")
     r = e.select(F.col("event_id").cast("string").alias("ReadId"), F.col("user_id").cast("string").alias("s_"), ts.alias("LocalTimeSpan"), F.col("value").alias("Value"))
     d = t.dimensions(spark, sf).where("_sensor_type = 'Corriente'")
@@ -573,7 +581,7 @@ def _run_stream(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 @_query("S-1", "SELECT event_id, user_id, value FROM events", cte=False)
 def _(spark, sf):
-    e = spark.readStream.schema(t.load(spark, sf, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    e = _events(spark, sf)
     once = e.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", streaming.LATE).dropDuplicatesWithinWatermark(["event_id"])
     return _run_stream(spark, once.select("event_id", "user_id", "value"), "ingest")
 
