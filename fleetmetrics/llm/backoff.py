@@ -139,7 +139,7 @@ def backoff_scores(docs: DataFrame, order: int = 2, id_col: str = "doc_id", text
 
 
 def _size(docs: DataFrame) -> tuple[int, int]:
-    """Words of the corpus, and an estimate of how many are distinct (HyperLogLog, within about 1 per cent)."""
+    """Words of the corpus, and how many are distinct (by their hashes)."""
 
     def run(batches):
         for batch in batches:
@@ -148,5 +148,5 @@ def _size(docs: DataFrame) -> tuple[int, int]:
                 kinds, times = np.unique(words, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), pa.array(times)], ["w", "n"])
 
-    row = docs.select("text").mapInArrow(run, "w long, n long").agg(F.coalesce(F.sum("n"), F.lit(0)), F.approx_count_distinct("w", 0.01)).first()
+    row = docs.select("text").mapInArrow(run, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     return int(row[0]), int(row[1])

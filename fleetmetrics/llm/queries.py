@@ -78,6 +78,10 @@ def op10_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backoff.backoff_scores(table(spark, sf_dir, "documents"))
 
 
+def op10_backoff_trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff.backoff_scores(table(spark, sf_dir, "documents"), order=3)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 

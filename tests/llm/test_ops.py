@@ -545,6 +545,32 @@ def test_backoff_edges(spark, odd, none, monkeypatch):
     assert backoff.backoff_scores(none).count() == 0
 
 
+def test_distinct_words_are_counted_exactly(spark):
+    df = spark.createDataFrame([(" ".join(f"w{i % 30011}" for i in range(k, k + 20000)),) for k in range(0, 60000, 7000)], "text string").repartition(4)
+    assert backoff._size(df) == (9 * 20000, 30011)
+
+
+def test_backoff_trigrams(spark, documents):
+    three, two = Counter(), Counter()
+    split = {d["doc_id"]: words(d["text"]) for d in documents}
+    for x in split.values():
+        three.update(zip(x, x[1:], x[2:]))  # noqa: B905
+        two.update(zip(x, x[1:]))  # noqa: B905
+    one = Counter(w for x in split.values() for w in x)
+    got = {r.doc_id: r for r in run(spark, "op10_backoff_trigrams")}
+    for d, x in split.items():
+        own1, own2, own3, score, total, kinds = Counter(x), Counter(zip(x, x[1:])), Counter(zip(x, x[1:], x[2:])), 0.0, sum(one.values()), len(one)  # noqa: B905
+        for i, w in enumerate(x):
+            p = (one[w] - own1[w] + 1) / (total + kinds)
+            for c, own, h, hown, g in ((two, own2, one, own1, x[max(i - 1, 0) : i + 1]), (three, own3, two, own2, x[max(i - 2, 0) : i + 1])):
+                if len(g) == 2 and c is two or len(g) == 3 and c is three:
+                    key, past = tuple(g), tuple(g[:-1]) if c is three else g[0]
+                    n, m = c[key] - own[key], h[past] - hown[past]
+                    p = n / m if n and m else 0.4 * p
+            score += np.log(p)
+        assert got[d].n_words == len(x) and abs(got[d].log_score - score) <= 1e-6 * max(1, abs(score))
+
+
 # The pipeline
 
 
