@@ -2,8 +2,10 @@
 
 A window that is partly filled to level h is one of N(h). A document of s tokens goes to the level h (or a new window)
 for which the sum of N(h)**2 over all levels grows least: such a choice keeps the levels spread out, so that most later
-documents find a level that they fill exactly. Every task packs its own rows; what it leaves open at its end is joined
-by cutting, so that one window a task stays padded at most.
+documents find a level that they fill exactly. It may also be cut, to fill a window up and begin another with the rest,
+where that beats all others by more than ``CUT``: so a level never holds many more than ``CUT`` windows, however alike
+documents are. Every task packs its own rows; what it leaves open at its end is joined by cutting, so that one window
+a task stays padded at most.
 """
 
 from __future__ import annotations
@@ -16,11 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetmetrics.llm.shared import slices
+from fleetmetrics.llm.shared import release, slices
 from fleetmetrics.llm.words import WordTokenizer
 
-SLICE_BYTES = 6_000_000
-MOST_OPEN = 1024
+SLICE_BYTES = 2_000_000
+#: What a cut costs, in halves of the sum of squares.
+CUT = 16
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -29,12 +32,12 @@ class Packer:
 
     def __init__(self, size: int, first_id: int) -> None:
         self.size, self.next_id = size, first_id
-        self.count, self.open = np.zeros(size + 1, np.int64), 0  # N(h), and their sum
+        self.count = np.zeros(size + 1, np.int64)  # N(h)
         self.at: dict[int, list[list[tuple]]] = {}  # level -> open windows, each a list of pieces
         self.rows: list[tuple] = []
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
-        """Place one document, given as little-endian 32-bit ids. Whole windows are cut off first; the rest is not cut here."""
+        """Place one document, given as little-endian 32-bit ids. Whole windows are cut off first."""
         total, step = len(ids) // 4, self.size * 4
         whole = total // self.size
         for k in range(whole):
@@ -52,21 +55,32 @@ class Packer:
             if growth[k := int(growth.argmin())] < best:
                 best, h = float(growth[k]), int(levels[k])
         if n[last] and 0.5 - n[last] <= best:
-            h = last
-        pieces = []
-        if h:
-            pieces = self.at[h].pop()
-            n[h] -= 1
-            self.open -= 1
-        pieces.append(piece)
+            best, h = 0.5 - n[last], last
+        # One filled up, the rest of the piece in a new window: N(h + s - size) - N(h) + 1.
+        if best > CUT + 1 - int(n[last + 1 : self.size].max(initial=0)):
+            growth = n[1:s] - n[last + 1 : self.size] + 1 + CUT
+            if growth[k := int(growth.argmin())] < best:
+                doc_id, start, ids, total = piece
+                room = s - 1 - k
+                window = self._take(last + 1 + k)
+                self._close([*window, (doc_id, start, ids[: room * 4], total)])
+                self._open([(doc_id, start + room, ids[room * 4 :], total)], k + 1)
+                return
+        pieces = [*self._take(h), piece]
         if h + s == self.size:
             self._close(pieces)
         else:
-            self.at.setdefault(h + s, []).append(pieces)
-            n[h + s] += 1
-            self.open += 1
-            if self.open > MOST_OPEN:
-                self.join_open()
+            self._open(pieces, h + s)
+
+    def _take(self, h: int) -> list[tuple]:
+        if not h:
+            return []
+        self.count[h] -= 1
+        return self.at[h].pop()
+
+    def _open(self, pieces: list[tuple], h: int) -> None:
+        self.count[h] += 1
+        self.at.setdefault(h, []).append(pieces)
 
     def _close(self, pieces: list[tuple]) -> None:
         offset = 0
@@ -79,7 +93,7 @@ class Packer:
         """Fill the fullest open windows with cuts of the emptiest; one window stays partly filled at most."""
         open_ = [w for h in sorted(self.at, reverse=True) for w in self.at[h]]
         self.at.clear()
-        self.count[:], self.open = 0, 0
+        self.count[:] = 0
         low = len(open_) - 1
         for k, window in enumerate(open_):
             if k > low:
@@ -102,7 +116,7 @@ def _packed(vocabulary: str, size: int, end_id: int):
         from pyspark import TaskContext
 
         packer = Packer(size, TaskContext.get().partitionId() << 36)
-        tokenizer, end = WordTokenizer.at(vocabulary), np.uint32(end_id).tobytes()
+        tokenizer, end = WordTokenizer.at(vocabulary), np.uint32(end_id)
 
         def out() -> pa.RecordBatch:
             rows, packer.rows = packer.rows, []
@@ -111,13 +125,15 @@ def _packed(vocabulary: str, size: int, end_id: int):
 
         for batch in batches:
             for part in slices(batch, 1, SLICE_BYTES):
-                coded = tokenizer.encode_many([text or "" for text in part.column(1).to_pylist()])
-                for doc_id, ids in zip(part.column(0).to_pylist(), coded, strict=True):
-                    packer.add(doc_id, ids + end)
+                ids, at = tokenizer.encode_arrays(part.column(1))
+                data, at = np.insert(ids, at[1:], end).tobytes(), ((at + np.arange(len(at))) * 4).tolist()
+                for doc_id, a, b in zip(part.column(0).to_pylist(), at[:-1], at[1:], strict=True):
+                    packer.add(doc_id, data[a:b])
                 yield out()
         packer.join_open()
         yield out()
         tokenizer.forget()
+        release()
 
     return run
 
@@ -128,7 +144,7 @@ def pack(docs: DataFrame, vocabulary: str, size: int = 2048, end_id: int = 1, id
     A document's ids are those of its text with ``end_id`` after them; null counts as empty, and so has one id. Every id
     lies in one piece. ``offset`` runs on without a gap within a sequence; sequences are at most ``size`` long, and all
     but one a task are full. Repeated rows, equal ids and null ids are packed like any others. No rows give no pieces.
-    Memory a task: ``MOST_OPEN`` windows and one document. Other columns are ignored.
+    Memory a task: a slice of documents and the open windows, about ``CUT`` a level at most. Other columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(_packed(vocabulary, size, end_id), PIECES)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zipfile
@@ -17,11 +18,15 @@ U = np.uint64
 
 
 _shipped: set[str] = set()
+#: Most bytes of an Arrow batch, where the session sets none: long texts would fill a batch of so many rows.
+BATCH_BYTES = "8m"
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once an application, as ``--py-files`` would."""
+    """Send this package to the executors, once an application, as ``--py-files`` would; and bound Arrow batches by bytes."""
     context = spark.sparkContext
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", "1b") == "1b":
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     if context.applicationId not in _shipped:
         package = Path(__file__).resolve().parent.parent
         archive = Path(tempfile.mkdtemp(prefix="spark-")) / f"{package.name}.zip"
@@ -53,6 +58,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Give what a task has freed back to the system, as its worker may go on to other work."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # only glibc has it
+        pass
+
+
 def slices(batch: pa.RecordBatch, column: int, max_bytes: int) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that the texts in ``column`` hold about ``max_bytes`` a piece (one row at least)."""
     offsets = buffers(batch.column(column))[1]
