@@ -168,17 +168,69 @@ def test_bpe_equals_the_library(spark, documents):
         assert r.decoded_sha256 == hashlib.sha256(t.decode(ids, skip_special_tokens=False).encode()).hexdigest()
 
 
-def test_bpe_streams_in_any_chunks():
-    t, e = Tokenizer.from_file(BYTES), bpe.Encoder.at(BYTES)
+def bpe_texts():
     rng = np.random.default_rng(3)
-    parts = ["a", "b", " ", "  ", "\n", " \n", "'s", "'ll", "'", "l", "r", "e", "1", "23", "!", "?", "é", "<|endoftext|>", "the", "ing", "日本", "\xa0"]
-    texts = ["".join(rng.choice(parts, rng.integers(0, 50))) for _ in range(400)] + ["a" * 5000, "ab" * 3000 + " x", " " * 4000 + "x", "\n" * 3000 + "y", "1!" * 2500, "é" * 2500]
+    parts = ["a", "b", " ", "  ", "\n", " \n", "\t", "'s", "'ll", "'", "l", "r", "e", "1", "23", "!", "?", "é", "<|endoftext|>", "the", "ing", "日本", "\xa0", "\u2003", "½", "😀", "ٱ"]
+    texts = ["".join(rng.choice(parts, rng.integers(0, 50))) for _ in range(400)]
+    return texts + ["a" * 5000, "ab" * 3000 + " x", " " * 4000 + "x", "\n" * 3000 + "y", "1!" * 2500, "é" * 2500, "x " + "=" * 4000 + "'s" + "b" * 3000 + " " * 1500]
+
+
+def test_bpe_streams_in_any_chunks():
+    t, e = Tokenizer.from_file(BYTES), bpe.Transducer.at(BYTES)
+    texts = bpe_texts()
     expected = [x.ids for x in t.encode_batch(texts, add_special_tokens=False)]
     for chunk in (1, 3, 17, 1000):
-        assert [np.frombuffer(e.encode(x, chunk), np.uint32).tolist() for x in texts[:: 1 if chunk > 3 else 5]] == expected[:: 1 if chunk > 3 else 5]
+        k = 1 if chunk > 3 else 5
+        assert [np.frombuffer(x, np.uint32).tolist() for x in e.encode_many(texts[::k], chunk)] == expected[::k]
     assert [np.frombuffer(x, np.uint32).tolist() for x in e.encode_many(texts)] == expected
 
 
+def test_bpe_ids_come_from_the_lookahead(documents, monkeypatch):
+    """Every id of real texts leaves a step; texts of several chunks leave what ends within the lookahead to the next one."""
+    t, e = Tokenizer.from_file(BYTES), bpe.Transducer.at(BYTES)
+    texts = [d["text"] or "" for d in documents][:300]
+    texts.append(" ".join(texts)[:60_000])
+    made, held, step = [0], [], bpe.Transducer.step
+
+    def counted(self, streams, chunks, last):
+        out = step(self, streams, chunks, last)
+        made[0] += sum(len(ids) for own in out for ids in own)
+        held.extend(len(s.tail.encode()) + len(s.open) for s, end in zip(streams, last, strict=True) if not end)
+        return out
+
+    monkeypatch.setattr(bpe.Transducer, "step", counted)
+    ids, at = e.encode_arrays(texts)
+    expected = [x.ids for x in t.encode_batch(texts, add_special_tokens=False)]
+    assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == expected
+    assert made[0] == len(ids) and len(held) > 6
+    assert e.m.lookahead == 320 and all(e.m.lookahead <= n <= e.m.lookahead + 64 for n in held)
+
+
+@pytest.mark.parametrize("unit", ["the cat's 12 ", "ab", "=", " ", "é!"])
+def test_bpe_state_is_bounded(unit):
+    """100 MB in chunks, given by a generator: state stays below a window and a chunk."""
+    e, s = bpe.Transducer.at(BYTES), bpe.Stream()
+    size = 100_000_000 if unit == "the cat's 12 " else 2_000_000
+    chunk, total = unit * (65_536 // len(unit)), 0
+    for _ in range(size // len(chunk)):
+        total += sum(map(len, e.step([s], [chunk], [False])[0]))
+        assert len(s.tail.encode()) + len(s.open) <= e.window + e.hold
+    assert total > 0 and len(e.known.pieces) <= bpe.KEPT
+
+
+def test_decoder_in_any_runs():
+    rng = np.random.default_rng(5)
+    for _ in range(3000):
+        data = b"".join(rng.choice([b"a", b"\xc3", b"\xa9", b"\xe2\x82", b"\xac", b"\xf0\x9f", b"\x98\x80", b"\xed\xa0", b"\xff", b"\xf4\x90", b"\xe0\x80", b"\xc0"], rng.integers(0, 12)).tolist())
+        d, out, at = bpe.Decoder(), [], 0
+        while at < len(data):
+            n = int(rng.integers(1, 4))
+            out.append(d.feed(data[at : at + n]))
+            assert len(d.held) <= 3
+            at += n
+        assert "".join([*out, d.feed(b"", True)]) == data.decode("utf-8", "replace")
+
+
 def test_bpe_edges(spark, odd, none):
     back = bpe.decode(bpe.encode(odd, BYTES), BYTES).collect()
     assert sorted(r.decoded for r in back) == sorted([t or "" for t in ODD] + [TEXT])
@@ -490,6 +542,18 @@ def test_least_sum_of_squares():
         assert int((p.count**2).sum()) == min(costs)
 
 
+def test_alike_documents_are_cut():
+    """Where no two documents fit into a window, cuts keep the open windows few, and no id is lost."""
+    for sizes in ([1500], [1200, 1500, 1800], [2047], [1]):
+        rng, p = np.random.default_rng(7), packing.Packer(2048, 0)
+        given = rng.choice(sizes, 3000)
+        for i, s in enumerate(given.tolist()):
+            p.add(i, b"\0" * 4 * s)
+            assert p.count.max() <= packing.CUT + 1
+        p.join_open()
+        assert sum(r[2] for r in p.rows) == given.sum() and p.next_id == -(-given.sum() // 2048)
+
+
 def test_word_tokens_equal_the_library():
     t, w = Tokenizer.from_file(WORDS), WordTokenizer.at(WORDS)
     texts = ["".join(chr(c) for c in range(a, a + 40)) for a in range(0, 0x3000, 40)] + [t or "" for t in ODD] + ["It's we'll I'M <|endoftext|> É́ Σας"]
