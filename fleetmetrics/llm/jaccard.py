@@ -17,11 +17,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetmetrics.llm.shared import U, buffers, gram_hashes, materialise, mixed, slices, word_hashes
+from fleetmetrics.llm.shared import Members, U, buffers, gram_hashes, materialise, mixed, slices, tidy, word_hashes
 
 SLICE_BYTES = 2_000_000
 BLOCK_DOCS = 192
@@ -61,6 +62,7 @@ def _permutations(count: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _signatures(n: int, bands: int, rows: int):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _permutations(bands * rows)
         salt = mixed(np.arange(bands, dtype=np.uint64) + U(1))
@@ -192,13 +194,19 @@ def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (u, v)], ["u", "v"])
 
 
-def _with_grams(n: int):
+def _grams_of(members: Broadcast, n: int):
+    """(doc_id, key, grams) of the texts whose id may be a member's; of a text that is there repeatedly, once a slice."""
+
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(members.value.may_have(batch.column(0))))
             for part in slices(batch, 1, SLICE_BYTES):
-                grams = [g.tobytes() for g in _gram_sets(part.column(1), n)]
-                own = pa.array([_key(g) == k for g, k in zip(grams, part.column(2).to_pylist(), strict=True)])  # an id may have other texts too
-                yield pa.RecordBatch.from_arrays([*part.columns[3:], pa.array(grams, pa.binary())], ["node", "copies", "cluster", "blocks", "grams"]).filter(own)
+                found = {}
+                for i, grams in zip(part.column(0).to_pylist(), _gram_sets(part.column(1), n), strict=True):
+                    found[i, _key(grams.tobytes())] = grams.tobytes()
+                ids, keys = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.binary()), pa.array(found.values(), pa.binary())], ["doc_id", "key", "grams"])
 
     return run
 
@@ -225,11 +233,7 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
 def _verified(similarity: float):
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         node, copies, block = (rows.column(c).to_numpy() for c in ("node", "copies", "block"))
-        grams = rows.column("grams").to_pylist()
-        _, once = np.unique(np.array([hash((int(i), g)) for i, g in zip(node, grams, strict=True)]), return_index=True)  # repeated rows
-        once.sort()
-        rows, node, copies, block = rows.take(pa.array(once)), node[once], copies[once], block[once]
-        sets = [np.frombuffer(grams[i], np.uint64) for i in once]
+        sets = [np.frombuffer(g, np.uint64) for g in rows.column("grams").to_pylist()]
         lo, hi = key[1].as_py(), key[2].as_py()
         a, b = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
         links, left, right = np.zeros(len(node), np.int64), [], []
@@ -283,7 +287,10 @@ def _classes(docs: DataFrame, n: int, similarity: float, recall: float, apart: b
     members = materialise(reps.select("node", "least", "key", "copies", "grams").join(cluster.withColumnRenamed("component", "cluster"), "node"), "members")
     sizes = members.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("grams") / BLOCK_GRAMS)).alias("blocks")).where("blocks > 1")
     members = members.join(_sized(materialise(sizes, "large")), "cluster", "left").select(F.col("least").alias("doc_id"), "node", "key", "copies", "cluster", F.coalesce("blocks", F.lit(1)).cast("long").alias("blocks"))
-    full = docs.join(members, "doc_id").select("doc_id", "text", "key", "node", "copies", "cluster", "blocks").mapInArrow(_with_grams(n), "node long, copies long, cluster long, blocks long, grams binary")
+    # Only the gram sets of members are shuffled, and of each one once: a filter of fixed size keeps most other texts back.
+    ids = docs.sparkSession.sparkContext.broadcast(Members.of(members.select("doc_id")))
+    sets = docs.mapInArrow(_grams_of(ids, n), "doc_id long, key binary, grams binary").groupBy("doc_id", "key").agg(F.first("grams").alias("grams"))
+    full = sets.join(members, ["doc_id", "key"]).select("node", "copies", "cluster", "blocks", "grams")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
     dealt = full.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).select("*", other).select("node", "copies", "cluster", "blocks", "block", "grams", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
     checked = materialise(dealt.groupBy("cluster", "lo", "hi").applyInArrow(_verified(similarity), "node long, root long, links long, blocks long"), "verified")
@@ -312,14 +319,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.unionByName(docs.where("doc_id is null").select("doc_id", F.lit(None).cast("long").alias("class_id"), F.lit(0).cast("long").alias("n_links")))
 
 
-def _keyed(n: int):
+def _apart_by(members: Broadcast, n: int, touched: bool):
+    """The rows whose ``_id`` may be a member's, with the key of their text (the column behind) and once a slice; or all others."""
+
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            k = batch.schema.get_field_index("_text")
-            for part in slices(batch, k, SLICE_BYTES):
-                data, at = buffers(part.column(k))
-                keys = [_key(_content(g, data, at, i)) for i, g in enumerate(_gram_sets(part.column(k), n))]
-                yield pa.RecordBatch.from_arrays([*part.columns[:k], pa.array(keys, pa.binary())], [*part.schema.names[:k], "_key"])
+            ids, text = (k := batch.schema.get_field_index("_id")), k + 1
+            mine = members.value.may_have(batch.column(ids))
+            if not touched:
+                yield batch.filter(pa.array(~mine)).select(range(ids))
+                continue
+            for part in slices(batch.filter(pa.array(mine)), text, SLICE_BYTES):
+                data, at = buffers(part.column(text))
+                keys = [_key(_content(g, data, at, i)) for i, g in enumerate(_gram_sets(part.column(text), n))]
+                first = {pair: i for i, pair in reversed(list(enumerate(zip(part.column(ids).to_pylist(), keys, strict=True))))}
+                whole = pa.RecordBatch.from_arrays([*part.columns[:text], pa.array(keys, pa.binary())], [*part.schema.names[:text], "_key"])
+                yield whole.take(pa.array(sorted(first.values())))
 
     return run
 
@@ -333,17 +349,13 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed, verdict = _classes(plain, n, similarity, recall, apart=True)
     gone = materialise(signed.select("doc_id", "key").join(verdict.select("key", "head"), "key").where("doc_id <> head.least or key <> head.key").select("doc_id", "key").distinct(), "gone")
-    several = materialise(signed.groupBy("doc_id").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b").select(F.col("doc_id").alias("_id")), "several-texts")
-    rows = docs.withColumn("_id", F.col(id_col).cast("long"))
-    known = rows.where("_id is not null")
-    kept = known.join(gone.select(F.col("doc_id").alias("_id")).distinct(), "_id", "left_anti")
-    if several.isEmpty():
-        kept = kept.dropDuplicates(["_id"]).drop("_id")
-    else:
-        once = kept.join(several, "_id", "left_anti").dropDuplicates(["_id"]).drop("_id")
-        mixed_rows = known.join(several, "_id", "left_semi").select(*known.columns, F.col(text_col).alias("_text"))
-        schema = T.StructType([*known.schema.fields, T.StructField("_key", T.BinaryType())])
-        keyed = mixed_rows.mapInArrow(_keyed(n), schema)
-        own = keyed.join(gone.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")), ["_id", "_key"], "left_anti").dropDuplicates(["_id", "_key"])
-        kept = once.unionByName(own.drop("_id", "_key"))
-    return kept.select(*docs.columns).unionByName(docs.where(F.col(id_col).cast("long").isNull()))
+    repeated = signed.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id")
+    # Most ids occur once and stay: their rows are not shuffled.
+    ids = docs.sparkSession.sparkContext.broadcast(Members.of(gone.select("doc_id").unionByName(repeated).distinct()))
+    names = [f"c{i}_" for i in range(len(docs.columns))]
+    rows = docs.select(*[F.col(f"`{c}`").alias(x) for c, x in zip(docs.columns, names, strict=True)], F.col(f"`{id_col}`").cast("long").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
+    fields = rows.schema.fields[:-1]
+    others = rows.drop("_text").mapInArrow(_apart_by(ids, n, False), T.StructType(fields[:-1]))
+    own = rows.mapInArrow(_apart_by(ids, n, True), T.StructType([*fields, T.StructField("_key", T.BinaryType())]))
+    own = own.join(gone.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")), ["_id", "_key"], "left_anti").dropDuplicates(["_id", "_key"])
+    return others.unionByName(own.select(*names)).toDF(*docs.columns)
