@@ -1,152 +1,316 @@
 """Language-model scores of documents by stupid backoff, from counts over the whole corpus.
 
-Documents are dealt into blocks by a hash of their id. A block explodes its texts into n-grams and sends, for each
-bucket of hashes, its distinct ones with how often and in how many documents it has them. A bucket adds them up over all
-blocks: the count table, partitioned by hash. It answers each block with the counts of the block's own n-grams; the
-block joins them to its documents' n-grams and sums each document's scores. So a frequent n-gram costs one row a block.
+A document's own occurrences do not count for it, as every n-gram has been seen if they did: with c(g) the corpus count
+of a gram less its count in the document, S(w | h) = c(hw) / c(h) if c(hw) > 0, else 0.4 * S(w | shorter h), and
+S(w) = (c(w) + 1) / (N + V). Where c(hw) > 0, so is c(h). Hence a document's score is that of its words backed off all
+the way, and what each gram adds that other documents have too:
 
-A document's own occurrences do not count for it: with c(g) the corpus count of a gram less its count in the document,
-S(w | h) = c(hw) / c(h) if c(hw) > 0, else 0.4 * S(w | shorter h); S(w) = (c(w) + 1) / (N + V).
+    sum of log S(w) + (order - 1) log 0.4 over its words    +    sum over its distinct seen grams g = hw, m times, of
+    m * (log c(hw) / c(h) - log c(w) / c(shorter h) [or log S(w)] - log 0.4)
+
+So documents are exploded into distinct grams, these are joined to the counts of the gram and of its parts, and the
+differences are added up by document; nothing else has to come together again.
+
+Bigrams are what costs. Two things keep their shuffle small, at any size of the corpus: words that several documents
+have are numbered by a dictionary of the ``DICTIONARY`` commonest, so that a bigram of two of them is one number from
+which the counts of its parts can be told; and the ``DICTIONARY`` commonest bigrams are scored where they are, from a
+broadcast table. So no gram in the shuffle is common, and a window over each one's rows counts it and joins the count
+at once. Bigrams with a rarer word go by hash and meet the table of word counts in a join.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetmetrics.llm.shared import U, gram_hashes, slices, word_hashes
+from fleetmetrics.llm.shared import Members, U, gram_hashes, materialise, slices, tidy, word_hashes
 
 BACKOFF = 0.4
-#: Documents a block and blocks a bucket: both bound what one task holds.
-BLOCK_DOCS, BUCKET_BLOCKS = 2000, 2
-
-
-def _planes(x: np.ndarray) -> bytes:
-    """Bytes of the numbers, place by place, so that the shuffle's compression meets the zeros together."""
-    return x.view(np.uint8).reshape(len(x), -1).T.tobytes()
-
-
-def _from_planes(data: bytes, kind: type) -> np.ndarray:
-    return np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
-
-
-class _Grams:
-    """Hashes of all grams of up to ``order`` words in a block of documents, by position."""
-
-    def __init__(self, texts: pa.Array, order: int) -> None:
-        batch = pa.RecordBatch.from_arrays([texts], ["t"])
-        words, sizes = [], []
-        for part in slices(batch, 0, 4_000_000):
-            h, at, _ = word_hashes(part.column(0))
-            words.append(h)
-            sizes.append(np.diff(at))
-        words, sizes = np.concatenate([*words, np.zeros(0, np.uint64)]), np.concatenate([*sizes, np.zeros(0, np.int64)])
-        self.docs, self.doc = len(sizes), np.repeat(np.arange(len(sizes)), sizes)
-        place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        #: levels[n]: hash of the n+1 words that end at each position, 0 where there are fewer.
-        self.levels = [words]
-        for n in range(1, order):
-            h = np.zeros(len(words), np.uint64)
-            if len(words) > n:
-                h[n:] = gram_hashes(words, n + 1) + U(n)
-            h[place < n] = 0
-            self.levels.append(h)
-
-
-def _asked(order: int, buckets: int):
-    def run(key: tuple, rows: pa.Table) -> pa.Table:
-        grams = _Grams(rows.column("text").combine_chunks(), order)
-        out = {"block": [], "bucket": [], "grams": [], "times": []}
-        hashes, times = np.unique(np.concatenate(grams.levels), return_counts=True)
-        hashes, times = hashes[hashes != 0], times[hashes != 0].astype(np.uint32)
-        bucket = _bucket(hashes, buckets)
-        cut = np.searchsorted(bucket, np.arange(buckets + 1))
-        for b in np.flatnonzero(np.diff(cut)):
-            part = slice(cut[b], cut[b + 1])
-            out["block"].append(key[0].as_py())
-            out["bucket"].append(int(b))
-            out["grams"].append(_planes(np.diff(hashes[part], prepend=U(0))))
-            out["times"].append(_planes(times[part]))
-        return pa.table({"block": pa.array(out["block"], pa.int64()), "bucket": pa.array(out["bucket"], pa.int64()), "grams": pa.array(out["grams"], pa.binary()), "times": pa.array(out["times"], pa.binary())})
+#: Entries of the broadcast tables of words and of bigrams: 16 MB each. Words are numbered in ``WORD_BITS`` bits.
+DICTIONARY, WORD_BITS = 1 << 20, 20
+#: A bigram is a candidate for the table if a slice of ``SLICE_BYTES`` has it so often.
+OFTEN = 3
+SLICE_BYTES = 2_000_000
+
+
+class _Slice:
+    """Words of a slice of documents by position, and distinct words and bigrams of each document."""
+
+    def __init__(self, texts: pa.Array) -> None:
+        self.words, at, _ = word_hashes(texts)
+        self.docs, self.sizes = len(at) - 1, np.diff(at)
+        self.doc = np.repeat(np.arange(self.docs), self.sizes)
+        self.kinds, self.kind = np.unique(self.words, return_inverse=True)
+        n = len(self.kinds) + 1
+        #: Distinct (document, word): first position, number of occurrences; and which of them each position is.
+        _, self.word_at, self.word_of, self.word_times = np.unique(self.doc * n + self.kind, return_index=True, return_inverse=True, return_counts=True)
+        second = np.flatnonzero(self.doc[1:] == self.doc[:-1]) + 1
+        pair = self.kind[second - 1] * n + self.kind[second]
+        self.pair_kinds, pair = np.unique(pair, return_inverse=True)
+        _, at, self.pair_times = np.unique(self.doc[second] * (len(self.pair_kinds) + 1) + pair, return_index=True, return_counts=True)
+        #: Distinct (document, bigram): position of the second word, number of occurrences.
+        self.pair_at, self.pair_kind, self.pairs = second[at], pair[at], len(second)
+        self.pair_counts = np.bincount(pair, minlength=len(self.pair_kinds))
+        h = np.stack([self.kinds[self.pair_kinds // n], self.kinds[self.pair_kinds % n]], axis=1).ravel() if len(second) else self.words[:0]
+        self.pair_hashes = gram_hashes(h, 2)[::2] + U(1)
+
+
+def _long(x: np.ndarray) -> pa.Array:
+    return pa.array(x.view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64))
+
+
+@tidy
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(gram, level, n, docs) of the words of a slice, and of the bigrams that it has often."""
+    for batch in batches:
+        for part in slices(batch, 0, SLICE_BYTES):
+            s = _Slice(part.column(0))
+            often = s.pair_counts >= OFTEN
+            grams = np.concatenate([s.kinds, s.pair_hashes[often]])
+            level = np.repeat([1, 2], [len(s.kinds), int(often.sum())])
+            n = np.concatenate([np.bincount(s.kind, minlength=len(s.kinds)), s.pair_counts[often]])
+            docs = np.concatenate([np.bincount(s.kind[s.word_at], minlength=len(s.kinds)), np.zeros(int(often.sum()), np.int64)])
+            yield pa.RecordBatch.from_arrays([_long(grams), pa.array(level, pa.int8()), _long(n), _long(docs)], ["gram", "level", "n", "docs"])
+
+
+class _Table:
+    """A sorted table of hashes, with their counts."""
+
+    def __init__(self, keys: np.ndarray, n: np.ndarray) -> None:
+        order = np.argsort(keys)
+        self.keys, self.n = keys[order], n[order]
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Places in the table, -1 for what is not there."""
+        if not len(self.keys):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        return np.where(self.keys[at] == hashes, at, -1)
+
+
+def _largest(grams: DataFrame, level: int) -> _Table:
+    """The ``DICTIONARY`` commonest grams at most; so what goes to the driver has a fixed bound."""
+    top = grams.where(F.col("level") == level).orderBy(F.desc("n"), "gram").limit(DICTIONARY).select("gram", "n").toArrow()
+    return _Table(top["gram"].to_numpy().view(np.uint64), top["n"].to_numpy())
+
+
+def _counted(common: Broadcast):
+    """(place, n) of the bigrams of a table, once a task."""
+
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = common.value
+        n = np.zeros(len(table.keys), np.int64)
+        for batch in batches:
+            for part in slices(batch, 0, SLICE_BYTES):
+                s = _Slice(part.column(0))
+                at = table.find(s.pair_hashes)
+                np.add.at(n, at[at >= 0], s.pair_counts[at >= 0])
+        met = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([_long(met), _long(n[met])], ["place", "n"])
 
     return run
 
 
-def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
-    """Buckets are ranges of the hash, so that a block's sorted hashes fall into them in order."""
-    return ((hashes >> U(40)) * U(buckets) >> U(24)).astype(np.int64)
-
-
-def _counted(key: tuple, rows: pa.Table) -> pa.Table:
-    """Adds a bucket's counts over all blocks, and answers each block with the counts of its grams, in its order."""
-    parts = [np.cumsum(_from_planes(g, np.uint64)) for g in rows.column("grams").to_pylist()]
-    times = np.concatenate([_from_planes(t, np.uint32) for t in rows.column("times").to_pylist()])
-    _, at = np.unique(np.concatenate(parts), return_inverse=True)
-    counts = np.bincount(at, weights=times).astype(np.uint32)[at]
-    cut = np.cumsum([0, *map(len, parts)])
-    return pa.table({"block": rows.column("block"), "bucket": rows.column("bucket"), "counts": pa.array([_planes(counts[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())})
-
-
-def _scored(order: int, total: int, kinds: int):
-    def run(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
-        grams = _Grams(docs.column("text").combine_chunks(), order)
-        hashes, at = np.unique(np.concatenate([np.zeros(1, np.uint64), *grams.levels]), return_inverse=True)
-        order_ = np.argsort(answers.column("bucket").to_numpy(), kind="stable")
-        parts = answers.column("counts").to_pylist()
-        counts = np.concatenate([np.zeros(1, np.uint32), *(_from_planes(parts[i], np.uint32) for i in order_)]).astype(np.int64)  # the first is no gram's
-        n = len(grams.doc)
-        # Per position: corpus count less the document's own, of the gram that ends there.
-        other = []
-        for k, level in enumerate(grams.levels):
-            of = at[1 + k * n : 1 + (k + 1) * n]
-            _, where, own = np.unique(of * grams.docs + grams.doc, return_inverse=True, return_counts=True)
-            other.append(np.where(level == 0, 0, counts[of] - own[where]))
-        p = (other[0] + 1) / (total + kinds)
-        backed = np.zeros(n, np.int64)
-        for k in range(1, order):
-            history = np.zeros(n, np.int64)
-            history[1:] = other[k - 1][:-1]
-            seen = (other[k] > 0) & (history > 0)
-            backed += (~seen) & (grams.levels[k] != 0)
-            p = np.where(seen, other[k] / np.maximum(history, 1), np.where(grams.levels[k] != 0, BACKOFF * p, p))
-        logs = np.bincount(grams.doc, weights=np.log(p), minlength=grams.docs).astype(float)  # of no words, bincount gives integers
-        words = np.bincount(grams.doc, minlength=grams.docs)
-        lost = np.bincount(grams.doc, weights=backed, minlength=grams.docs).astype(np.int64)
-        return pa.table({"doc_id": docs.column("doc_id"), "n_words": pa.array(words), "log_score": pa.array(np.round(logs, 9)), "n_backed_off": pa.array(lost)})
+def _packed(*times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Up to four numbers below 2**32 in two: their low halves, and their high halves, which are nearly always zero."""
+    low, high = (sum((t >> s & 0xFFFF) << (16 * i) for i, t in enumerate(times)) for s in (0, 16))
+    return low, high
+
+
+def _times(i: int) -> Column:
+    part = lambda c: F.shiftrightunsigned(F.col(c), 16 * i).bitwiseAND(F.lit(0xFFFF).cast("long"))
+    return part("own") + part("more") * 65536
+
+
+_SIDE = "row long, doc_id long, base double, n_words long, seen long, pairs long, gram long, h long, w long, ch long, cw long, own long, more long"
+
+
+def _exploded(words: Broadcast, common: Broadcast, several: Broadcast, log_size: float, main: bool):
+    """Main: (key, row, own, more) of the bigrams of two numbered words that the table lacks. Side: a row a document with
+    what needs no shuffle; and words and bigrams with a word that has no number, but that several documents may have."""
+
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbered, pairs = words.value, common.value
+        for batch in batches:
+            for part in slices(batch, 2, SLICE_BYTES):
+                s, row = _Slice(part.column(2)), part.column(0).to_numpy()
+                number = numbered.find(s.kinds)
+                shared = (number >= 0) | several.value.may_have(_long(s.kinds))
+                h, w = s.kind[s.pair_at - 1], s.kind[s.pair_at]
+                known = (number[h] >= 0) & (number[w] >= 0)
+                place = np.where(known, pairs.find(s.pair_hashes)[s.pair_kind], -1)
+                doc, m, own_h, own_w = s.doc[s.pair_at], s.pair_times, s.word_times[s.word_of[s.pair_at - 1]], s.word_times[s.word_of[s.pair_at]]
+                if main:
+                    rest = known & (place < 0)
+                    own, more = _packed(m[rest], own_h[rest], own_w[rest])
+                    yield pa.RecordBatch.from_arrays([_long(number[h[rest]] << WORD_BITS | number[w[rest]]), _long(row[doc[rest]]), _long(own), _long(more)], ["key", "row", "own", "more"])
+                    continue
+                own_doc, own_kind = s.doc[s.word_at], s.kind[s.word_at]
+                other = np.where(number[own_kind] >= 0, (numbered.n[number[own_kind]] if len(numbered.n) else 0) - s.word_times, 0)
+                base = np.bincount(own_doc, s.word_times * np.log(other + 1.0), s.docs) - s.sizes * log_size + np.maximum(s.sizes - 1, 0) * np.log(BACKOFF)
+                hit = place >= 0
+                hit[hit] = pairs.n[place[hit]] > m[hit]
+                c = (pairs.n[place[hit]] - m[hit], numbered.n[number[h[hit]]] - own_h[hit], numbered.n[number[w[hit]]] - own_w[hit] + 1)
+                base += np.bincount(doc[hit], m[hit] * (np.log(c[0]) - np.log(c[1]) - np.log(c[2]) + log_size - np.log(BACKOFF)), s.docs)
+                seen = np.bincount(doc[hit], m[hit], s.docs).astype(np.int64)
+                # Words and bigrams that meet the counts of rarer words in a join.
+                lone = (number[own_kind] < 0) & shared[own_kind]
+                rest = ~known & shared[h] & shared[w]
+                own, more = _packed(m[rest], own_h[rest], own_w[rest])
+                count = lambda k: np.where(number[k] >= 0, (numbered.n[number[k]] if len(numbered.n) else 0), -1)
+                none = lambda n, t=pa.int64(): pa.nulls(n, t)
+                gone = lambda x, at: pa.array(x.view(np.int64) if x.dtype == np.uint64 else x, mask=at)
+                a, b, d = int(lone.sum()), int(rest.sum()), s.docs
+                hash_of = lambda k: s.kinds[k].view(np.int64)
+                columns = {
+                    "row": [_long(row), _long(row[own_doc[lone]]), _long(row[doc[rest]])],
+                    "doc_id": [part.column(1), none(a), none(b)],
+                    "base": [pa.array(base.astype(float)), none(a, pa.float64()), none(b, pa.float64())],
+                    "n_words": [_long(s.sizes), none(a), none(b)],
+                    "seen": [_long(seen), none(a), none(b)],
+                    "pairs": [_long(np.maximum(s.sizes - 1, 0)), none(a), none(b)],
+                    "gram": [none(d), none(a), _long(s.pair_hashes[s.pair_kind[rest]])],
+                    "h": [none(d), none(a), gone(hash_of(h[rest]), number[h[rest]] >= 0)],
+                    "w": [none(d), _long(hash_of(own_kind[lone])), gone(hash_of(w[rest]), number[w[rest]] >= 0)],
+                    "ch": [none(d), none(a), gone(count(h[rest]), number[h[rest]] < 0)],
+                    "cw": [none(d), none(a), gone(count(w[rest]), number[w[rest]] < 0)],
+                    "own": [none(d), _long(s.word_times[lone]), _long(own)],
+                    "more": [none(d), none(a), _long(more)],
+                }
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in columns.values()], list(columns))
+
+    return run
+
+
+def _added(rows: DataFrame, size: int, key: str) -> DataFrame:
+    """(row, added, seen): what bigrams add, by the counts ``ch`` and ``cw`` of their words and a window over all rows of each."""
+    m, own_h, own_w = _times(0), _times(1), _times(2)
+    c = F.sum(m).over(Window.partitionBy(key)) - m
+    of = rows.withColumn("c", c).where("c > 0")
+    value = F.log("c") - F.log(F.col("ch") - own_h) - F.log(F.col("cw") - own_w + 1) + F.log(F.lit(float(size))) - F.log(F.lit(BACKOFF))
+    return of.select("row", (m * value).alias("added"), m.alias("seen"))
+
+
+def _bigram_scores(rows: DataFrame) -> DataFrame:
+    """Scores of (row, doc_id, text) at order 2."""
+    spark = rows.sparkSession
+    share = spark.sparkContext.broadcast
+    texts = rows.select("text")
+    met = texts.mapInArrow(_met, "gram long, level byte, n long, docs long").groupBy("gram", "level").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    met = materialise(met, "backoff-counts")
+    words = met.where("level = 1")
+    total, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    size = max(1, total + kinds)
+    numbered, common = _largest(met.where("level = 2 or docs > 1"), 1), _largest(met, 2)
+    exact = texts.mapInArrow(_counted(share(common)), "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    common.n = np.zeros(len(common.keys), np.int64)
+    common.n[exact["place"].to_numpy()] = exact["n"].to_numpy()
+    least = int(numbered.n.min()) if len(numbered.n) else total
+    rarer = words.where((F.col("docs") > 1) & (F.col("n") <= least)).select(F.col("gram").alias("id"), F.col("n").alias("times"))
+    shared = share(numbered), share(common), share(Members.of(rarer.select("id"))), float(np.log(size))
+    side = materialise(rows.mapInArrow(_exploded(*shared, False), _SIDE), "backoff-side")
+
+    main = rows.mapInArrow(_exploded(*shared, True), "key long, row long, own long, more long")
+    counts = spark.createDataFrame(pa.table({"number": np.arange(len(numbered.n)), "times": numbered.n}))
+    count = lambda name, at: F.broadcast(counts.select(F.col("number").alias(at), F.col("times").alias(name)))
+    main = main.withColumns({"h": F.shiftright("key", WORD_BITS), "w": F.col("key").bitwiseAND(F.lit((1 << WORD_BITS) - 1).cast("long"))})
+    # DICTIONARY bounds the broadcast counts.
+    main = _added(main.repartition("key").join(count("ch", "h"), "h").join(count("cw", "w"), "w"), size, "key")
+
+    odd = side.where("gram is not null").drop("doc_id", "base", "n_words", "seen", "pairs")
+    rare = lambda name, at: rarer.select(F.col("id").alias(at), F.col("times").alias(name))
+    first = odd.where("h is not null and w is null").drop("ch").join(rare("ch", "h"), "h")
+    second = odd.where("h is null and w is not null").drop("cw").join(rare("cw", "w"), "w")
+    both = odd.where("h is not null and w is not null").drop("ch", "cw").join(rare("ch", "h"), "h").join(rare("cw", "w"), "w")
+    odd = _added(first.unionByName(second).unionByName(both), size, "gram")
+    lone = side.where("gram is null and w is not null").select("row", "w", "own").join(rare("cw", "w"), "w")
+    lone = lone.select("row", (F.col("own") * F.log(F.col("cw") - F.col("own") + 1)).alias("added"), F.lit(0).cast("long").alias("seen"))
+
+    headers = side.where("n_words is not null").select("row", F.col("base").alias("added"), "seen", "doc_id", "n_words", "pairs")
+    every = headers.unionByName(main.unionByName(odd).unionByName(lone), allowMissingColumns=True)
+    out = every.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.sum("added").alias("score"), (F.max("pairs") - F.sum("seen")).alias("n_backed_off"))
+    return out.select("doc_id", "n_words", F.round("score", 6).alias("log_score"), "n_backed_off")
+
+
+def _grams(order: int):
+    """(row, doc_id, level, gram, h, g, gh, m, own_h, own_g, own_gh) of a document's distinct grams: h is the gram without its
+    last word, g without its first, gh without both; a row of level 0 a document."""
+
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["row", "doc_id", "level", "gram", "h", "g", "gh", "m", "own_h", "own_g", "own_gh"]
+        for batch in batches:
+            for part in slices(batch, 2, SLICE_BYTES):
+                words, at, _ = word_hashes(part.column(2))
+                row, n = part.column(0).to_numpy(), np.diff(at)
+                doc = np.repeat(np.arange(len(n)), n)
+                place = np.arange(len(words)) - np.repeat(at[:-1], n)
+                none = pa.nulls(len(row), pa.int64())
+                yield pa.RecordBatch.from_arrays([_long(row), part.column(1), pa.array(np.zeros(len(row)), pa.int8()), none, none, none, none, _long(n), none, none, none], names)
+                hashes, own = [words], []
+                for level in range(1, order + 1):
+                    if level > 1:
+                        h = np.zeros(len(words), np.uint64)
+                        if len(words) >= level:
+                            h[level - 1 :] = gram_hashes(words, level) + U(level - 1)
+                        hashes.append(h)
+                    ends = np.flatnonzero(place >= level - 1)
+                    kinds, kind = np.unique(hashes[-1][ends], return_inverse=True)
+                    _, first, which, times = np.unique(doc[ends] * (len(kinds) + 1) + kind, return_index=True, return_inverse=True, return_counts=True)
+                    mine = np.zeros(len(words), np.int64)
+                    mine[ends] = times[which]
+                    own.append(mine)
+                    e = ends[first]
+                    before = lambda k, back, x, e=e: _long(x[k - 1][e - back]) if k >= 1 else pa.nulls(len(e), pa.int64())
+                    yield pa.RecordBatch.from_arrays(
+                        [_long(row[doc[e]]), pa.nulls(len(e), pa.int64()), pa.array(np.full(len(e), level), pa.int8()), _long(hashes[-1][e]), before(level - 1, 1, hashes), before(level - 1, 0, hashes), before(level - 2, 1, hashes), _long(times), before(level - 1, 1, own), before(level - 1, 0, own), before(level - 2, 1, own)], names
+                    )
 
     return run
 
 
-def backoff_scores(docs: DataFrame, order: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _any_order_scores(rows: DataFrame, order: int) -> DataFrame:
+    """Scores at any order: exploded grams, written, joined to the table of the counts of those that several documents have."""
+    columns = "row long, doc_id long, level byte, gram long, h long, g long, gh long, m long, own_h long, own_g long, own_gh long"
+    exploded = materialise(rows.mapInArrow(_grams(order), columns), "backoff-grams")
+    grams = exploded.where("level > 0")
+    counts = materialise(grams.groupBy("level", "gram").agg(F.sum("m").alias("n"), F.count("*").alias("docs"), F.first("h").alias("h"), F.first("g").alias("g"), F.first("gh").alias("gh")), "backoff-counts")
+    total, kinds = counts.where("level = 1").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    size, table = F.log(F.lit(float(max(1, total + kinds)))), counts.where("docs > 1")
+    part = lambda name, less: table.select((F.col("level") + less).alias("level"), F.col("gram").alias(name), F.col("n").alias(f"n_{name}"))
+    # Counts of a gram's parts are joined once a gram, not once a document.
+    whole = table.select("level", "gram", "n", "h", "g", "gh").join(part("h", 1), ["level", "h"], "left").join(part("g", 1), ["level", "g"], "left").join(part("gh", 2), ["level", "gh"], "left")
+    seen = grams.select("row", "level", "gram", "m", "own_h", "own_g", "own_gh").join(whole.select("level", "gram", "n", "n_h", "n_g", "n_gh"), ["level", "gram"]).where("n > m")
+    log = lambda total, own: F.log(F.col(total) - F.col(own))
+    shorter = F.when(F.col("level") == 2, F.log(F.col("n_g") - F.col("own_g") + 1) - size).otherwise(log("n_g", "own_g") - log("n_gh", "own_gh"))
+    value = F.when(F.col("level") == 1, F.log(F.col("n") - F.col("m") + 1)).otherwise(log("n", "m") - log("n_h", "own_h") - shorter - F.log(F.lit(BACKOFF)))
+    lost = sum((F.greatest(F.col("m") - k, F.lit(0)) for k in range(1, order)), F.lit(0).cast("long"))
+    headers = exploded.where("level = 0").select("row", "doc_id", F.col("m").alias("n_words"), (lost * F.log(F.lit(BACKOFF)) - F.col("m") * size).alias("added"), lost.alias("lost"))
+    every = headers.unionByName(seen.select("row", (F.col("m") * value).alias("added"), F.when(F.col("level") > 1, -F.col("m")).otherwise(0).alias("lost")), allowMissingColumns=True)
+    out = every.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.sum("added").alias("score"), F.sum("lost").alias("n_backed_off"))
+    return out.select("doc_id", "n_words", F.round("score", 6).alias("log_score"), "n_backed_off")
+
+
+def backoff_scores(docs: DataFrame, order: int = 2, id_col: str = "doc_id", text_col: str = "text", stable: bool = False) -> DataFrame:
     """doc_id, n_words, log_score (natural log, summed over the words), n_backed_off, mean_log_score of each whole text.
 
     Counts are over all of ``docs`` but the document itself; a copy of it counts as another document. Texts without a
     word (null, empty) score 0 with a null mean. Repeated rows and null ids are documents of their own; other columns
     are ignored; an empty table gives no rows. A gram is known by a 64-bit hash of its words (see ``word_hashes``).
+
+    ``docs`` is read several times, and its rows are numbered: ``stable`` says that it gives the same rows in the same
+    order each time, as files do; others are written to the shared folder first. Order 2 takes the way of the module's
+    last paragraph; other orders join all grams as they are.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    many = docs.count()
-    blocks = max(1, -(-many // BLOCK_DOCS))
-    buckets = max(16, blocks // BUCKET_BLOCKS)
-    by_block = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(blocks)).cast("long"))
-    asked = by_block.groupBy("block").applyInArrow(_asked(order, buckets), "block long, bucket long, grams binary, times binary")
-    answers = asked.groupBy("bucket").applyInArrow(_counted, "block long, bucket long, counts binary")
-    total, kinds = _size(docs)
-    found = by_block.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scored(order, total, kinds), "doc_id long, n_words long, log_score double, n_backed_off long")
+    docs = docs if stable else materialise(docs, "backoff-docs")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    found = _bigram_scores(rows) if order == 2 else _any_order_scores(rows, order)
     return found.withColumn("mean_log_score", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")))
-
-
-def _size(docs: DataFrame) -> tuple[int, int]:
-    """Words of the corpus, and how many are distinct (by their hashes)."""
-
-    def run(batches):
-        for batch in batches:
-            for part in slices(batch, 0, 4_000_000):
-                words, _, _ = word_hashes(part.column(0))
-                kinds, times = np.unique(words, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), pa.array(times)], ["w", "n"])
-
-    row = docs.select("text").mapInArrow(run, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    return int(row[0]), int(row[1])

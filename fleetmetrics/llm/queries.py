@@ -75,11 +75,11 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return backoff.backoff_scores(table(spark, sf_dir, "documents"))
+    return backoff.backoff_scores(table(spark, sf_dir, "documents"), stable=True)
 
 
 def op10_backoff_trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return backoff.backoff_scores(table(spark, sf_dir, "documents"), order=3)
+    return backoff.backoff_scores(table(spark, sf_dir, "documents"), order=3, stable=True)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

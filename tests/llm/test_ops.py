@@ -586,53 +586,65 @@ def test_quality_edges(spark, odd, none):
 # 10
 
 
-def test_backoff(spark, documents):
-    got = {r.doc_id: r for r in run(spark, "op10_backoff")}
-    split = {d["doc_id"]: words(d["text"]) for d in documents}
-    one, two = Counter(w for x in split.values() for w in x), Counter(b for x in split.values() for b in zip(x, x[1:]))  # noqa: B905
-    total, kinds = sum(one.values()), len(one)
+def brute_backoff(split, order):
+    """(words, score, levels backed off) of each document, word by word."""
+    grams = lambda x, k: list(zip(*[x[i:] for i in range(k)]))  # noqa: E731, B905
+    counts = [Counter(g for x in split.values() for g in grams(x, k)) for k in range(1, order + 1)]
+    total, kinds, out = sum(counts[0].values()), len(counts[0]), {}
     for d, x in split.items():
-        own, own2, score, lost = Counter(x), Counter(zip(x, x[1:])), 0.0, 0  # noqa: B905
-        for i, w in enumerate(x):
-            p = (one[w] - own[w] + 1) / (total + kinds)
-            if i:
-                pair, before = two[x[i - 1], w] - own2[x[i - 1], w], one[x[i - 1]] - own[x[i - 1]]
-                p, lost = (pair / before, lost) if pair and before else (0.4 * p, lost + 1)
+        own, score, lost = [Counter(grams(x, k)) for k in range(1, order + 1)], 0.0, 0
+        other = lambda g: counts[len(g) - 1][g] - own[len(g) - 1][g]  # noqa: B023, E731
+        for i in range(len(x)):
+            p = (other((x[i],)) + 1) / (total + kinds)
+            for k in range(2, min(order, i + 1) + 1):
+                g = tuple(x[i - k + 1 : i + 1])
+                p, lost = (other(g) / other(g[:-1]), lost) if other(g) else (0.4 * p, lost + 1)
             score += np.log(p)
-        assert got[d].n_words == len(x) and got[d].n_backed_off == lost and abs(got[d].log_score - score) <= 2e-3 * max(1, abs(score))
+        out[d] = (len(x), score, lost)
+    return out
+
+
+def same_scores(rows, expected):
+    assert sorted(r.doc_id for r in rows) == sorted(expected)
+    for r in rows:
+        n, score, lost = expected[r.doc_id]
+        assert (r.n_words, r.n_backed_off) == (n, lost) and abs(r.log_score - score) <= 2e-6 + 1e-12 * abs(score)
+
+
+def test_backoff(spark, documents):
+    same_scores(run(spark, "op10_backoff"), brute_backoff({d["doc_id"]: words(d["text"]) for d in documents}, 2))
+
+
+@pytest.mark.parametrize("entries", [0, 1, 20, 1000])
+def test_backoff_with_small_tables(spark, documents, monkeypatch, entries):
+    """Words and bigrams that the broadcast tables lack are counted as exactly."""
+    monkeypatch.setattr(backoff, "DICTIONARY", entries)
+    few = documents[:150] + [{"doc_id": 10_000 + i, "text": t} for i, t in enumerate(["a b a b a b " * 50, "a b", "zz yy zz", "zz yy", "q q q", "q"])]
+    df = spark.createDataFrame([(d["doc_id"], d["text"]) for d in few], "doc_id long, text string").repartition(3)
+    same_scores(backoff.backoff_scores(df).collect(), brute_backoff({d["doc_id"]: words(d["text"]) for d in few}, 2))
+
 
+def test_backoff_joins_counts_by_hash(spark, documents):
+    df = spark.createDataFrame([(d["doc_id"], d["text"]) for d in documents[:50]], "doc_id long, text string")
+    plan = backoff.backoff_scores(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "BroadcastHashJoin" in plan and "cogroup" not in plan.lower()
 
-def test_backoff_edges(spark, odd, none, monkeypatch):
-    monkeypatch.setattr(backoff, "BLOCK_DOCS", 2)
-    rows = backoff.backoff_scores(odd, order=3).collect()
-    assert len(rows) == len(ODD) + 1 and {r.doc_id: r.mean_log_score for r in rows}[0] is None
-    assert backoff.backoff_scores(none).count() == 0
 
+def test_numbers_beyond_sixteen_bits(spark):
+    low, high = backoff._packed(np.array([70_000, 1]), np.array([3, 1 << 31]), np.array([5, 0]))
+    df = spark.createDataFrame([(int(a), int(b)) for a, b in zip(low, high, strict=True)], "own long, more long")
+    assert [tuple(r) for r in df.select(*[backoff._times(i).alias(str(i)) for i in range(3)]).collect()] == [(70_000, 3, 5), (1, 1 << 31, 0)]
 
-def test_distinct_words_are_counted_exactly(spark):
-    df = spark.createDataFrame([(" ".join(f"w{i % 30011}" for i in range(k, k + 20000)),) for k in range(0, 60000, 7000)], "text string").repartition(4)
-    assert backoff._size(df) == (9 * 20000, 30011)
+
+def test_backoff_edges(spark, odd, none):
+    for order in (1, 2, 3):
+        rows = backoff.backoff_scores(odd, order=order).collect()
+        assert len(rows) == len(ODD) + 1 and {r.doc_id: r.mean_log_score for r in rows}[0] is None
+        assert backoff.backoff_scores(none, order=order).count() == 0
 
 
 def test_backoff_trigrams(spark, documents):
-    three, two = Counter(), Counter()
-    split = {d["doc_id"]: words(d["text"]) for d in documents}
-    for x in split.values():
-        three.update(zip(x, x[1:], x[2:]))  # noqa: B905
-        two.update(zip(x, x[1:]))  # noqa: B905
-    one = Counter(w for x in split.values() for w in x)
-    got = {r.doc_id: r for r in run(spark, "op10_backoff_trigrams")}
-    for d, x in split.items():
-        own1, own2, own3, score, total, kinds = Counter(x), Counter(zip(x, x[1:])), Counter(zip(x, x[1:], x[2:])), 0.0, sum(one.values()), len(one)  # noqa: B905
-        for i, w in enumerate(x):
-            p = (one[w] - own1[w] + 1) / (total + kinds)
-            for c, own, h, hown, g in ((two, own2, one, own1, x[max(i - 1, 0) : i + 1]), (three, own3, two, own2, x[max(i - 2, 0) : i + 1])):
-                if len(g) == 2 and c is two or len(g) == 3 and c is three:
-                    key, past = tuple(g), tuple(g[:-1]) if c is three else g[0]
-                    n, m = c[key] - own[key], h[past] - hown[past]
-                    p = n / m if n and m else 0.4 * p
-            score += np.log(p)
-        assert got[d].n_words == len(x) and abs(got[d].log_score - score) <= 1e-6 * max(1, abs(score))
+    same_scores(run(spark, "op10_backoff_trigrams"), brute_backoff({d["doc_id"]: words(d["text"]) for d in documents}, 3))
 
 
 # The pipeline
