@@ -1,12 +1,14 @@
 """Hourly status of sensors: by the share of good readings, or by five-minute maxima and gap-filled windows.
 
 Every operator works on all rules at once: bounds and window lengths are columns ``lo``, ``hi`` and ``win`` beside the
-readings, and ``rule`` is part of every key. So one pass over the readings serves all equipment families.
+readings, and ``rule`` is part of every key. ``hourly`` reads its input once: readings are added up by sensor and five
+minutes, which is before any shuffle; all that hours and windows need is a sum of that. What belongs to an hour of a
+device comes together by grouping, not by joins of branches that each read the input again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetmetrics.functions.keys import operation_id
@@ -86,24 +88,73 @@ def window_anomalies(windows: DataFrame, period: int = 60, long_windows: str = "
     few = F.col("row_count") < F.col("lo")
     bad = (F.col("row_count") == 0) | (F.col("zero_count") == F.col("row_count")) | (few & (F.col("zero_count") > 0))
     raw = windows.groupBy("rule", "DeviceId", "SensorTyId", "win", floor_to(F.col("xw"), period).alias("h")).agg(F.count_if(bad).alias("raw"))
-    hours = F.floor(F.col("win") / 60)
-    long = F.least("raw", F.lit(1)) if long_windows == "flag" else (F.col("raw") == hours).cast("long")
-    return raw.select("rule", "DeviceId", "SensorTyId", "h", F.when(hours > 1, long).otherwise(F.least("raw", F.lit(3))).cast("long").alias("Anomalies"))
+    return raw.select("rule", "DeviceId", "SensorTyId", "h", _capped(F.col("raw"), F.col("win"), long_windows).alias("Anomalies"))
+
+
+def _capped(raw: Column, win: Column, long_windows: str) -> Column:
+    hours = F.floor(win / 60)
+    long = F.least(raw, F.lit(1)) if long_windows == "flag" else (raw == hours).cast("long")
+    return F.when(hours > 1, long).otherwise(F.least(raw, F.lit(3))).cast("long")
+
+
+def hourly(df: DataFrame, period: int = 60, join_grain: str = "device", long_windows: str = "reference") -> DataFrame:
+    """Status of all rules by hour, in one pass: by five-minute maxima and windows where ``win`` is given (A-2), else by share (A-1).
+
+    Columns: rule, series, h, is_okay, total_readings, total_sensors, Promedio, StatusCode, MeasurementValue, Anomalies.
+    Windows and the period are multiples of five minutes. See :func:`windowed` for the grain; devices are not null.
+    """
+    keys, value = ["rule", *_SERIES], F.col("Value").cast("double")
+    at, bounds = minute_index(F.col("LocalTimeSpan")), [F.first(c).alias(c) for c in ("lo", "hi", "win")]
+    bad = (value <= F.col("lo")) | F.coalesce(value > F.col("hi"), F.lit(False))
+    sensors = df.where("DeviceId is not null").groupBy(*keys, "SensorId", floor_to(at, BUCKET).alias("b")).agg(
+        F.max("Value").cast("double").alias("v"), F.sum("Value").alias("total"), F.count("*").alias("n"), F.count_if(_within(value, strict=False)).alias("ok"), F.count_if(bad).alias("bad"), *bounds
+    )
+    totals = [F.sum(c).alias(c) for c in ("total", "n", "ok", "bad")]
+    devices = sensors.groupBy(*keys, "b").agg(F.max("v").alias("v"), F.sum("v").alias("sum_v"), F.count("*").alias("n_v"), *totals, *bounds)
+    place = lambda window, step: F.struct(F.lit(window).alias("window"), floor_to(F.col("b"), step).cast("int").alias("at"))
+    hour_of = F.array(place(False, F.lit(period)))
+    places = F.when(F.col("win").isNull(), hour_of).otherwise(F.concat(hour_of, F.array(place(True, F.col("win")))))
+    spans = devices.withColumn("p", F.explode(places)).groupBy("rule", "DeviceId", "LocationId", "SensorTyId", F.when(~F.col("p.window"), F.col("_sensor_type")).alias("_sensor_type"), "p.window", "p.at").agg(
+        *totals, F.sum("sum_v").alias("sum_v"), F.sum("n_v").alias("n_v"), F.count_if(_within(F.col("v"), strict=True)).alias("full"), *bounds
+    )
+    # From here on a row is a series' hour or window, so a device's rows are few, however many its readings are.
+    spans = spans.repartition("rule", "DeviceId")
+    following = F.lead("at").over(Window.partitionBy("rule", "DeviceId", "LocationId", "SensorTyId", "window").orderBy("at"))
+    gaps = F.when(F.col("window"), F.sequence("at", F.coalesce(F.col("following") - F.col("win"), "at"), F.col("win"))).otherwise(F.array("at"))
+    every = spans.withColumn("following", following).select("*", F.posexplode(gaps).alias("gap", "x")).withColumns({c: F.when(F.col("gap") == 0, F.col(c)).otherwise(0) for c in ("n", "bad")})
+    odd = (F.col("n") == 0) | (F.col("bad") == F.col("n")) | ((F.col("n") < F.col("lo")) & (F.col("bad") > 0))
+    hours = every.groupBy("rule", "DeviceId", floor_to(F.col("x"), period).alias("h"), "window", "SensorTyId", F.when(~F.col("window"), F.col("LocationId")).alias("LocationId"), "_sensor_type").agg(
+        F.count_if(odd & F.col("window")).alias("raw"), *[F.first(c).alias(c) for c in ("total", "n", "ok", "sum_v", "n_v", "full", "win")]
+    )
+    series = F.collect_list(F.when(~F.col("window"), F.struct("LocationId", "SensorTyId", "_sensor_type", "total", "n", "ok", "sum_v", "n_v", "full")))
+    windows = F.collect_list(F.when(F.col("window"), F.struct("SensorTyId", _capped(F.col("raw"), F.col("win"), long_windows).alias("a"))))
+    one = hours.groupBy("rule", "DeviceId", "h").agg(series.alias("series"), windows.alias("windows"), F.first("win").alias("win"))
+    one = one.select("*", F.explode("series").alias("s"))
+    by_device = join_grain == "device"
+    mine = F.col("windows") if by_device else F.filter("windows", lambda w: w["SensorTyId"] == F.col("s.SensorTyId"))
+    full = F.aggregate("series", F.lit(0).cast("long"), lambda sum_, x: sum_ + x["full"]) if by_device else F.col("s.full")
+    one = one.withColumns({"full": full, "w": mine}).select("*", F.explode_outer("w").alias("a"))
+    by_share, share = F.col("win").isNull(), F.col("s.ok") / F.col("s.n")
+    return one.select(
+        "rule", "DeviceId", "h", "s.LocationId", "s.SensorTyId", "s._sensor_type",
+        F.when(by_share, F.col("s.ok")).otherwise(F.col("full")).alias("is_okay"),
+        F.when(by_share, F.col("s.n")).otherwise(period // BUCKET).alias("total_readings"),
+        F.when(~by_share, F.col("s.n_v")).alias("total_sensors"),
+        F.when(by_share, share).alias("Promedio"),
+        F.when(F.when(by_share, share >= OK_SHARE_THRESHOLD).otherwise(F.col("full") / F.lit(period // BUCKET) >= OK_SHARE_WINDOWED), 1).otherwise(3).alias("StatusCode"),
+        F.when(by_share, F.col("s.total").cast("double") / F.col("s.n")).otherwise(F.col("s.sum_v") / F.col("s.n_v")).alias("MeasurementValue"),
+        F.when(by_share, F.col("s.n") - F.col("s.ok")).otherwise(F.coalesce("a.a", F.lit(0).cast("long"))).alias("Anomalies"),
+    )
 
 
 def windowed(df: DataFrame, period: int = 60, join_grain: str = "device", long_windows: str = "reference") -> DataFrame:
     """Status by five-minute maxima (A-2): mean of maxima, duty status and window anomalies of each series and hour.
 
     ``join_grain="device"`` joins status and anomalies on device and hour only, which repeats rows if a device has
-    several sensor types under one name; ``"sensor_type"`` keeps the grain.
+    several sensor types under one name; ``"sensor_type"`` keeps the grain. Windows are multiples of five minutes.
     """
-    maxima = sensor_maxima(df)
-    keys = ["DeviceId"] if join_grain == "device" else ["DeviceId", "LocationId", "SensorTyId", "_sensor_type"]
-    more = [] if join_grain == "device" else ["SensorTyId"]
-    anomalies = window_anomalies(filled(window_counts(df)), period, long_windows)
-    out = mean_of_maxima(maxima, period).join(duty(device_maxima(maxima), keys, period), ["rule", "h", *keys])
-    out = out.join(anomalies if more else anomalies.drop("SensorTyId"), ["rule", "h", "DeviceId", *more], "left")
-    return out.withColumns({"Anomalies": F.coalesce("Anomalies", F.lit(0).cast("long")), "total_readings": F.lit(period // BUCKET)})
+    out = hourly(df, period, join_grain, long_windows).drop("Promedio")
+    return out.withColumn("total_readings", F.col("total_readings").cast("int"))
 
 
 def threshold_status(base: DataFrame, sensor_type: str | None = "Corriente", lo: float = 0, hi: float | None = None, period: int = 60) -> DataFrame:
@@ -113,21 +164,20 @@ def threshold_status(base: DataFrame, sensor_type: str | None = "Corriente", lo:
 
 
 def windowed_status(base: DataFrame, sensor_type: str | None = "Corriente", lo: float = 0, hi: float | None = None, window: int = 20, period: int = 60, **options: str) -> DataFrame:
-    """A-2 for one sensor type (None: all), one pair of bounds and one window length."""
+    """A-2 for one sensor type (None: all), one pair of bounds and one window length, a multiple of five minutes."""
+    if window <= 0 or window % BUCKET or period <= 0 or period % BUCKET:
+        raise ValueError(f"window and period must be multiples of {BUCKET} minutes")
     out = windowed(_with_bounds(base, sensor_type, lo, hi, window), period, **options)
     return out.withColumn("LocalTimeSpan", from_minutes(F.col("h"))).drop("rule", "h")
 
 
 def hourly_reading_status(readings: DataFrame, families: list[str] | None = None) -> DataFrame:
-    """Status of every device, sensor type and hour by the rule table, in one pass over enriched readings (F-1 to F-7)."""
+    """Status of every device, sensor type and hour by the rule table, in one pass over enriched readings (F-1 to F-7). The rule table has a row a rule and device type."""
     rules = F.broadcast(rule_table(readings.sparkSession, families))
     kept = readings.join(rules, ["_device_type", "_sensor_type"])
     kept = kept.where(~F.col("no_defrost") | (F.col("_sensor_name") != "Resistencia de deshielo"))
     flags = rule_table(readings.sparkSession, families).select("rule", "as_share", "keep_anomalies").distinct()
-    columns = ["rule", *_SERIES, "h", "StatusCode", "MeasurementValue", "Promedio", "Anomalies"]
-    by_share = threshold(kept.where("not windowed")).select(*columns)
-    by_window = windowed(kept.where("windowed")).withColumn("Promedio", F.lit(None).cast("double")).select(*columns)
-    both = by_share.unionByName(by_window).join(F.broadcast(flags), "rule")
+    both = hourly(kept).join(F.broadcast(flags), "rule")
     out = both.select(
         *_SERIES, "StatusCode", F.when(F.col("as_share"), F.col("Promedio")).otherwise(F.col("MeasurementValue")).alias("MeasurementValue"),
         F.when(F.col("keep_anomalies"), F.col("Anomalies")).alias("Anomalies"), from_minutes(F.col("h")).alias("LocalTimeSpan"),

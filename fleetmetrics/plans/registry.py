@@ -660,11 +660,8 @@ def _(spark, sf):
 
 @_query("U-1", f"{_family_sql(None)} {_STATUS}")
 def _(spark, sf):
-    rows, out = t.enriched(spark, sf), None
-    for family in FAMILIES:
-        part = status.family_status(rows, family)
-        out = part if out is None else out.unionByName(part)
-    return _rounded(out, "MeasurementValue")
+    rows, families = t.enriched(spark, sf), list(FAMILIES)
+    return _rounded(status.hourly_reading_status(rows, families[:3]).unionByName(status.hourly_reading_status(rows, families[3:])), "MeasurementValue")
 
 
 @_query("U-3", "SELECT * FROM readings WHERE false")
