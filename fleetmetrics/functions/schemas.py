@@ -10,7 +10,7 @@ SCHEMAS = {
     "readings": "ReadId string not null, SensorId string not null, TimeSpan timestamp not null, LocalTimeSpan timestamp, Value decimal(19,9) not null",
     "dimensions": "SensorId string not null, SensorTyId string not null, DeviceId string not null, _sensor_name string, _sensor_type string, DeviceTyId string not null, SubLocationId string not null, _device_name string, _device_type string, SubLocationTyId string not null, _sublocation_name string, LocationId string not null, _sublocation_type string",
     "reading_status": "OperationId string, DeviceId string, LocationId string, SensorTyId string, StatusCode int, MeasurementValue double, Anomalies bigint, LocalTimeSpan timestamp_ntz, _sensor_type string",
-    "fact_hourly_device_status": "OperationId string not null, DeviceId string not null, LocalTimeSpan timestamp not null, StatusCode smallint not null, Anomalies int, ModifiedAt timestamp not null",
+    "fact_hourly_device_status": "OperationId string not null, DeviceId string not null, LocalTimeSpan timestamp_ntz not null, StatusCode smallint not null, Anomalies int, ModifiedAt timestamp not null, Fecha date, Hora string",
     "fact_hourly_reading_status": "OperationId string not null, SensorTyId string not null, StatusCode smallint not null, MeasurementValue decimal(9,4), Anomalies int, ModifiedAt timestamp not null",
     "derived_status": "StatusCode smallint not null, Description string not null",
     "ingestion_control": "IngestionName string not null, LastLoadedAt timestamp, LastRunStatus string not null, LastRunStartedAt timestamp, LastRunFinishedAt timestamp, LastRunError string, IsActive boolean not null, UpdatedAt timestamp not null",

@@ -11,9 +11,13 @@ from fleetmetrics.operators.rules import status_table
 BROADCAST_ROWS = 100_000
 
 
-def small(df: DataFrame) -> DataFrame:
-    """Broadcast a side that a count shows to be small; any other is shuffled or sorted as Spark sees fit."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+def small(df: DataFrame, bound: DataFrame | None = None) -> DataFrame:
+    """Broadcast a side that a count shows to be small; any other is shuffled or sorted as Spark sees fit.
+
+    ``bound`` has at least as many rows and is counted instead, as the sensors' table for a dimension of a row a sensor:
+    a parquet table's rows are counted from its footers.
+    """
+    return F.broadcast(df) if (df if bound is None else bound).limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
 def flatten(sensors: DataFrame, sensor_types: DataFrame, devices: DataFrame, device_types: DataFrame, sublocations: DataFrame, sublocation_types: DataFrame) -> DataFrame:
@@ -28,10 +32,10 @@ def flatten(sensors: DataFrame, sensor_types: DataFrame, devices: DataFrame, dev
     return out.select("SensorId", "SensorTyId", "DeviceId", "_sensor_name", "_sensor_type", "DeviceTyId", "SubLocationId", "_device_name", "_device_type", "SubLocationTyId", "_sublocation_name", "LocationId", "_sublocation_type")
 
 
-def enrich(readings: DataFrame, dimensions: DataFrame) -> DataFrame:
-    """Readings with the dimension's 13 columns; of a reading whose sensor is unknown all of them, SensorId too, are null (J-2)."""
+def enrich(readings: DataFrame, dimensions: DataFrame, bound: DataFrame | None = None) -> DataFrame:
+    """Readings with the dimension's 13 columns; of a reading whose sensor is unknown all of them, SensorId too, are null (J-2). ``bound`` as in :func:`small`."""
     r = readings.select("ReadId", F.col("SensorId").alias("sensor_"), "TimeSpan", "LocalTimeSpan", "Value")
-    return r.join(small(dimensions), F.col("sensor_") == dimensions["SensorId"], "left").drop("sensor_")
+    return r.join(small(dimensions, bound), F.col("sensor_") == dimensions["SensorId"], "left").drop("sensor_")
 
 
 def decode_status(df: DataFrame) -> DataFrame:

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetmetrics.functions.schemas import conform
 from fleetmetrics.functions.timegrid import date_parts
 from fleetmetrics.operators.dimensions import decode_status, enrich
 from fleetmetrics.operators.rollup import device_status
@@ -22,11 +24,16 @@ class Facts:
     watermark: DataFrame
 
 
-def build_facts(readings: DataFrame, dimensions: DataFrame) -> Facts:
-    """Device fact, sensor-type fact and watermark from raw readings (F-8). Keys are hashes, so the two facts agree without being written together."""
-    status = hourly_reading_status(enrich(readings, dimensions))
-    devices = date_parts(device_status(status), "LocalTimeSpan")
-    facts = status.select("OperationId", "SensorTyId", F.col("StatusCode").cast("smallint").alias("StatusCode"), F.col("MeasurementValue").cast("decimal(9,4)").alias("MeasurementValue"), F.col("Anomalies").cast("int").alias("Anomalies"))
+def build_facts(readings: DataFrame, dimensions: DataFrame, modified_at: datetime | None = None, bound: DataFrame | None = None) -> Facts:
+    """Device fact, sensor-type fact and watermark from raw readings (F-8), in the schemas of the fact tables.
+
+    ``modified_at`` is the time of the build, now if not given. Keys are hashes, so the two facts agree without being
+    written together. ``bound`` as in :func:`enrich`.
+    """
+    stamp = F.current_timestamp() if modified_at is None else F.lit(modified_at).cast("timestamp")
+    status = hourly_reading_status(enrich(readings, dimensions, bound))
+    devices = conform(date_parts(device_status(status), "LocalTimeSpan").withColumn("ModifiedAt", stamp), "fact_hourly_device_status")
+    facts = conform(status.withColumn("ModifiedAt", stamp), "fact_hourly_reading_status")
     return Facts(facts, devices, devices.agg(F.max("LocalTimeSpan").alias("LocalTimeSpan")))
 
 

@@ -112,8 +112,13 @@ def _(spark, sf):
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    """A new folder below the one that driver and executors share."""
-    return f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='spark-')}/{name}-{uuid.uuid4().hex}"
+    """A new folder below the one that driver and executors share; one of this machine where none is set and the master is local."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="spark-")
+    return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
 @_query("L-3", f"SELECT * FROM readings WHERE LocalTimeSpan >= {_mid}")
@@ -130,10 +135,27 @@ def _target(spark, sf):
     return r.where(F.col("TimeSpan") < lit(MID_TS)), r.where(F.col("TimeSpan") >= lit(LO_TS)).unionByName(r.where(F.col("TimeSpan") >= lit(HI_TS)))
 
 
+@_query("L-2", "SELECT c_custkey, c_nationkey, c_mktsegment FROM customer", cte=False)
+def _(spark, sf):
+    """Over JDBC there and back, in parallel by key; the database lives in this process, so on a local master only."""
+    url, driver, name = "jdbc:derby:memory:fleetmetrics;create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver", f"C{uuid.uuid4().hex}"
+    rows = t.load(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    lo, hi = rows.agg(F.min("c_custkey"), F.max("c_custkey")).first()
+    lake.write_jdbc(rows.coalesce(4), url, name, driver, createTableColumnTypes="c_mktsegment VARCHAR(64)")
+    return lake.read_jdbc(spark, url, name, driver, "c_custkey", (lo, hi + 1), 4)
+
+
 @_query("L-4", f", {_TARGET} SELECT * FROM target UNION ALL SELECT DISTINCT * FROM incoming WHERE ReadId NOT IN (SELECT ReadId FROM target)")
 def _(spark, sf):
+    """Written in three runs: the target, what has come in, in which some rows are there twice, and the same again."""
     target, incoming = _target(spark, sf)
-    return target.unionByName(incremental.new_rows(incremental.dedup(incoming, ["ReadId"], "TimeSpan", "SensorId", "Value"), target, ["ReadId"]))
+    path = _scratch(spark, "readings")
+    target.write.parquet(path)
+    table = lambda: spark.read.schema(target.schema).parquet(path)
+    incremental.write_new(incoming, table(), path, ["ReadId"])
+    if incremental.write_new(incoming, table(), path, ["ReadId"])[0]:
+        raise RuntimeError("a repeated run has written rows")
+    return table()
 
 
 @_query("L-7", f", {_TARGET} SELECT * FROM incoming WHERE TimeSpan >= (SELECT max(TimeSpan) FROM target)")
@@ -150,7 +172,7 @@ def _(spark, sf):
 @_query("L-9", f", {_TARGET} SELECT DISTINCT * FROM incoming WHERE ReadId NOT IN (SELECT ReadId FROM target)")
 def _(spark, sf):
     target, incoming = _target(spark, sf)
-    return incremental.new_rows(incremental.dedup(incoming, ["ReadId"], "TimeSpan"), target, ["ReadId"])
+    return incremental.new_rows(incoming, target, ["ReadId"])
 
 
 @_query("L-10", f"SELECT * FROM readings WHERE NOT (TimeSpan >= {_lo} AND TimeSpan < {_mid}) UNION ALL SELECT * FROM readings WHERE TimeSpan >= {_lo} AND TimeSpan < {_mid} AND Value > 50")
@@ -167,9 +189,12 @@ def _(spark, sf):
     return incremental.cascade(lines, orders, "l_orderkey", "o_orderdate", datetime(1996, 1, 1), datetime(1998, 1, 1))
 
 
-@_query("L-12", "SELECT max(TimeSpan) AS latest FROM readings")
+@_query("L-12", "SELECT count(*) AS n, max(TimeSpan) AS latest FROM readings")
 def _(spark, sf):
-    return t.readings(spark, sf).agg(F.max("TimeSpan").alias("latest"))
+    """As observed in the write itself."""
+    rows = t.readings(spark, sf)
+    n, latest = incremental.write_new(rows, rows.limit(0), _scratch(spark, "readings"), ["ReadId"], ts="TimeSpan")
+    return spark.createDataFrame([(n, latest)], "n long, latest timestamp_ntz")
 
 
 def _ledger(spark, sf):
@@ -323,14 +348,14 @@ def _(spark, sf):
     return t.evaluations(spark, sf).select(days).groupBy("Fecha").agg(F.count("*").alias("n"))
 
 
-@_query("J-7", f"{_W} SELECT DeviceId, h AS LocalTimeSpan, LocationId, SensorTyId, n AS total_sensors, ok AS is_okay, anomalies AS \"Anomalies\" FROM out")
+@_query("J-7", f"{_W} SELECT DeviceId, h AS LocalTimeSpan, LocationId, SensorTyId, round(mv, 6) AS MeasurementValue, CAST(status AS INTEGER) AS StatusCode, n AS total_sensors, ok AS is_okay, anomalies AS \"Anomalies\" FROM out")
 def _(spark, sf):
-    return _at(status.windowed(_series(spark, sf))).select("DeviceId", "LocalTimeSpan", "LocationId", "SensorTyId", "total_sensors", "is_okay", "Anomalies")
+    return _rounded(_at(status.windowed(_series(spark, sf))).select("DeviceId", "LocalTimeSpan", "LocationId", "SensorTyId", "MeasurementValue", "StatusCode", "total_sensors", "is_okay", "Anomalies"), "MeasurementValue")
 
 
-@_query("J-7-sensor-type", f"{_W} SELECT v.DeviceId, v.h AS LocalTimeSpan, v.SensorTyId, v.n AS total_sensors, coalesce(a.anomalies, 0) AS \"Anomalies\" FROM val v LEFT JOIN an a ON a.DeviceId = v.DeviceId AND a.h = v.h AND a.SensorTyId = v.SensorTyId")
+@_query("J-7-sensor-type", f"{_W} SELECT v.DeviceId, v.h AS LocalTimeSpan, v.SensorTyId, round(v.mv, 6) AS MeasurementValue, v.n AS total_sensors, coalesce(a.anomalies, 0) AS \"Anomalies\" FROM val v LEFT JOIN an a ON a.DeviceId = v.DeviceId AND a.h = v.h AND a.SensorTyId = v.SensorTyId")
 def _(spark, sf):
-    return _at(status.windowed(_series(spark, sf), join_grain="sensor_type")).select("DeviceId", "LocalTimeSpan", "SensorTyId", "total_sensors", "Anomalies")
+    return _rounded(_at(status.windowed(_series(spark, sf), join_grain="sensor_type")).select("DeviceId", "LocalTimeSpan", "SensorTyId", "MeasurementValue", "total_sensors", "Anomalies"), "MeasurementValue")
 
 
 @_query("J-9", "SELECT count(*) FILTER (WHERE o_orderkey % 5 = 3) AS otros FROM orders", cte=False)
@@ -346,9 +371,9 @@ def _(spark, sf):
     return _rounded(status.threshold_status(t.enriched(spark, sf), "Corriente", LO), "MeasurementValue", "Promedio")
 
 
-@_query("A-1-bounds", f", s AS ({_threshold_sql('ext', LO, 60.0)}) SELECT DeviceId, LocationId, SensorTyId, _sensor_type, h AS LocalTimeSpan, ok AS is_okay, anomalies AS \"Anomalies\", CAST(CASE WHEN ok / total >= 0.5 THEN 1 ELSE 3 END AS INTEGER) AS StatusCode FROM s")
+@_query("A-1-bounds", f", s AS ({_threshold_sql('ext', LO, 60.0)}) SELECT DeviceId, LocationId, SensorTyId, _sensor_type, h AS LocalTimeSpan, round(mv, 6) AS MeasurementValue, ok AS is_okay, total AS total_readings, anomalies AS \"Anomalies\", round(ok / total, 6) AS Promedio, CAST(CASE WHEN ok / total >= 0.5 THEN 1 ELSE 3 END AS INTEGER) AS StatusCode FROM s")
 def _(spark, sf):
-    return status.threshold_status(t.enriched(spark, sf), None, LO, 60.0).select("DeviceId", "LocationId", "SensorTyId", "_sensor_type", "LocalTimeSpan", "is_okay", "Anomalies", "StatusCode")
+    return _rounded(status.threshold_status(t.enriched(spark, sf), None, LO, 60.0), "MeasurementValue", "Promedio")
 
 
 def _out_sql(p: str = "") -> str:
@@ -495,14 +520,23 @@ def _(spark, sf):
     return device_status(status.hourly_reading_status(t.enriched(spark, sf)))
 
 
-@_query("F-8", f"{_DEVICES} SELECT DeviceId, {_UUID} AS OperationId, h AS LocalTimeSpan, status AS StatusCode, anomalies AS \"Anomalies\", CAST(h AS DATE) AS Fecha, strftime(h, '%H:%M:%S') AS Hora FROM devices")
+_BUILT = f"{_hi} AS \"ModifiedAt\""
+_DEVICE_FACT = f"SELECT {_UUID} AS OperationId, DeviceId, h AS LocalTimeSpan, CAST(status AS SMALLINT) AS StatusCode, CAST(anomalies AS INTEGER) AS \"Anomalies\", {_BUILT}, CAST(h AS DATE) AS Fecha, strftime(h, '%H:%M:%S') AS Hora FROM devices"
+_READING_FACT = f"SELECT {_UUID} AS OperationId, SensorTyId, CAST(StatusCode AS SMALLINT) AS StatusCode, CAST(MeasurementValue AS DECIMAL(9,4)) AS MeasurementValue, CAST(\"Anomalies\" AS INTEGER) AS \"Anomalies\", {_BUILT} FROM allrows"
+
+
+def _facts(spark, sf):
+    return build_facts(t.readings(spark, sf), t.dimensions(spark, sf), HI_TS, t.load(spark, sf, "customer"))
+
+
+@_query("F-8", f"{_DEVICES} {_DEVICE_FACT}")
 def _(spark, sf):
-    return build_facts(t.readings(spark, sf), t.dimensions(spark, sf)).devices
+    return _plain(_facts(spark, sf).devices, "ModifiedAt")
 
 
-@_query("F-8-readings", f"{_family_sql(None)} SELECT {_UUID} AS OperationId, SensorTyId, CAST(StatusCode AS SMALLINT) AS StatusCode, CAST(\"Anomalies\" AS INTEGER) AS \"Anomalies\" FROM allrows")
+@_query("F-8-readings", f"{_family_sql(None)} {_READING_FACT}")
 def _(spark, sf):
-    return build_facts(t.readings(spark, sf), t.dimensions(spark, sf)).readings.drop("MeasurementValue")
+    return _plain(_facts(spark, sf).readings, "ModifiedAt")
 
 
 @_query("M-1", "SELECT * FROM not_armed")
@@ -582,14 +616,14 @@ def _run_stream(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 @_query("S-1", "SELECT event_id, user_id, value FROM events", cte=False)
 def _(spark, sf):
     e = _events(spark, sf)
-    once = e.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", streaming.LATE).dropDuplicatesWithinWatermark(["event_id"])
+    once = streaming.once(e.withColumn("ts", F.col("ts").cast("timestamp")), "event_id", "ts")
     return _run_stream(spark, once.select("event_id", "user_id", "value"), "ingest")
 
 
-@_query("S-2", f", {_CURRENT}, s AS ({_threshold_sql('cur', LO, None)}) SELECT DeviceId, LocationId, SensorTyId, h AS LocalTimeSpan, ok AS is_okay, total AS total_readings, anomalies AS \"Anomalies\" FROM s WHERE h + INTERVAL 1 HOUR <= (SELECT max(LocalTimeSpan) FROM cur) - INTERVAL 2 HOURS")
+@_query("S-2", f", {_CURRENT}, s AS ({_threshold_sql('cur', LO, None)}) SELECT DeviceId, LocationId, SensorTyId, h AS LocalTimeSpan, round(mv, 6) AS MeasurementValue, CAST(CASE WHEN ok / total >= 0.5 THEN 1 ELSE 3 END AS INTEGER) AS StatusCode, ok AS is_okay, total AS total_readings, anomalies AS \"Anomalies\" FROM s WHERE h + INTERVAL 1 HOUR <= (SELECT max(LocalTimeSpan) FROM cur) - INTERVAL 2 HOURS")
 def _(spark, sf):
     rows = _run_stream(spark, streaming.streaming_threshold(_event_stream(spark, sf), LO), "threshold")
-    return _plain(rows.select("DeviceId", "LocationId", "SensorTyId", "LocalTimeSpan", "is_okay", "total_readings", "Anomalies"), "LocalTimeSpan")
+    return _rounded(_plain(rows.select("DeviceId", "LocationId", "SensorTyId", "LocalTimeSpan", "MeasurementValue", "StatusCode", "is_okay", "total_readings", "Anomalies"), "LocalTimeSpan"), "MeasurementValue")
 
 
 @_query("S-3")
@@ -601,6 +635,17 @@ def _(spark, sf):
 _SQL["S-3"] = f"WITH {t.SQL} {_W} SELECT DeviceId, LocationId, SensorTyId, h AS LocalTimeSpan, count(*) FILTER (WHERE vm > {LO}) AS is_okay, CAST(CASE WHEN count(*) FILTER (WHERE vm > {LO}) / 12.0 >= 0.3 THEN 1 ELSE 3 END AS INTEGER) AS StatusCode FROM d WHERE h + INTERVAL 1 HOUR <= (SELECT max(LocalTimeSpan) FROM cur) - INTERVAL 2 HOURS GROUP BY DeviceId, LocationId, SensorTyId, h"
 
 
+@_query("S-4", "SELECT CAST(event_id AS VARCHAR) AS ReadId, CAST(user_id AS VARCHAR) AS SensorId, ts AS TimeSpan, ts AS LocalTimeSpan, CAST(value AS DECIMAL(19,9)) AS Value FROM events", cte=False)
+def _(spark, sf):
+    """A lake in which every value is wrong by one is put right by a stream of the readings, range by range."""
+    root, columns = _scratch(spark, "lake"), ["ReadId", "SensorId", "TimeSpan", "LocalTimeSpan", "Value"]
+    lake.write_readings(t.readings(spark, sf).withColumn("Value", F.col("Value") + 1), root)
+    e, ts = _events(spark, sf), F.col("ts").cast("timestamp")
+    stream = e.select(F.col("event_id").cast("string").alias("ReadId"), F.col("user_id").cast("string").alias("SensorId"), ts.alias("TimeSpan"), ts.alias("LocalTimeSpan"), F.col("value").cast("decimal(19,9)").alias("Value"))
+    stream.writeStream.foreachBatch(streaming.replacing_lake(root)).option("checkpointLocation", f"{root}-state").trigger(availableNow=True).start().awaitTermination()
+    return _plain(spark.read.parquet(root).select(*columns), "TimeSpan", "LocalTimeSpan")
+
+
 # Operators that are parts of the queries above, on their own
 
 
@@ -613,14 +658,20 @@ def _appended(spark, rows: DataFrame, keys: list[list[str]]) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
-@_query("L-5", f"{_family_sql(None)} SELECT {_UUID} AS OperationId, SensorTyId, CAST(StatusCode AS SMALLINT) AS StatusCode, CAST(\"Anomalies\" AS INTEGER) AS \"Anomalies\" FROM allrows")
+@_query("L-5", f"{_family_sql(None)} {_READING_FACT}")
 def _(spark, sf):
-    return _appended(spark, _Q["F-8-readings"](spark, sf), [["OperationId", "SensorTyId"]])
+    return _plain(_appended(spark, _facts(spark, sf).readings, [["OperationId", "SensorTyId"]]), "ModifiedAt")
 
 
-@_query("L-6", f"{_DEVICES} SELECT DeviceId, {_UUID} AS OperationId, h AS LocalTimeSpan, status AS StatusCode, anomalies AS \"Anomalies\" FROM devices")
+@_query("L-6", f"{_DEVICES} {_DEVICE_FACT}")
 def _(spark, sf):
-    return _appended(spark, _Q["A-9"](spark, sf), [["OperationId"], ["DeviceId", "LocalTimeSpan"]])
+    return _plain(_appended(spark, _facts(spark, sf).devices, [["OperationId"], ["DeviceId", "LocalTimeSpan"]]), "ModifiedAt")
+
+
+@_query("L-21", f"SELECT (SELECT count(*) = 0 FROM readings) AS is_empty UNION ALL SELECT (SELECT count(*) = 0 FROM readings WHERE TimeSpan > {_hi} AND TimeSpan < {_lo})")
+def _(spark, sf):
+    r = t.readings(spark, sf)
+    return incremental.is_empty(r).unionByName(incremental.is_empty(r.where((F.col("TimeSpan") > F.lit(HI_TS)) & (F.col("TimeSpan") < F.lit(LO_TS)))))
 
 
 @_query("J-6", "SELECT o_orderkey AS Id, o_custkey AS Fk_Tienda, l_extendedprice AS Oportunidad FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE l_returnflag = 'A'", cte=False)
@@ -671,4 +722,5 @@ def _(spark, sf):
 
 @_query("U-4", "SELECT * FROM readings")
 def _(spark, sf):
-    return t.readings(spark, sf).coalesce(4)
+    """Files of a good size, whatever the number of tasks was."""
+    return t.readings(spark, sf).hint("rebalance")

@@ -50,7 +50,7 @@ def dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich(readings(spark, sf_dir), dimensions(spark, sf_dir))
+    return enrich(readings(spark, sf_dir), dimensions(spark, sf_dir), load(spark, sf_dir, "customer"))  # a row a sensor
 
 
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:

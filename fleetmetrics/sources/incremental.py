@@ -19,15 +19,31 @@ def dedup(df: DataFrame, keys: list[str], latest: str, *ties: str) -> DataFrame:
 
 
 def new_rows(incoming: DataFrame, target: DataFrame, *key_sets: list[str]) -> DataFrame:
-    """Incoming rows whose keys are not in the target yet (L-9); with several unique keys, those that clash on none."""
+    """Incoming rows whose keys are not in the target yet, one a key (L-9); with several unique keys, those that clash on none.
+
+    Of incoming rows with the same key the least by the other columns, in their order, is kept. A null key is a key like
+    any other. Rows are cut to one a key before they are shuffled.
+    """
     out = incoming
     for keys in key_sets:
-        out = out.join(target.select(*keys), keys, "left_anti")
+        others = [F.col(f"`{c}`").asc_nulls_last() for c in out.columns if c not in keys] or [F.lit(0)]
+        order = Window.partitionBy(*keys).orderBy(*others)
+        out = out.withColumn("rank_", F.row_number().over(order)).where("rank_ = 1").drop("rank_")
+        known = target.select(*keys).distinct().alias("known_")
+        out = out.alias("new_")
+        out = out.join(known, _same_named(keys), "left_anti")
+    return out
+
+
+def _same_named(keys: list[str]) -> Column:
+    out = F.lit(True)
+    for k in keys:
+        out = out & F.col(f"new_.`{k}`").eqNullSafe(F.col(f"known_.`{k}`"))
     return out
 
 
 def write_new(incoming: DataFrame, target: DataFrame, path: str, *key_sets: list[str], ts: str | None = None) -> tuple[int, datetime | None]:
-    """Append the new rows; returns their count and latest ``ts``, observed in the write itself (L-4 to L-6, L-12)."""
+    """Append the new rows; returns their count and latest ``ts``, observed in the write itself (L-4 to L-6, L-12). Insert-ignore: a second run adds nothing."""
     from pyspark.sql import Observation
 
     seen = Observation()
@@ -64,6 +80,11 @@ def replace_range(target: DataFrame, incoming: DataFrame, ts: str, lo: datetime
     return delete_range(target, ts, lo, hi).unionByName(incoming)
 
 
+def is_empty(df: DataFrame) -> DataFrame:
+    """One row: whether there are no rows (L-21); at most one row of each partition is read."""
+    return df.limit(1).agg((F.count("*") == 0).alias("is_empty"))
+
+
 def cascade(children: DataFrame, parents: DataFrame, key: str, ts: str, lo: datetime, hi: datetime) -> DataFrame:
     """Child rows whose parent is not deleted with the range (L-11)."""
     return children.join(parents.where(_range(parents, ts, lo, hi)).select(key), key, "left_anti")

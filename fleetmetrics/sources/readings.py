@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmetrics.functions.schemas import conform
+from fleetmetrics.sources import incremental
+
+DAY = "event_date"
 
 
 def read_readings_range(spark: SparkSession, root: str, since: datetime, until: datetime) -> DataFrame:
@@ -18,9 +21,35 @@ def read_readings_range(spark: SparkSession, root: str, since: datetime, until:
 
 
 def write_readings(readings: DataFrame, root: str) -> None:
-    """Append readings partitioned by ``event_date``; a task writes few dates."""
-    dated = conform(readings, "readings").withColumn("event_date", F.to_date("TimeSpan"))
-    dated.repartition("event_date").write.mode("append").partitionBy("event_date").parquet(root)
+    """Append readings partitioned by ``event_date``. Tasks are dealt out by date, and a large date is split among several."""
+    _dated(readings).write.mode("append").partitionBy(DAY).parquet(root)
+
+
+def _dated(readings: DataFrame) -> DataFrame:
+    return conform(readings, "readings").withColumn(DAY, F.to_date("TimeSpan")).hint("rebalance", DAY)
+
+
+def replace_readings(spark: SparkSession, root: str, incoming: DataFrame, since: datetime, until: datetime) -> None:
+    """Replace the lake's readings of ``since <= TimeSpan < until`` by the incoming ones of that range (L-10, S-4).
+
+    Only the range's days are read and written: the others' partitions stay as they are. A day that has no reading left
+    loses its partition.
+    """
+    first, last = since.date(), (until - timedelta(microseconds=1)).date()
+    day = F.col(DAY)
+    days = spark.read.parquet(root).where((day >= F.lit(first)) & (day <= F.lit(last)))
+    inside = incremental.delete_range(days.drop(DAY), "TimeSpan", since, until).unionByName(conform(incoming, "readings").where((F.col("TimeSpan") >= F.lit(since)) & (F.col("TimeSpan") < F.lit(until))))
+    overwrite_days(days, inside.withColumn(DAY, F.to_date("TimeSpan")), root, DAY)
+
+
+def overwrite_days(old: DataFrame, new: DataFrame, path: str, day: str) -> None:
+    """Rewrite some days of a table partitioned by day: ``old`` is what it has for them, ``new`` what it shall have. A day without rows loses its partition; other days stay as they are."""
+    spark = new.sparkSession
+    had, left = ({r[0] for r in df.select(day).distinct().collect()} for df in (old, new))  # days, not rows
+    new.hint("rebalance", day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
+    for gone in had - left:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{day}={gone}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def between(df: DataFrame, ts: str, lo, hi, closed: str = "both") -> DataFrame:

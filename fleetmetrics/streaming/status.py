@@ -12,14 +12,20 @@ from pyspark.sql.types import StructType
 
 from fleetmetrics.operators.status import OK_SHARE_THRESHOLD, OK_SHARE_WINDOWED
 from fleetmetrics.sources.incremental import replace_range
+from fleetmetrics.sources.readings import replace_readings
 
 LATE = "2 hours"
 _SERIES = ["DeviceId", "LocationId", "SensorTyId", "_sensor_type"]
 
 
+def once(stream: DataFrame, key: str, ts: str, late: str = LATE) -> DataFrame:
+    """Each key once within the time that data may be late."""
+    return stream.withWatermark(ts, late).dropDuplicatesWithinWatermark([key])
+
+
 def readings_stream(spark: SparkSession, root: str, schema: StructType, ts: str = "TimeSpan", late: str = LATE) -> DataFrame:
-    """New readings of a parquet folder, each ReadId once within the time that data may be late (S-1)."""
-    return spark.readStream.schema(schema).parquet(root).withWatermark(ts, late).dropDuplicatesWithinWatermark(["ReadId"])
+    """New readings of a parquet folder, each ReadId once (S-1)."""
+    return once(spark.readStream.schema(schema).parquet(root), "ReadId", ts, late)
 
 
 def ingest(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
@@ -55,3 +61,14 @@ def replacing(read: Callable[[], DataFrame], write: Callable[[DataFrame], None],
             write(replace_range(read(), batch, ts, lo, hi))
 
     return apply
+
+
+def replacing_lake(root: str) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: replace the readings of the time range that a micro-batch covers in a lake; only its days are rewritten (S-4)."""
+
+    def apply(batch: DataFrame, _: int) -> None:
+        lo, hi = batch.agg(F.min("TimeSpan"), F.max("TimeSpan") + F.make_dt_interval(secs=F.lit(1))).first()
+        if isinstance(lo, datetime):
+            replace_readings(batch.sparkSession, root, batch, lo, hi)
+
+    return apply
