@@ -1,108 +1,224 @@
-"""WARC records and a Merkle audit of replicas.
+"""WARC archives and a Merkle audit of replicas.
 
 Each record's bytes are hashed where they lie. The digests, in order of offset, are the leaves of a tree: a node covers a
-fixed range of record numbers of one file, ``FANOUT`` nodes below it, up to a root for each file and one for the archive.
-Two replicas are compared root by root; only children of nodes that differ are looked at, level by level, down to records.
+fixed range of record numbers of one file, ``FANOUT`` nodes below it, up to a root for each file. The roots, in order of
+file, are the leaves of the archive's tree, whose nodes cover fixed ranges of file numbers. Two replicas are compared
+from the archive's root down: only children of nodes that differ are looked at, level by level, down to the records of
+ranges that differ; there, records are aligned by what they are, so that one that is gone is not taken for a change of
+all behind it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import gzip
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fleetmetrics.llm.shared import materialise
+from fleetmetrics.llm.shared import materialise, tidy
 
 FANOUT = 16
 RECORDS_PER_FILE = 1024
+#: Pages without an id are dealt into so many files of their own, numbered from -1 down.
+NAMELESS_FILES = 1 << 20
+#: Every record has a date; pages have none, so it is a fixed one, and equal pages give equal bytes.
+DATE = "1970-01-01T00:00:00Z"
+_END = b"\r\n\r\n"
+_FAULTS = "record_id long, file long, number long, start long, length long, copies long, expected string, found string, fault string"
 
 
 def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", body_col: str = "html") -> DataFrame:
     """record_id, file, content: one WARC response record a page, in files of ``RECORDS_PER_FILE`` consecutive ids.
 
-    Null url or body count as empty. Pages without an id cannot be placed in a file and are left out. Of repeated ids
-    each page is a record, in the order of their bytes. Other columns are ignored.
+    Null url or body count as empty. A page without an id has a record without one, in a file that a hash of its url and
+    body chooses. Of repeated ids each page is a record. Other columns are ignored.
     """
     body = F.coalesce(F.col(body_col), F.lit("")).cast("binary")
     url = F.coalesce(F.col(url_col), F.lit(""))
+    key = F.col(id_col).cast("long")
     head = F.concat(
-        F.lit("WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:"), F.col(id_col).cast("string"),
-        F.lit(">\r\nWARC-Target-URI: "), url,
+        F.lit("WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:"), F.coalesce(key.cast("string"), F.lit("")),
+        F.lit(f">\r\nWARC-Date: {DATE}\r\nWARC-Target-URI: "), url,
         F.lit("\r\nContent-Type: text/html\r\nContent-Length: "), F.octet_length(body).cast("string"), F.lit("\r\n\r\n"),
     )
-    content = F.concat(head.cast("binary"), body, F.lit("\r\n\r\n").cast("binary"))
-    rows = pages.where(F.col(id_col).isNotNull())
-    return rows.select(F.col(id_col).cast("long").alias("record_id"), F.floor(F.col(id_col) / RECORDS_PER_FILE).cast("long").alias("file"), content.alias("content"))
+    content = F.concat(head.cast("binary"), body, F.lit(_END.decode()).cast("binary"))
+    nameless = -1 - F.pmod(F.xxhash64(url, body), F.lit(NAMELESS_FILES))
+    return pages.select(key.alias("record_id"), F.coalesce(F.floor(key / RECORDS_PER_FILE), nameless).cast("long").alias("file"), content.alias("content"))
+
+
+def write_archive(rows: DataFrame, path: str) -> None:
+    """Records as WARC files below ``path``, one for each ``file``, in order of id and bytes, compressed. Contents must be UTF-8."""
+    text = F.expr(f"substring(content, 1, octet_length(content) - {len(_END)})").cast("string")
+    ordered = rows.repartition("file").sortWithinPartitions("file", "record_id", F.sha2("content", 256))
+    ordered.select("file", text.alias("value")).write.partitionBy("file").option("lineSep", _END.decode()).option("compression", "gzip").text(path)
+
+
+def parse(data: bytes) -> Iterator[tuple[int, int, int | None]]:
+    """(start, length, id) of each record of a WARC file.
+
+    A record whose head is broken, or whose end is not where its length says, ends where the next head begins; it has no
+    id if its head gives none.
+    """
+    at = 0
+    while at < len(data):
+        after = data.find(_END, at)
+        head = data[at:after] if after >= 0 else b""
+        size, name = re.search(rb"\r\nContent-Length: (\d{1,18})(?:\r\n|$)", head), re.search(rb"\r\nWARC-Record-ID: <urn:page:(-?\d{1,18})>", head)
+        end = after + len(_END) + int(size[1]) + len(_END) if size and head.startswith(b"WARC/1.") else -1
+        if not (0 <= end <= len(data)) or data[end - len(_END) : end] != _END:
+            following = data.find(b"WARC/1.", at + 1)
+            while following >= 0 and data[following - len(_END) : following] != _END:
+                following = data.find(b"WARC/1.", following + 1)
+            end = following if following >= 0 else len(data)
+        yield at, end - at, int(name[1]) if name else None
+        at = end
+
+
+@tidy
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path, stored in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            data = gzip.decompress(stored.as_py()) if path.endswith(".gz") else stored.as_py()
+            file, found = int(re.search(r"file=(-?\d+)", path)[1]), [*parse(data)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([i for _, _, i in found], pa.int64()), pa.array([file] * len(found), pa.int64()), pa.array([a for a, _, _ in found], pa.int64()), pa.array([data[a : a + n] for a, n, _ in found], pa.binary())],
+                ["record_id", "file", "start", "content"],
+            )
+
+
+def read_archive(spark: SparkSession, path: str) -> DataFrame:
+    """record_id, file, start, content of the records of WARC files below ``path`` (see :func:`write_archive`): the bytes that are stored.
+
+    A file is read by one task, which holds it; ``RECORDS_PER_FILE`` keeps files small.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select("path", "content").mapInArrow(_read, "record_id long, file long, start long, content binary")
 
 
 def leaves(rows: DataFrame) -> DataFrame:
-    """record_id, file, number (in its file, from 0), start, length, digest (sha256) of each record. The content itself is not shuffled."""
-    hashed = rows.select("record_id", "file", F.octet_length("content").cast("long").alias("length"), F.sha2("content", 256).alias("digest"))
+    """record_id, file, number (in its file, from 0), start, length, copies, digest (sha256) of each record. The content itself is not shuffled.
+
+    ``rows`` with a column ``start`` are stored ones, in that order; others are laid out in order of id and digest, and
+    equal records, then side by side, are one leaf of several copies.
+    """
+    stored = "start" in rows.columns
+    columns = ["record_id", "file", *(["start"] if stored else []), F.octet_length("content").cast("long").alias("length"), F.sha2("content", 256).alias("digest")]
+    hashed = rows.select(*columns)
+    if stored:
+        number = F.row_number().over(Window.partitionBy("file").orderBy("start")) - 1
+        return hashed.select("record_id", "file", number.cast("long").alias("number"), "start", "length", F.lit(1).cast("long").alias("copies"), "digest")
+    hashed = hashed.groupBy("record_id", "file", "length", "digest").agg(F.count("*").alias("copies"))
     order = Window.partitionBy("file").orderBy("record_id", "digest")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    return hashed.select("*", (F.row_number().over(order) - 1).cast("long").alias("number"), F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long").alias("start"))
+    before = F.sum(F.col("length") * F.col("copies")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    return hashed.select("record_id", "file", (F.row_number().over(order) - 1).cast("long").alias("number"), F.coalesce(before, F.lit(0)).cast("long").alias("start"), "length", "copies", "digest")
 
 
-def _parents(nodes: DataFrame, group: Column) -> DataFrame:
-    """One level up: the digest of the ordered digests and ranges of ``FANOUT`` nodes."""
+def _parents(nodes: DataFrame, *group: Column | str) -> DataFrame:
+    """One level up: the digest of the ordered digests and ranges of up to ``FANOUT`` nodes."""
     children = F.sort_array(F.collect_list(F.struct("number", "start", "end", "digest")))
-    up = nodes.groupBy("file", group.alias("number")).agg(children.alias("c"))
-    text = F.array_join(F.transform("c", lambda c: F.concat_ws(":", c["start"].cast("string"), c["end"].cast("string"), c["digest"])), ",")
-    return up.select("file", "number", F.array_min("c.start").alias("start"), F.array_max("c.end").alias("end"), F.sha2(text, 256).alias("digest"))
-
-
-def tree(leaf_rows: DataFrame, levels: int | None = None) -> list[DataFrame]:
-    """Levels of (file, number, start, end, digest), records first, a root for each file last. Levels follow from ``RECORDS_PER_FILE`` if not given."""
-    if levels is None:
-        levels, reach = 0, 1
-        while reach < RECORDS_PER_FILE:
-            levels, reach = levels + 1, reach * FANOUT
-    out = [leaf_rows.select("file", "number", "start", (F.col("start") + F.col("length")).alias("end"), "digest")]
+    up = nodes.groupBy(*group).agg(children.alias("c"))
+    text = F.array_join(F.transform("c", lambda c: F.concat_ws(":", *[c[k].cast("string") for k in ("number", "start", "end")], c["digest"])), ",")
+    return up.select(*[c for c in up.columns if c != "c"], F.array_min("c.start").alias("start"), F.array_max("c.end").alias("end"), F.sha2(text, 256).alias("digest"))
+
+
+def _up(number: str) -> Column:
+    return F.floor(F.col(number) / FANOUT).cast("long")
+
+
+def tree(leaf_rows: DataFrame) -> list[DataFrame]:
+    """Levels of (file, number, start, end, digest), records first, a root for each file last."""
+    levels, reach = 0, 1
+    while reach < RECORDS_PER_FILE:
+        levels, reach = levels + 1, reach * FANOUT
+    out = [leaf_rows.select("file", "number", "start", (F.col("start") + F.col("length") * F.col("copies")).alias("end"), F.concat_ws("x", "digest", F.col("copies").cast("string")).alias("digest"))]
     for k in range(levels):
-        last = k == levels - 1
-        out.append(_parents(out[-1], F.lit(0).cast("long") if last else F.floor(F.col("number") / FANOUT).cast("long")))
+        out.append(_parents(out[-1], "file", (F.lit(0).cast("long") if k == levels - 1 else _up("number")).alias("number")))
     return out
 
 
-def archive_root(roots: DataFrame) -> DataFrame:
-    """One row: the digest over all files' roots, added up so that no task sees all of them (a sum of 60-bit numbers from each root, in four parts)."""
-    part = lambda k: F.sum(F.conv(F.substring(F.sha2(F.concat_ws(":", F.col("file").cast("string"), "digest"), 256), 1 + 15 * k, 15), 16, 10).cast("decimal(38,0)"))
-    return roots.agg(F.sha2(F.concat_ws(":", F.count("*").cast("string"), *[part(k).cast("string") for k in range(4)]), 256).alias("digest"), F.count("*").alias("files"))
+def archive_tree(roots: DataFrame, span: int) -> list[DataFrame]:
+    """Levels of (number, start, end, digest) over the files' roots, in order of file; the last is one node. ``span`` bounds the distance of file numbers to zero."""
+    out = [roots.select(F.col("file").alias("number"), "start", "end", "digest")]
+    reach = 1
+    while True:
+        out.append(_parents(out[-1], _up("number").alias("number")))
+        if reach > span:  # two nodes at most, of the numbers below zero and of the others
+            break
+        reach *= FANOUT
+    return [*out, _parents(out[-1], F.lit(0).cast("long").alias("number"))]
+
+
+def _differing(a: DataFrame, b: DataFrame, key: list[str]) -> DataFrame:
+    b = b.select(*key, *[F.col(c).alias(f"{c}_") for c in ("start", "end", "digest")])
+    same = F.col("digest").eqNullSafe(F.col("digest_")) & F.col("start").eqNullSafe(F.col("start_")) & F.col("end").eqNullSafe(F.col("end_"))
+    return a.join(b, key, "full_outer").where(~same).select(*key)
+
+
+def _below(nodes: DataFrame, above: DataFrame | None, key: list[str], up: Column) -> DataFrame:
+    """Nodes whose parent differs."""
+    if above is None:
+        return nodes
+    parents = above.select(*[F.col(k).alias(f"{k}_up") for k in key])
+    on = [F.col(k) == F.col(f"{k}_up") for k in key if k != "number"]
+    return nodes.withColumn("up", up).join(parents, [*on, F.col("up") == F.col("number_up")], "left_semi").drop("up")
 
 
 def audit(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Records that differ between two replicas: record_id, file, number, start, length, expected, found, fault.
+    """Records that differ between two replicas: record_id, file, number, start, length, copies, expected, found, fault.
 
-    ``left`` and ``right`` are leaves (see :func:`leaves`) of the trusted and the audited replica. ``fault`` is
-    ``changed``, ``missing`` or ``extra``; a record of another length shifts those after it, whose ranges then differ too
-    (``moved``: same bytes elsewhere). Equal archives give no rows after comparing one root each. Empty replicas are equal.
+    ``left`` and ``right`` are leaves (see :func:`leaves`) of the trusted and the audited replica. ``fault`` is ``missing``
+    or ``extra`` for a record that one replica lacks, ``changed`` for other bytes under the same id in the file, or other
+    copies, and ``moved`` for the same bytes at another place, as those behind a missing record are. Of several records of
+    an id, equal ones answer each other, then others in order; records without an id are told by their bytes.
+    Equal archives give no rows after comparing one root each. Empty replicas are equal.
     """
     left, right = materialise(left, "leaves"), materialise(right, "leaves")
-    key = ["file", "number"]
     one, two = tree(left), tree(right)
-    columns = "record_id long, file long, number long, start long, length long, expected string, found string, fault string"
-    if archive_root(one[-1]).first() == archive_root(two[-1]).first():
-        return left.sparkSession.createDataFrame([], columns)
-    open_ = None  # nodes that differ, of the level above
-    for level in range(len(one) - 1, 0, -1):
-        a, b = one[level], two[level].select(*key, F.col("start").alias("start_"), F.col("end").alias("end_"), F.col("digest").alias("digest_"))
-        if open_ is not None:
-            group = [F.col("file"), (F.lit(0) if level + 1 == len(one) - 1 else F.floor(F.col("number") / FANOUT)).cast("long").alias("up")]
-            above = open_.select(F.col("file").alias("f_"), F.col("number").alias("n_"))
-            a, b = (x.select("*", group[1]).join(above, (F.col("file") == F.col("f_")) & (F.col("up") == F.col("n_")), "left_semi").drop("up") for x in (a, b))
-        differ = a.join(b, key, "full_outer").where(~(F.col("digest").eqNullSafe(F.col("digest_")) & F.col("start").eqNullSafe(F.col("start_")) & F.col("end").eqNullSafe(F.col("end_"))))
-        open_ = materialise(differ.select(*key), "mismatch")
-    above = open_.select(F.col("file").alias("f_"), F.col("number").alias("n_"))
-    up = (F.lit(0) if len(one) == 2 else F.floor(F.col("number") / FANOUT)).cast("long")
-    a, b = (x.withColumn("up", up).join(above, (F.col("file") == F.col("f_")) & (F.col("up") == F.col("n_")), "left_semi").drop("up") for x in (left, right))
-    b = b.select(*key, *[F.col(c).alias(f"{c}_") for c in ("record_id", "start", "length", "digest")])
-    fault = F.when(F.col("digest_").isNull(), "missing").when(F.col("digest").isNull(), "extra").when(F.col("digest") != F.col("digest_"), "changed").otherwise("moved")
-    both = a.join(b, key, "full_outer").where(~(F.col("digest").eqNullSafe(F.col("digest_")) & F.col("start").eqNullSafe(F.col("start_"))))
+    roots = [materialise(x[-1].drop("number"), "roots") for x in (one, two)]
+    span = max(int(r.agg(F.coalesce(F.max(F.abs("file")), F.lit(0))).first()[0]) for r in roots)
+    high = [archive_tree(r, span) for r in roots]
+    above = None
+    for level in range(len(high[0]) - 1, -1, -1):
+        up = F.lit(0).cast("long") if level == len(high[0]) - 2 else _up("number")
+        a, b = (_below(x[level], above, ["number"], up) for x in high)
+        above = materialise(_differing(a, b, ["number"]), "mismatch")
+        if level == len(high[0]) - 1 and above.isEmpty():
+            return left.sparkSession.createDataFrame([], _FAULTS)
+    key = ["file", "number"]
+    above = above.select(F.col("number").alias("file"), F.lit(0).cast("long").alias("number"))
+    for level in range(len(one) - 2, 0, -1):
+        up = F.lit(0).cast("long") if level == len(one) - 2 else _up("number")
+        a, b = (_below(x[level], above, key, up) for x in (one, two))
+        above = materialise(_differing(a, b, key), "mismatch")
+    up = F.lit(0).cast("long") if len(one) == 2 else _up("number")
+    a, b = (_below(x, above, key, up) for x in (left, right))
+    return _aligned(a, b)
+
+
+def _aligned(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Faults of records of ranges that differ. A record at another number may have left its range: so each side's are told by id and bytes."""
+    name = F.coalesce(F.col("record_id").cast("string"), F.col("digest"))
+    nth = lambda *by: F.row_number().over(Window.partitionBy("file", "name", *by).orderBy("number"))
+    a, b = (x.withColumn("name", name).withColumn("nth", nth("digest")) for x in (a, b))
+    equal = ["file", "name", "digest", "nth"]
+    theirs = b.select(*equal, F.col("start").alias("start_"), F.col("copies").alias("copies_"))
+    both = a.join(theirs, equal).where((F.col("start") != F.col("start_")) | (F.col("copies") != F.col("copies_")))
+    same = both.select("record_id", "file", "number", "start", "length", "copies", F.col("digest").alias("expected"), F.col("digest").alias("found"), F.when(F.col("copies") != F.col("copies_"), "changed").otherwise("moved").alias("fault"))
+    # What has no equal on the other side: by id, in order.
+    lone, other = (x.join(y.select(*equal), equal, "left_anti").withColumn("nth", nth()) for x, y in ((a, b), (b, a)))
+    pairs = ["file", "name", "nth"]
+    other = other.select(*pairs, *[F.col(c).alias(f"{c}_") for c in ("record_id", "number", "start", "length", "copies", "digest")])
+    rest = lone.join(other, pairs, "full_outer")
     pick = lambda c: F.coalesce(c, f"{c}_").alias(c)
-    return both.select(pick("record_id"), *key, pick("start"), pick("length"), F.col("digest").alias("expected"), F.col("digest_").alias("found"), fault.alias("fault"))
+    fault = F.when(F.col("digest_").isNull(), "missing").when(F.col("digest").isNull(), "extra").otherwise("changed")
+    return same.unionByName(rest.select(pick("record_id"), "file", *[pick(c) for c in ("number", "start", "length", "copies")], F.col("digest").alias("expected"), F.col("digest_").alias("found"), fault.alias("fault")))
 
 
 def damaged(rows: DataFrame) -> DataFrame:
-    """``rows`` of a replica in which one byte of some records has rotted: those whose id's md5 begins with 00 end in a space instead of a line feed."""
-    hit = F.md5(F.col("record_id").cast("string").cast("binary")).startswith("00")
+    """``rows`` of a replica with faults: records whose id's md5 begins with 01 are gone; one byte has rotted of those where it begins with 00, which end in a space instead of a line feed."""
+    code = F.md5(F.coalesce(F.col("record_id").cast("string"), F.lit("")).cast("binary"))
     rotten = F.concat(F.expr("substring(content, 1, octet_length(content) - 1)"), F.lit(" ").cast("binary"))
-    return rows.withColumn("content", F.when(hit, rotten).otherwise(F.col("content")))
+    return rows.where(~code.startswith("01")).withColumn("content", F.when(code.startswith("00"), rotten).otherwise(F.col("content")))

@@ -327,18 +327,70 @@ def test_components(spark):
 # 5
 
 
+def sample_pages(spark, extra=()):
+    rows = [(i, f"http://h/{i}", f"<p>{i}</p>" * (i % 7)) for i in range(3000)]
+    return spark.createDataFrame([*rows, *extra], "page_id long, url string, html string")
+
+
 def test_audit(spark):
-    pages = spark.createDataFrame([(i, f"http://h/{i}", f"<p>{i}</p>" * (i % 7)) for i in range(3000)] + [(3, None, None), (None, "u", "h")], "page_id long, url string, html string")
-    archive = warc.records(pages)
+    odd = [(3, None, None), (None, "u", "h"), (None, "u", "h"), (None, None, None)]
+    archive = warc.records(sample_pages(spark, odd))
     a = warc.leaves(archive)
-    assert a.count() == 3001 and warc.audit(a, a).count() == 0
-    bad = {i for i in range(3000) if hashlib.md5(str(i).encode()).hexdigest().startswith("00")}
+    assert a.count() == 3003 and a.agg({"copies": "sum"}).first()[0] == 3004 and warc.audit(a, a).count() == 0
+    name = lambda i: hashlib.md5(str(i).encode()).hexdigest()[:2]
     found = warc.audit(a, warc.leaves(warc.damaged(archive))).collect()
-    assert {r.record_id for r in found} == bad and {r.fault for r in found} == {"changed"}
-    lost = warc.audit(a, warc.leaves(archive.where("record_id <> 2900"))).collect()
-    assert {r.file for r in lost} == {2} and Counter(r.fault for r in lost)["missing"] == 1
+    assert {r.record_id for r in found if r.fault == "changed"} == {i for i in range(3000) if name(i) == "00"}
+    assert {r.record_id for r in found if r.fault == "missing"} == {i for i in range(3000) if name(i) == "01"}
+    assert all(r.fault in ("changed", "missing") or r.expected == r.found for r in found)
+    one = archive.where("record_id is null").limit(1)
+    fewer = warc.audit(a, warc.leaves(archive.where("record_id is not null").unionByName(one))).collect()
+    assert len(fewer) == 2 and all(r.record_id is None for r in fewer)
     nothing = warc.leaves(archive.where("false"))
     assert warc.audit(nothing, nothing).count() == 0 and {r.fault for r in warc.audit(a, nothing).collect()} == {"missing"}
+    assert {r.fault for r in warc.audit(nothing, a).collect()} == {"extra"}
+
+
+def test_audit_in_the_middle_of_a_file(spark):
+    """One of 50 records gone, added or changed: the others have only moved, and other files are not looked at."""
+    rows = sample_pages(spark).where("page_id < 50 or page_id >= 2048 and page_id < 2060")
+    archive = warc.records(rows)
+    a = warc.leaves(archive)
+    faults = lambda b: Counter(r.fault for r in warc.audit(a, warc.leaves(b)).collect())
+    assert faults(archive.where("record_id <> 5")) == {"missing": 1, "moved": 44}
+    assert faults(archive.where("record_id <> 49")) == {"missing": 1}
+    more = warc.records(spark.createDataFrame([(5, "http://x", "new")], "page_id long, url string, html string"))
+    assert faults(archive.unionByName(more)) in ({"extra": 1, "moved": 44}, {"extra": 1, "moved": 45})
+    longer = F.when(F.col("page_id") == 7, "longer").otherwise(F.col("html"))
+    changed = warc.audit(a, warc.leaves(warc.records(rows.withColumn("html", longer)))).collect()
+    assert [(r.record_id, r.fault) for r in changed if r.fault != "moved"] == [(7, "changed")] and {r.file for r in changed} == {0}
+    twice = warc.audit(a, warc.leaves(archive.unionByName(archive.where("record_id = 48")))).collect()
+    assert sorted((r.record_id, r.fault) for r in twice) == [(48, "changed"), (49, "moved")]
+
+
+def test_stored_archives(spark, tmp_path):
+    """Files that are written, damaged on disk and read back: ranges are those of the stored bytes."""
+    import gzip
+
+    rows = warc.records(sample_pages(spark, [(7, "u", "bytes that look like one:\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\n")]))
+    whole, broken = str(tmp_path / "whole"), str(tmp_path / "broken")
+    warc.write_archive(rows, whole)
+    warc.write_archive(rows, broken)
+    a = warc.leaves(warc.read_archive(spark, whole))
+    laid_out = warc.leaves(rows)
+    assert a.count() == laid_out.count() == 3001 and warc.audit(laid_out, a).count() == 0
+    (path,) = (tmp_path / "broken" / "file=1").glob("*.gz")
+    data = bytearray(gzip.decompress(path.read_bytes()))
+    spans = [*warc.parse(bytes(data))]
+    assert len(spans) == 1024 and all(bytes(data[s : s + n]).startswith(b"WARC/1.1") for s, n, _ in spans)
+    (s, n, i), (t, m, j) = spans[10], spans[500]
+    data[s + n - 6] ^= 1  # a byte of a body
+    data[t] ^= 1  # a head
+    path.write_bytes(gzip.compress(bytes(data)))
+    (tmp_path / "broken" / "file=1" / f".{path.name}.crc").unlink(missing_ok=True)
+    found = {r.record_id: r for r in warc.audit(a, warc.leaves(warc.read_archive(spark, broken))).collect()}
+    assert set(found) == {i, j} and {r.fault for r in found.values()} == {"changed"} and found[i].start == s
+    for cut in (1, 100, 5000, len(data) - 1):
+        assert sum(k for _, k, _ in warc.parse(bytes(data[:cut]))) == cut
 
 
 # 6, 7
