@@ -98,4 +98,6 @@ def read(data: bytes) -> Video:
     places = _indexed(data, number, movis[0][0], idx1, standard)
     if not places:  # no index: walk through the frames themselves
         places = [(x, y - x) for a, b in movis for name, x, y in _chunks(data, a + 4, b) if name[:2] == number and name[2:] in (b"dc", b"db")]
+    if sum(n for _, n in places) > 2 * len(data):
+        raise ValueError("an index that names more bytes than there are")
     return Video(width, abs(height), pace, codec, [data[a : a + n] for a, n in places if n and a + n <= len(data)])

@@ -6,6 +6,7 @@ its intra frames and detects shots; ``clips`` gives a row for each shot, with ti
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,17 +15,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetmetrics.llm import avi, mjpeg
-from fleetmetrics.llm.shared import buffers, slices
+from fleetmetrics.llm.shared import buffers, slices, tidy
 
 SLICE_BYTES = 1_500_000
 SIDE = 24
 HISTOGRAM_BINS = 32
 #: A cut: a difference above the floor, above its neighbours, and this many deviations above the mean of those around.
 FLOOR, DEVIATIONS, AROUND = 0.05, 3.0, 6
+#: What broken media raise.
+UNREADABLE = (ValueError, IndexError, KeyError, OverflowError, struct.error)
 CLIPS = "array<struct<clip: int, start_frame: int, end_frame: int, start_s: double, end_s: double>>"
 _CLIP_TYPE = pa.list_(pa.struct([("clip", pa.int32()), ("start_frame", pa.int32()), ("end_frame", pa.int32()), ("start_s", pa.float64()), ("end_s", pa.float64())]))
 
 
+@tidy
 def _store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     unit = SIDE * SIDE
     for batch in batches:
@@ -50,7 +54,10 @@ def store_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def shot_starts(frames: list[np.ndarray]) -> tuple[list[int], np.ndarray]:
-    """First frames of the shots, and the histogram difference (0 to 1) of each frame from the one before."""
+    """First frames of the shots, and the histogram difference (0 to 1) of each frame from the one before.
+
+    No frames have no shots; equal frames and a single one are one shot; of equal neighbouring differences the first cuts.
+    """
     n = len(frames)
     if n < 2:
         return [0] * n, np.zeros(n)
@@ -71,6 +78,7 @@ def shot_starts(frames: list[np.ndarray]) -> tuple[list[int], np.ndarray]:
     return [0, *t[cut].tolist()], d
 
 
+@tidy
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         k = batch.num_columns - 1
@@ -79,7 +87,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for data in part.column(k).to_pylist():
                 try:
                     videos.append(avi.read(data) if data else None)
-                except ValueError:
+                except UNREADABLE:
                     videos.append(None)
             decoded = _decode([v.frames if v else [] for v in videos])
             payload, rows, feature = [], [], []
@@ -90,7 +98,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     feature.append(None)
                     continue
                 starts, d = shot_starts(frames)
-                ends = [*starts[1:], len(frames)]
+                ends = [*starts[1:], len(frames)][: len(starts)]
                 step = v.seconds_per_frame
                 payload.append(b"".join(f.tobytes() for f in frames))
                 rows.append([{"clip": i, "start_frame": a, "end_frame": b, "start_s": round(a * step, 6), "end_s": round(b * step, 6)} for i, (a, b) in enumerate(zip(starts, ends, strict=True))])
@@ -102,7 +110,7 @@ def _decode(videos: list[list[bytes]]) -> list[list[np.ndarray] | None]:
     """Frames of each video; None where one is not readable. All are tried together, and only a failure sends them one by one."""
     try:
         flat = mjpeg.decode([f for v in videos for f in v])
-    except (ValueError, IndexError, KeyError):
+    except UNREADABLE:
         if len(videos) == 1:
             return [None]
         return [_decode([v])[0] for v in videos]

@@ -58,6 +58,8 @@ _tables: dict[tuple, Huffman] = {}
 def huffman(lengths: tuple[int, ...] | bytes, symbols: bytes) -> Huffman:
     key = (tuple(lengths), bytes(symbols))
     if key not in _tables:
+        if len(_tables) >= 32:  # broken media may bring any number
+            _tables.clear()
         if len(_tables) > 64:
             _tables.clear()
         _tables[key] = Huffman(*key)
@@ -112,7 +114,7 @@ class _Header:
         if data[:2] != b"\xff\xd8":
             raise ValueError("not a JPEG frame")
         self.quant, self.tables, self.restart, at = {}, dict(STANDARD), 0, 2
-        self.kind = None
+        self.kind, self.parts = None, []
         while True:
             while data[at : at + 2] == b"\xff\xff":
                 at += 1
@@ -235,7 +237,11 @@ def _baseline(h: _Header, frames: list[bytes]) -> np.ndarray:
         sampling = [(1, 1)]
     else:
         sampling = [(p[1], p[2]) for p in h.parts]
+    if not (across and down and h.width and h.height):
+        raise ValueError("a frame without samples")
     wide, high = -(-h.width // (8 * across)), -(-h.height // (8 * down))
+    if wide * high > 4 * sum(map(len, frames)):
+        raise ValueError("more blocks than pairs of bits")
     plan = np.repeat(np.arange(len(sampling)), [a * b for a, b in sampling])
     streams = [s for f in frames for s in _cut(f, h.start)]
     each = h.restart or wide * high
@@ -243,6 +249,8 @@ def _baseline(h: _Header, frames: list[bytes]) -> np.ndarray:
     if len(streams) != per_frame * len(frames):
         raise ValueError("restart intervals are missing")
     mcus = np.tile([min(each, wide * high - i * each) for i in range(per_frame)], len(frames))
+    if any(n * len(plan) > 4 * len(s) for n, s in zip(mcus.tolist(), streams, strict=True)):
+        raise ValueError("more blocks than pairs of bits")
     tables = [(huffman(*h.tables[0, d]), huffman(*h.tables[1, a])) for d, a in h.scan]
     found = _blocks(_Bits(streams), plan, tables, mcus)
     luma = found.reshape(len(streams), -1, len(plan), 64)[:, :, plan == 0]
@@ -259,7 +267,10 @@ def _baseline(h: _Header, frames: list[bytes]) -> np.ndarray:
 def _lossless(h: _Header, frames: list[bytes]) -> np.ndarray:
     if h.restart:
         raise ValueError("lossless frames with restart intervals are not read")
-    bits, table, everyone = _Bits([_cut(f, h.start)[0] for f in frames]), huffman(*h.tables[0, h.scan[0][0]]), slice(None)
+    streams = [_cut(f, h.start)[0] for f in frames]
+    if h.height * h.width > 8 * min(map(len, streams)):
+        raise ValueError("more samples than bits")
+    bits, table, everyone = _Bits(streams), huffman(*h.tables[0, h.scan[0][0]]), slice(None)
     diff = np.empty((h.height * h.width, len(frames)), np.int64)
     for k in range(len(diff)):
         diff[k] = bits.number(everyone, np.minimum(bits.symbol(everyone, table), 15))

@@ -7,6 +7,7 @@ they emit which source characters it stands for; identifiers found in what they
 
 from __future__ import annotations
 
+import bisect
 import functools
 import re
 import unicodedata
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetmetrics.llm.shared import slices
+from fleetmetrics.llm.shared import slices, tidy
 
 SLICE_BYTES = 2_000_000
 KINDS = ("email", "ip", "card", "phone")
@@ -101,6 +102,9 @@ def _letters() -> tuple[dict[str, str], re.Pattern]:
         n = unicodedata.normalize("NFKC", c)
         if n != c and len(n) == 1 and "!" <= n <= "~":
             table[c] = n
+    for c in map(chr, [*range(0x660, 0xD800), *range(0xF900, 0x20000)]):  # digits of other scripts
+        if unicodedata.decimal(c, None) is not None:
+            table[c] = str(unicodedata.decimal(c))
     table |= LOOKALIKES | dict.fromkeys(INVISIBLE, "")
     return table, re.compile("[" + "".join(re.escape(c) for c in table if c < "\u0250") + "\u0250-\U0010ffff]")
 
@@ -112,10 +116,22 @@ _OPEN, _CLOSE = r"\s{0,3}[\[({<]\s{0,3}", r"\s{0,3}[\])}>]\s{0,3}"
 _SIGN = re.compile(rf"(?i){_OPEN}(?:(?P<at>{AT_WORDS}|@)|(?P<dot>{DOT_WORDS}|\.)|(?P<plus>{PLUS_WORDS}|\+)){_CLOSE}")
 _SPOKEN = re.compile(rf"(?i)(?<=[A-Za-z0-9_%+-])(?P<at>\s{{1,3}}(?:{AT_WORDS})\s{{1,3}})(?=[A-Za-z0-9-]{{1,63}}(?:(?:\s{{1,3}}(?:{DOT_WORDS})\s{{1,3}}|\.)[A-Za-z0-9-]{{1,63}}){{0,8}}?\s{{1,3}}(?:{DOT_WORDS})\s{{1,3}}[A-Za-z])")
 _SPOKEN_DOT = re.compile(rf"(?i)(?<=[A-Za-z0-9-])\s{{1,3}}(?:{DOT_WORDS})\s{{1,3}}(?=[A-Za-z0-9-])")
+#: Signs as character references of HTML, and signs as words between low lines.
+_REFERENCE = re.compile(r"(?i)&(?:#(?P<dec>0{0,4}[0-9]{2,3})|#x(?P<hex>0{0,4}[0-9a-f]{2})|(?P<name>commat|period|plus));")
+_NAMED = {"commat": "@", "period": ".", "plus": "+"}
+_LOW_LINES = re.compile(rf"(?i)(?<=[A-Za-z0-9])_(?:{AT_WORDS})_(?=[A-Za-z0-9-]{{1,63}}(?:(?:_(?:{DOT_WORDS})_|\.)[A-Za-z0-9-]{{1,63}}){{1,8}})")
+_LOW_DOT = re.compile(rf"(?i)(?<=[A-Za-z0-9-])_(?:{DOT_WORDS})_(?=[A-Za-z0-9-])")
+#: Letters in the place of digits, within what is mostly digits.
+_LIKE_DIGITS = re.compile(r"(?<![\w.+])[+]?[0-9OolI](?:[ .-]?[0-9OolI]){6,}(?![\w])")
+_FOR_DIGITS = {"O": "0", "o": "0", "l": "1", "I": "1"}
 #: Without one of these no transducer changes anything.
 _TRACE = re.compile(rf"(?i)[\[({{<]\s{{0,3}}(?:{AT_WORDS}|@|{DOT_WORDS}|\.|{PLUS_WORDS}|\+)\s{{0,3}}[\])}}>]")
 
 
+_NAMES = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*")
+_PARTING = re.compile(r"[\s,]+")
+
+
 class Normalised:
     """A text rewritten step by step, with the source span of each character."""
 
@@ -147,6 +163,32 @@ def _signs(n: Normalised) -> Iterator[tuple[int, int, str]]:
         yield m.start(), m.end(), {"at": "@", "dot": ".", "plus": "+"}[m.lastgroup]
 
 
+def _references(n: Normalised) -> Iterator[tuple[int, int, str]]:
+    for m in _REFERENCE.finditer(n.text):
+        new = _NAMED[m["name"].lower()] if m["name"] else chr(int(m["dec"]) if m["dec"] else int(m["hex"], 16))
+        if "!" <= new <= "~":
+            yield m.start(), m.end(), new
+
+
+def _low_lines(n: Normalised) -> Iterator[tuple[int, int, str]]:
+    """An at word between low lines, and the dot words behind it."""
+    for m in _LOW_LINES.finditer(n.text):
+        yield m.start(), m.end(), "@"
+        end = m.end()
+        while word := _NAMES.match(n.text, end):
+            if not (d := _LOW_DOT.match(n.text, word.end())):
+                break
+            yield d.start(), d.end(), "."
+            end = d.end()
+
+
+def _like_digits(n: Normalised) -> Iterator[tuple[int, int, str]]:
+    for run in _LIKE_DIGITS.finditer(n.text):
+        letters = [i for i in range(*run.span()) if n.text[i] in _FOR_DIGITS]
+        if letters and 2 * len(letters) < sum(map(str.isdigit, run.group())):
+            yield from ((i, i + 1, _FOR_DIGITS[n.text[i]]) for i in letters)
+
+
 def _spoken(n: Normalised) -> Iterator[tuple[int, int, str]]:
     for m in _SPOKEN.finditer(n.text):
         yield m.start(), m.end(), "@"
@@ -157,7 +199,7 @@ def _spoken_dots(n: Normalised) -> Iterator[tuple[int, int, str]]:
     at = n.text.find("@")
     while at >= 0:
         end = at + 1
-        while m := re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*").match(n.text, end):
+        while m := _NAMES.match(n.text, end):
             end = m.end()
             if not (d := _SPOKEN_DOT.match(n.text, end)):
                 break
@@ -167,7 +209,7 @@ def _spoken_dots(n: Normalised) -> Iterator[tuple[int, int, str]]:
 
 
 def _digit_words(n: Normalised) -> Iterator[tuple[int, int, str]]:
-    """Digits and signs for their words; white space between those of a run becomes one plain space, as numbers have it."""
+    """Digits and signs for their words; white space and commas between those of a run become one plain space, as numbers have it."""
     for run in _WORD_RUN.finditer(n.text):
         end, dotted = run.start(), re.search(rf"(?i)(?<!\w)(?:{DOT_WORDS})(?!\w)", run.group())
         before = False  # whether a digit word ends at ``end``
@@ -191,7 +233,7 @@ def _digit_words(n: Normalised) -> Iterator[tuple[int, int, str]]:
 
 
 def _spaces(text: str, start: int, end: int) -> Iterator[tuple[int, int, str]]:
-    for m in re.compile(r"\s+").finditer(text, start, max(start, end)):
+    for m in _PARTING.finditer(text, start, max(start, end)):
         if m.group() != " ":
             yield *m.span(), " "
 
@@ -205,6 +247,8 @@ def _maybe(text: str) -> bool:
     """Whether any transducer may find something to do: true of every text that one of them changes."""
     if not text.isascii() and _letters()[1].search(text) and not _letters()[0].keys().isdisjoint(text) or _TRACE.search(text):
         return True
+    if "&" in text and _REFERENCE.search(text) or "_" in text and _LOW_LINES.search(text) or any(_FOR_DIGITS.keys() & set(m.group()) for m in _LIKE_DIGITS.finditer(text)):
+        return True
     words = set(_WORDS.findall(text.replace("İ", "i").lower()))  # patterns that ignore case take İ for an i
     if not _DOT_SET.isdisjoint(words) and ("@" in text and _SPOKEN_DOT.search(text) or _SPOKEN.search(text)):
         return True
@@ -217,13 +261,16 @@ def spans(text: str) -> list[tuple[str, int, int, bool]]:
     if not _maybe(text):
         return [(*s, True) for s in base]
     n = Normalised(text)
-    for step in (_look, _signs, _spoken, _spoken_dots, _digit_words):
+    for step in (_references, _look, _signs, _low_lines, _spoken, _spoken_dots, _digit_words, _like_digits):
         n.rewrite(step(n))
-    taken: dict[str, list] = {k: [(a, b) for kind, a, b in base if kind == k] for k in KINDS}
+    # Base spans of a kind are in order and apart, so only the last one that begins at or before a span may hold it.
+    starts: dict[str, list[int]] = {k: [a for kind, a, _ in base if kind == k] for k in KINDS}
+    ends: dict[str, list[int]] = {k: [b for kind, _, b in base if kind == k] for k in KINDS}
     extra = []
     for kind, a, b in plain(n.text):
         a, b = n.starts[a], n.ends[b - 1]
-        if not any(x <= a and b <= y for x, y in taken[kind]):
+        i = bisect.bisect_right(starts[kind], a) - 1
+        if i < 0 or ends[kind][i] < b:
             extra.append((kind, a, b, False))
     return sorted([*((*s, True) for s in base), *extra], key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 
@@ -239,6 +286,7 @@ SPANS = "array<struct<kind: string, start: bigint, end: bigint, base: boolean>>"
 def span_rows(find) -> object:
     """For mapInArrow: ``find`` over the texts in the second column."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1, SLICE_BYTES):
@@ -279,6 +327,7 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with every span of personal data, disguised or not, replaced by its kind in brackets; spans that overlap by the first one's. Null stays null; all columns stay."""
     schema = docs.schema
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             k = batch.schema.get_field_index(text_col)

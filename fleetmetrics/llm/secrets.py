@@ -11,6 +11,8 @@ symbol; the Benjamini-Hochberg rule over the candidates of a document bounds the
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import math
 import re
 
@@ -149,7 +151,9 @@ def plain(text: str) -> list[tuple[str, int, int]]:
 def spans(text: str) -> list[tuple[str, int, int, bool]]:
     """(kind, start, end, base) of all secrets, by start; those of the battery are of kind ``random`` and overlap no base one."""
     base = plain(text)
-    extra = [("random", a, b, False) for a, b in random_tokens(text) if not any(x < b and a < y for _, x, y in base)]
+    starts, reach = [a for _, a, _ in base], list(itertools.accumulate((b for _, _, b in base), max))
+    # Of the base spans that begin before a token's end, does any reach beyond its start?
+    extra = [("random", a, b, False) for a, b in random_tokens(text) if not (i := bisect.bisect_left(starts, b)) or reach[i - 1] <= a]
     return sorted([*((*s, True) for s in base), *extra], key=lambda s: (s[1], [*KINDS, "random"].index(s[0])))
 
 
