@@ -12,9 +12,9 @@ So documents are exploded into distinct grams, these are joined to the counts of
 differences are added up by document; nothing else has to come together again.
 
 Bigrams are what costs. Two things keep their shuffle small, at any size of the corpus: words that several documents
-have are numbered by a dictionary of the ``DICTIONARY`` commonest, so that a bigram of two of them is one number from
-which the counts of its parts can be told; and the ``DICTIONARY`` commonest bigrams are scored where they are, from a
-broadcast table. So no gram in the shuffle is common, and a window over each one's rows counts it and joins the count
+have are numbered by a dictionary of the ``WORDS`` commonest, so that a bigram of two of them is one number from which
+the counts of its parts can be told; and the ``BIGRAMS`` commonest bigrams are scored where they are, from a broadcast
+table. So no gram in the shuffle is common, and a window over each one's rows counts it and joins the count
 at once. Bigrams with a rarer word go by hash and meet the table of word counts in a join.
 """
 
@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from fleetmetrics.llm.shared import Members, U, gram_hashes, materialise, slices, tidy, word_hashes
 
 BACKOFF = 0.4
-#: Entries of the broadcast tables of words and of bigrams: 16 MB each. Words are numbered in ``WORD_BITS`` bits.
-DICTIONARY, WORD_BITS = 1 << 20, 20
+#: Entries of the broadcast tables of words and of bigrams, of 16 bytes each. Words are numbered in ``WORD_BITS`` bits.
+WORDS, BIGRAMS, WORD_BITS = 1 << 19, 1 << 20, 19
 #: A bigram is a candidate for the table if a slice of ``SLICE_BYTES`` has it so often.
 OFTEN = 3
 SLICE_BYTES = 2_000_000
@@ -93,9 +93,9 @@ class _Table:
         return np.where(self.keys[at] == hashes, at, -1)
 
 
-def _largest(grams: DataFrame, level: int) -> _Table:
-    """The ``DICTIONARY`` commonest grams at most; so what goes to the driver has a fixed bound."""
-    top = grams.where(F.col("level") == level).orderBy(F.desc("n"), "gram").limit(DICTIONARY).select("gram", "n").toArrow()
+def _largest(grams: DataFrame, level: int, most: int) -> _Table:
+    """The ``most`` commonest grams; so what goes to the driver has a fixed bound."""
+    top = grams.where(F.col("level") == level).orderBy(F.desc("n"), "gram").limit(most).select("gram", "n").toArrow()
     return _Table(top["gram"].to_numpy().view(np.uint64), top["n"].to_numpy())
 
 
@@ -189,11 +189,15 @@ def _exploded(words: Broadcast, common: Broadcast, several: Broadcast, log_size:
     return run
 
 
-def _added(rows: DataFrame, size: int, key: str) -> DataFrame:
-    """(row, added, seen): what bigrams add, by the counts ``ch`` and ``cw`` of their words and a window over all rows of each."""
+def _others(rows: DataFrame, key: str) -> DataFrame:
+    """Rows of bigrams that other documents have too, and how often those do (``c``), from a window over all rows of each."""
+    m = _times(0)
+    return rows.withColumn("c", F.sum(m).over(Window.partitionBy(key)) - m).where("c > 0")
+
+
+def _added(of: DataFrame, size: int) -> DataFrame:
+    """(row, added, seen): what bigrams add, by their count and the counts ``ch`` and ``cw`` of their words."""
     m, own_h, own_w = _times(0), _times(1), _times(2)
-    c = F.sum(m).over(Window.partitionBy(key)) - m
-    of = rows.withColumn("c", c).where("c > 0")
     value = F.log("c") - F.log(F.col("ch") - own_h) - F.log(F.col("cw") - own_w + 1) + F.log(F.lit(float(size))) - F.log(F.lit(BACKOFF))
     return of.select("row", (m * value).alias("added"), m.alias("seen"))
 
@@ -208,7 +212,7 @@ def _bigram_scores(rows: DataFrame) -> DataFrame:
     words = met.where("level = 1")
     total, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     size = max(1, total + kinds)
-    numbered, common = _largest(met.where("level = 2 or docs > 1"), 1), _largest(met, 2)
+    numbered, common = _largest(met.where("docs > 1"), 1, WORDS), _largest(met, 2, BIGRAMS)
     exact = texts.mapInArrow(_counted(share(common)), "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
     common.n = np.zeros(len(common.keys), np.int64)
     common.n[exact["place"].to_numpy()] = exact["n"].to_numpy()
@@ -220,16 +224,16 @@ def _bigram_scores(rows: DataFrame) -> DataFrame:
     main = rows.mapInArrow(_exploded(*shared, True), "key long, row long, own long, more long")
     counts = spark.createDataFrame(pa.table({"number": np.arange(len(numbered.n)), "times": numbered.n}))
     count = lambda name, at: F.broadcast(counts.select(F.col("number").alias(at), F.col("times").alias(name)))
-    main = main.withColumns({"h": F.shiftright("key", WORD_BITS), "w": F.col("key").bitwiseAND(F.lit((1 << WORD_BITS) - 1).cast("long"))})
-    # DICTIONARY bounds the broadcast counts.
-    main = _added(main.repartition("key").join(count("ch", "h"), "h").join(count("cw", "w"), "w"), size, "key")
+    main = _others(main.repartition("key"), "key").withColumns({"h": F.shiftright("key", WORD_BITS), "w": F.col("key").bitwiseAND(F.lit((1 << WORD_BITS) - 1).cast("long"))})
+    # WORDS bounds the broadcast counts.
+    main = _added(main.join(count("ch", "h"), "h").join(count("cw", "w"), "w"), size)
 
     odd = side.where("gram is not null").drop("doc_id", "base", "n_words", "seen", "pairs")
     rare = lambda name, at: rarer.select(F.col("id").alias(at), F.col("times").alias(name))
     first = odd.where("h is not null and w is null").drop("ch").join(rare("ch", "h"), "h")
     second = odd.where("h is null and w is not null").drop("cw").join(rare("cw", "w"), "w")
     both = odd.where("h is not null and w is not null").drop("ch", "cw").join(rare("ch", "h"), "h").join(rare("cw", "w"), "w")
-    odd = _added(first.unionByName(second).unionByName(both), size, "gram")
+    odd = _added(_others(first.unionByName(second).unionByName(both), "gram"), size)
     lone = side.where("gram is null and w is not null").select("row", "w", "own").join(rare("cw", "w"), "w")
     lone = lone.select("row", (F.col("own") * F.log(F.col("cw") - F.col("own") + 1)).alias("added"), F.lit(0).cast("long").alias("seen"))
 

@@ -10,7 +10,7 @@ from fleetmetrics.functions.schemas import conform, empty
 from fleetmetrics.operators import measures, status
 from fleetmetrics.operators.rollup import bad_runs, decide, device_status
 from fleetmetrics.operators.rules import DECISIONS
-from fleetmetrics.plans import tables
+from fleetmetrics.plans import registry, tables
 from fleetmetrics.sources import incremental, readings as lake
 from fleetmetrics.streaming.status import replacing
 
@@ -95,6 +95,21 @@ def test_write_new_counts_and_ignores_known_keys(spark, tmp_path):
     assert spark.read.parquet(path).count() == 3
 
 
+def test_write_new_keeps_one_row_a_key(spark, tmp_path):
+    """Rows that clash within the batch, on either key; null keys; and the same batch once more."""
+    schema, path = "k string, a int, b int", str(tmp_path / "t")
+    rows = [("x", 1, 5), ("x", 1, 3), ("y", 1, 2), ("z", 2, 9), (None, 4, 1), (None, 4, 2), (None, 5, 3)]
+    df = spark.createDataFrame(rows, schema).repartition(3)
+    assert incremental.write_new(df, df.limit(0), path, ["k"], ["a"])[0] == 3
+    table = spark.read.schema(schema).parquet(path)
+    first = sorted(map(tuple, table.collect()), key=str)
+    assert first == sorted([(None, 4, 1), ("x", 1, 3), ("z", 2, 9)], key=str)
+    assert incremental.write_new(df, table, path, ["k"], ["a"])[0] == 0
+    assert sorted(map(tuple, spark.read.parquet(path).collect()), key=str) == first
+    plan = incremental.new_rows(df, table, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan  # a hot key is cut to one row before the shuffle
+
+
 def test_alarm_interval(spark):
     alert = spark.createDataFrame([(1, "x", datetime(2025, 10, 1, 22))], "Id int, Imei string, FechaAbierto timestamp_ntz")
     times = [datetime(2025, 10, 1, 23), datetime(2025, 10, 2, 0, 30), datetime(2025, 10, 2, 4, 59, 59), datetime(2025, 10, 2, 5)]
@@ -130,13 +145,40 @@ def test_empty_inputs(spark):
         status.family_status(out, "none")
 
 
-def test_families_equal_the_single_pass_and_read_once(spark):
-    rows = tables.enriched(spark, "/root/testdata/sf0.001").persist()
+def test_families_equal_the_single_pass(spark):
+    rows = tables.enriched(spark, "/root/testdata/sf0.001")
     whole = sorted(map(str, status.hourly_reading_status(rows).collect()))
     parts = sorted(str(r) for f in ("maquinas_nieve", "maquinas_soda", "cuartos_refrigeracion", "cuartos_congelacion", "luces", "termostatos") for r in status.family_status(rows, f).collect())
     assert whole == parts
 
 
+@pytest.mark.parametrize(("name", "scans"), [("A-2", 1), ("A-2-long", 1), ("A-9", 1), ("F-1", 1), ("F-7", 1), ("F-8", 1), ("F-8-readings", 1), ("M-11", 1), ("U-1", 2)])
+def test_readings_are_scanned_once(spark, name, scans):
+    """Counted on the plan that was run: nothing is persisted, and no branch reads the events again."""
+    df = registry.queries()[name](spark, "/root/testdata/sf0.01")
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = plan[plan.index("Final Plan") : plan.index("Initial Plan")]
+    assert plan.count("events.parquet") == scans and "InMemoryTableScan" not in plan
+
+
+def test_windows_equal_their_parts(spark):
+    """The single pass against the operators that it is made of, with gaps, several sensors and types."""
+    rows = tables.enriched(spark, "/root/testdata/sf0.01").where("DeviceId is not null")
+    for window, hi, grain, long_windows in ((20, None, "device", "reference"), (240, 60.0, "sensor_type", "flag"), (15, None, "device", "reference"), (35, 80.0, "sensor_type", "reference")):
+        df = status._with_bounds(rows, None, 10.0, hi, window)
+        maxima = status.sensor_maxima(df)
+        keys = ["DeviceId"] if grain == "device" else ["DeviceId", "LocationId", "SensorTyId", "_sensor_type"]
+        anomalies = status.window_anomalies(status.filled(status.window_counts(df)), 60, long_windows)
+        anomalies = anomalies.drop("SensorTyId") if grain == "device" else anomalies
+        parts = status.mean_of_maxima(maxima).join(status.duty(status.device_maxima(maxima), keys), ["rule", "h", *keys]).join(anomalies, ["rule", "h", *keys[:1], *keys[2:3]], "left")
+        columns = ["DeviceId", "LocationId", "SensorTyId", "h", "is_okay", "StatusCode", "total_sensors", "round(MeasurementValue, 9)", "coalesce(Anomalies, 0L)"]
+        got = status.windowed(df, 60, grain, long_windows).selectExpr(*columns)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, parts.selectExpr(*columns).collect())), window
+    with pytest.raises(ValueError, match="multiples of 5"):
+        status.windowed_status(rows, None, 0, None, 7)
+
+
 def test_lake_prunes_days(spark, tmp_path):
     root = str(tmp_path / "lake")
     lake.write_readings(tables.readings(spark, "/root/testdata/sf0.001"), root)
@@ -145,6 +187,25 @@ def test_lake_prunes_days(spark, tmp_path):
     assert {r[0].day for r in df.select("event_date").distinct().collect()} <= {10, 11, 12}
 
 
+def test_lake_replaces_days(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    rows = tables.readings(spark, "/root/testdata/sf0.001")
+    lake.write_readings(rows, root)
+    files = lambda day: sorted(p.name for p in (tmp_path / "lake" / f"event_date={day}").glob("*.parquet"))
+    since, until = datetime(2024, 1, 10, 6), datetime(2024, 1, 12, 6)
+    before, t = files("2024-01-09"), F.col("TimeSpan").cast("timestamp_ntz")
+    inside = (t >= F.lit(since).cast("timestamp_ntz")) & (t < F.lit(until).cast("timestamp_ntz"))
+    assert before and files("2024-01-11")
+    incoming = rows.where(inside & (F.col("Value") > 50)).withColumn("Value", -F.col("Value"))
+    lake.replace_readings(spark, root, incoming, since, until)
+    got = spark.read.parquet(root).drop("event_date")
+    kept = conform(rows.where(~inside).unionByName(incoming), "readings")
+    assert sorted(map(str, got.collect())) == sorted(map(str, kept.select(got.columns).collect()))
+    assert files("2024-01-09") == before  # other days are not rewritten
+    lake.replace_readings(spark, root, rows.limit(0), since, until)
+    assert not files("2024-01-11") and spark.read.parquet(root).where(inside).isEmpty()
+
+
 def test_jdbc_round_trip(spark):
     url, driver = "jdbc:derby:memory:fleet;create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
     rows = spark.createDataFrame([(i, float(i)) for i in range(100)], "ID int, V double")
