@@ -23,6 +23,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
@@ -32,38 +33,52 @@ from fleetmetrics.llm.shared import Members, U, gram_hashes, materialise, slices
 
 BACKOFF = 0.4
 #: Entries of the broadcast tables of words and of bigrams, of 16 bytes each. Words are numbered in ``WORD_BITS`` bits.
-WORDS, BIGRAMS, WORD_BITS = 1 << 19, 1 << 20, 19
+WORDS, BIGRAMS, WORD_BITS = 1 << 20, 1 << 20, 20
 #: A bigram is a candidate for the table if a slice of ``SLICE_BYTES`` has it so often.
 OFTEN = 3
 SLICE_BYTES = 2_000_000
 
 
+def _numbered(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values in order of appearance: a number for each element, the value's first place, and how often it comes."""
+    numbers, _ = pd.factorize(x)
+    highest = np.maximum.accumulate(numbers) if len(x) else numbers
+    first = np.flatnonzero(np.diff(highest, prepend=-1) > 0)
+    return numbers, first, np.bincount(numbers, minlength=len(first))
+
+
 class _Slice:
-    """Words of a slice of documents by position, and distinct words and bigrams of each document."""
+    """Words of a slice of documents by position, its distinct words and bigrams, and those of each document."""
 
     def __init__(self, texts: pa.Array) -> None:
         self.words, at, _ = word_hashes(texts)
         self.docs, self.sizes = len(at) - 1, np.diff(at)
         self.doc = np.repeat(np.arange(self.docs), self.sizes)
-        self.kinds, self.kind = np.unique(self.words, return_inverse=True)
-        n = len(self.kinds) + 1
-        #: Distinct (document, word): first position, number of occurrences; and which of them each position is.
-        _, self.word_at, self.word_of, self.word_times = np.unique(self.doc * n + self.kind, return_index=True, return_inverse=True, return_counts=True)
-        second = np.flatnonzero(self.doc[1:] == self.doc[:-1]) + 1
-        pair = self.kind[second - 1] * n + self.kind[second]
-        self.pair_kinds, pair = np.unique(pair, return_inverse=True)
-        _, at, self.pair_times = np.unique(self.doc[second] * (len(self.pair_kinds) + 1) + pair, return_index=True, return_counts=True)
-        #: Distinct (document, bigram): position of the second word, number of occurrences.
-        self.pair_at, self.pair_kind, self.pairs = second[at], pair[at], len(second)
-        self.pair_counts = np.bincount(pair, minlength=len(self.pair_kinds))
-        h = np.stack([self.kinds[self.pair_kinds // n], self.kinds[self.pair_kinds % n]], axis=1).ravel() if len(second) else self.words[:0]
-        self.pair_hashes = gram_hashes(h, 2)[::2] + U(1)
+        #: Distinct words, which of them each position has, and how often they come.
+        self.kind, first, self.kind_counts = _numbered(self.words.view(np.int64))
+        self.kinds = self.words[first]
+        #: Positions of second words, and their distinct bigrams.
+        self.second = np.flatnonzero(self.doc[1:] == self.doc[:-1]) + 1
+        self.pair_kind, first, self.pair_counts = _numbered(self.kind[self.second - 1] * (len(self.kinds) + 1) + self.kind[self.second])
+        ends = self.second[first]
+        self.pair_hashes = gram_hashes(np.stack([self.words[ends - 1], self.words[ends]], axis=1).ravel(), 2)[::2] + U(1)
+
+    def by_document(self) -> None:
+        """Distinct (document, word): first position, number of occurrences, and which of them each position is; and bigrams likewise."""
+        self.word_of, self.word_at, self.word_times = _numbered(self.doc * (len(self.kinds) + 1) + self.kind)
+        _, first, self.pair_times = _numbered(self.doc[self.second] * (len(self.pair_hashes) + 1) + self.pair_kind)
+        self.pair_at, self.pair_of = self.second[first], self.pair_kind[first]
 
 
 def _long(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64))
 
 
+def _documents(s: _Slice) -> np.ndarray:
+    _, first, _ = _numbered(s.doc * (len(s.kinds) + 1) + s.kind)
+    return np.bincount(s.kind[first], minlength=len(s.kinds))
+
+
 @tidy
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(gram, level, n, docs) of the words of a slice, and of the bigrams that it has often."""
@@ -73,8 +88,8 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             often = s.pair_counts >= OFTEN
             grams = np.concatenate([s.kinds, s.pair_hashes[often]])
             level = np.repeat([1, 2], [len(s.kinds), int(often.sum())])
-            n = np.concatenate([np.bincount(s.kind, minlength=len(s.kinds)), s.pair_counts[often]])
-            docs = np.concatenate([np.bincount(s.kind[s.word_at], minlength=len(s.kinds)), np.zeros(int(often.sum()), np.int64)])
+            n = np.concatenate([s.kind_counts, s.pair_counts[often]])
+            docs = np.concatenate([_documents(s), np.zeros(int(often.sum()), np.int64)])
             yield pa.RecordBatch.from_arrays([_long(grams), pa.array(level, pa.int8()), _long(n), _long(docs)], ["gram", "level", "n", "docs"])
 
 
@@ -94,9 +109,24 @@ class _Table:
 
 
 def _largest(grams: DataFrame, level: int, most: int) -> _Table:
-    """The ``most`` commonest grams; so what goes to the driver has a fixed bound."""
-    top = grams.where(F.col("level") == level).orderBy(F.desc("n"), "gram").limit(most).select("gram", "n").toArrow()
-    return _Table(top["gram"].to_numpy().view(np.uint64), top["n"].to_numpy())
+    """The ``most`` commonest grams, or a few less; so what goes to the driver has a fixed bound, and nothing is sorted.
+
+    They are cut at a count; of those with just that count, as many as there is room for are taken, by hash.
+    """
+    of = grams.where(F.col("level") == level)
+    numbers = {r["n"]: r["count"] for r in of.groupBy("n").count().collect()}  # distinct counts: at most the root of twice the words
+    room, cut = most, None
+    for n in sorted(numbers, reverse=True):
+        if numbers[n] > room:
+            cut = n
+            break
+        room -= numbers[n]
+    if cut is not None:
+        room = max(0, room - 4 * int(room**0.5))
+        below = -(1 << 63) + int((1 << 64) * room / numbers[cut])
+        of = of.where((F.col("n") > cut) | (F.col("n") == cut) & (F.col("gram") < below))
+    top = of.select("gram", "n").toArrow()
+    return _Table(top["gram"].to_numpy().view(np.uint64)[:most], top["n"].to_numpy()[:most])
 
 
 def _counted(common: Broadcast):
@@ -141,11 +171,12 @@ def _exploded(words: Broadcast, common: Broadcast, several: Broadcast, log_size:
         for batch in batches:
             for part in slices(batch, 2, SLICE_BYTES):
                 s, row = _Slice(part.column(2)), part.column(0).to_numpy()
+                s.by_document()
                 number = numbered.find(s.kinds)
                 shared = (number >= 0) | several.value.may_have(_long(s.kinds))
                 h, w = s.kind[s.pair_at - 1], s.kind[s.pair_at]
                 known = (number[h] >= 0) & (number[w] >= 0)
-                place = np.where(known, pairs.find(s.pair_hashes)[s.pair_kind], -1)
+                place = np.where(known, pairs.find(s.pair_hashes)[s.pair_of], -1)
                 doc, m, own_h, own_w = s.doc[s.pair_at], s.pair_times, s.word_times[s.word_of[s.pair_at - 1]], s.word_times[s.word_of[s.pair_at]]
                 if main:
                     rest = known & (place < 0)
@@ -176,7 +207,7 @@ def _exploded(words: Broadcast, common: Broadcast, several: Broadcast, log_size:
                     "n_words": [_long(s.sizes), none(a), none(b)],
                     "seen": [_long(seen), none(a), none(b)],
                     "pairs": [_long(np.maximum(s.sizes - 1, 0)), none(a), none(b)],
-                    "gram": [none(d), none(a), _long(s.pair_hashes[s.pair_kind[rest]])],
+                    "gram": [none(d), none(a), _long(s.pair_hashes[s.pair_of[rest]])],
                     "h": [none(d), none(a), gone(hash_of(h[rest]), number[h[rest]] >= 0)],
                     "w": [none(d), _long(hash_of(own_kind[lone])), gone(hash_of(w[rest]), number[w[rest]] >= 0)],
                     "ch": [none(d), none(a), gone(count(h[rest]), number[h[rest]] < 0)],

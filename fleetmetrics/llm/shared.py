@@ -20,6 +20,7 @@ U = np.uint64
 
 
 _shipped: set[str] = set()
+_written: list[str] = []
 #: Most bytes of an Arrow batch, where the session sets none: long texts would fill a batch of so many rows.
 BATCH_BYTES = "8m"
 
@@ -59,9 +60,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors, and gives joins a known size."""
     path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clear(spark: SparkSession) -> None:
+    """Delete all that :func:`materialise` has written: for the end of an application, or once results have been written; they are read from it until then."""
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release() -> None:
     """Give what a task has freed back to the system, as its worker may go on to other work."""
     pa.default_memory_pool().release_unused()

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetmetrics.llm.shared import materialise
+
 QUERY_BLOCK = 2048
 BINS = 1024
 _NONE = np.iinfo(np.int64).min
@@ -146,6 +148,8 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 10, query_block: i
     blocks = max(1, -(-n * 5 // (query_block * 4))) if n > query_block else 1
     while queries.groupBy(chunk(blocks).alias("b")).count().agg(F.max("count")).first()[0] > query_block:
         blocks *= 2
+    if blocks > 1:  # read once a pass and block
+        candidates, queries = materialise(candidates, "candidates"), materialise(queries, "queries")
     found = None
     for b in range(blocks):
         block = _Block([tuple(r) for r in queries.where(chunk(blocks) == b).select("vec_id", "vec").collect()], k, float(longest) ** 0.5)
@@ -156,6 +160,7 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 10, query_block: i
             kth = counts.withColumn("upto", F.sum("n").over(down)).where("upto >= need and upto - n < need")
             going = block.narrow({r[0]: (r[1], r[2]) for r in kth.select("query_id", "bin", F.expr("upto - n")).collect()})
         part = candidates.mapInArrow(_winners(block), "query_id long, vec_id long, score long")
+        part = materialise(part, "winners") if blocks > 1 else part
         found = part if found is None else found.unionByName(part)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

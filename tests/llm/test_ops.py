@@ -695,6 +695,41 @@ def test_quality_on_held_out_labels(spark):
     assert sum(r.predicted == labels[r.doc_id] for r in seen) / len(seen) > 0.9
 
 
+def measured(text):
+    """The statistics of a text, one by one."""
+    data, w, lines = text.encode(), words(text), text.split("\n")
+    pairs, b, n = list(zip(w, w[1:])), max(len(data), 1), max(len(w), 1)  # noqa: B905
+    of = lambda chars: sum(c in chars for c in data)
+    top = Counter(w).most_common(1)[0][1] if w else 0
+    return [
+        np.log1p(len(data)), np.log1p(len(w)), sum(len(x.encode()) for x in w) / n, of(range(65, 91)) / b, of(b"0123456789") / b, of(b".,;:!?'\"()-") / b,
+        of(b"#$%&*+/<=>@\\^_`{|}~[]") / b, of(b" \t\r\n") / b, of(range(128, 256)) / b, len(set(w)) / n, top / n, sum(x == y for x, y in pairs) / n,
+        len(set(pairs)) / n, len(set(lines)) / len(lines), len(w) / len(lines), of(b"!") / n, of(b"|") / n, of(b".?!") / n,
+    ]
+
+
+def test_statistics_one_by_one(spark, documents):
+    texts = [d["text"] for d in documents[:120]] + [t or "" for t in ODD] + ["a a a\n\na", "!!!", "é É"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: tuple(r)[1:] for r in quality.statistics(df, ["doc_id"]).collect()}
+    for i, text in enumerate(texts):
+        assert np.allclose(got[i], measured(text), atol=1e-8), (i, text[:50])
+
+
+def test_compiled_rules(spark, documents):
+    """Scores of the Spark expression against the rules, evaluated one by one."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    rules = quality.fit(docs, labels)
+    got = {r.doc_id: r for r in quality.score(docs, rules).collect()}
+    assert rules.rules
+    for d in documents[:200]:
+        x = dict(zip(quality.STATISTICS, np.round(measured(d["text"] or ""), 9), strict=True))
+        z = rules.intercept + sum(w for rule, w in rules.rules if all((x[n] <= at) == upper for n, upper, at in rule))
+        r = got[d["doc_id"]]
+        assert abs(r.score - 1 / (1 + np.exp(-z))) < 1e-6 and r.predicted == (r.score >= 0.7)
+        assert r.held_out == (zlib.crc32(str(d["doc_id"]).encode()) % 4 == 2)
+
+
 def test_quality_edges(spark, odd, none):
     labels = spark.createDataFrame([(4, 1), (5, 1), (2, None)], "doc_id long, quality int")
     rules = quality.fit(odd, labels)
@@ -795,6 +830,27 @@ def test_pipeline_of_nothing(spark, none):
     assert docs.count() == 0
 
 
+def test_clear(spark):
+    from fleetmetrics.llm import shared
+
+    kept = list(shared._written)
+    shared._written.clear()
+    df = shared.materialise(spark.range(3), "x")
+    (path,) = shared._written
+    assert df.count() == 3
+    shared.clear(spark)
+    assert not shared._written and not __import__("os").path.exists(path)
+    shared._written.extend(kept)
+
+
+def test_top_k_of_many_blocks(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, [int(x) for x in rng.integers(-50, 50, 6)]) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, vec array<long>")
+    one, many = (sorted(map(tuple, topk.top_k(df, df.where("vec_id % 2 = 0"), 5, block).collect())) for block in (1000, 32))
+    assert one == many and len(one) == 1000
+
+
 def test_columns_with_clashing_names(spark):
     names = ["ids", "spans", "grams", "cluster", "block", "node", "key", "bands", "label", "id_", "text_", "score", "w", "clips"]
     df = spark.createDataFrame([(1, TEXT), (2, TEXT)], "doc_id long, text string").withColumns({n: F.lit(1) for n in names})
