@@ -51,6 +51,12 @@ def alerts_by_description(alerts: DataFrame, types: DataFrame, descriptions: dic
     return count_measures(named, {n: F.col("Descripcion") == d for n, d in descriptions.items()})
 
 
+def by_day(evaluations: DataFrame) -> DataFrame:
+    """A row for each day of an evaluation, from its start to its end, as ``Fecha``; none if it ends before it starts (J-5)."""
+    days = F.sequence(F.to_date("FechaInicio"), F.to_date("FechaFin"))
+    return evaluations.where(F.to_date("FechaInicio") <= F.to_date("FechaFin")).withColumn("Fecha", F.explode(days))
+
+
 def daily_opportunity(evaluations: DataFrame, modules: DataFrame, module: str, source: str = "module", since: str | None = None, until: str | None = None) -> DataFrame:
     """Mean daily opportunity of each date, store and module (J-5, J-6, A-12, M-8 to M-10).
 
@@ -61,9 +67,8 @@ def daily_opportunity(evaluations: DataFrame, modules: DataFrame, module: str, s
         raise ValueError("source must be evaluation or module")
     m = modules.where(F.col("Fk_ModuloEvaluable") == module).select(F.col("Fk_EvaluacionGeneral").alias("Id"), "Fk_ModuloEvaluable", F.col("Oportunidad").alias("of_module"))
     value = F.col("of_module" if source == "module" else "Oportunidad")
-    days = F.sequence(F.to_date("FechaInicio"), F.to_date("FechaFin"))
-    valid = evaluations.where(F.to_date("FechaInicio") <= F.to_date("FechaFin"))
-    rows = valid.join(m, "Id").select(F.explode(days).alias("Fecha"), "Fk_Tienda", "Fk_ModuloEvaluable", (value.try_cast("decimal(18,6)") / 7).try_cast("decimal(9,4)").alias("x"))
+    each = evaluations.join(m, "Id").withColumn("x", (value.try_cast("decimal(18,6)") / 7).try_cast("decimal(9,4)"))
+    rows = by_day(each).select("Fecha", "Fk_Tienda", "Fk_ModuloEvaluable", "x")
     if since is not None:
         rows = rows.where(F.col("Fecha") >= F.lit(since).cast("date"))
     if until is not None:

@@ -176,6 +176,15 @@ def _(spark, sf):
 
 
 @_query("L-10", f"SELECT * FROM readings WHERE NOT (TimeSpan >= {_lo} AND TimeSpan < {_mid}) UNION ALL SELECT * FROM readings WHERE TimeSpan >= {_lo} AND TimeSpan < {_mid} AND Value > 50")
+def _(spark, sf):
+    """In a lake: only the range's days are read and written."""
+    root, r = _scratch(spark, "lake"), t.readings(spark, sf)
+    lake.write_readings(r, root)
+    lake.replace_readings(spark, root, r.where(F.col("Value") > 50), LO_TS, MID_TS)
+    return _plain(spark.read.parquet(root).drop("event_date"), "TimeSpan", "LocalTimeSpan")
+
+
+@_query("L-10-frames", f"SELECT * FROM readings WHERE NOT (TimeSpan >= {_lo} AND TimeSpan < {_mid}) UNION ALL SELECT * FROM readings WHERE TimeSpan >= {_lo} AND TimeSpan < {_mid} AND Value > 50")
 def _(spark, sf):
     r = t.readings(spark, sf)
     inside = (F.col("TimeSpan") >= F.lit(LO_TS).cast("timestamp_ntz")) & (F.col("TimeSpan") < F.lit(MID_TS).cast("timestamp_ntz"))
@@ -344,8 +353,7 @@ def _(spark, sf):
 
 @_query("J-5", "SELECT CAST(d AS DATE) AS Fecha, count(*) AS n FROM (SELECT unnest(generate_series(CAST(o_orderdate AS DATE), CAST(o_orderdate + INTERVAL 6 DAYS AS DATE), INTERVAL 1 DAY)) AS d FROM orders) GROUP BY 1", cte=False)
 def _(spark, sf):
-    days = F.explode(F.sequence(F.to_date("FechaInicio"), F.to_date("FechaFin"))).alias("Fecha")
-    return t.evaluations(spark, sf).select(days).groupBy("Fecha").agg(F.count("*").alias("n"))
+    return measures.by_day(t.evaluations(spark, sf)).groupBy("Fecha").agg(F.count("*").alias("n"))
 
 
 @_query("J-7", f"{_W} SELECT DeviceId, h AS LocalTimeSpan, LocationId, SensorTyId, round(mv, 6) AS MeasurementValue, CAST(status AS INTEGER) AS StatusCode, n AS total_sensors, ok AS is_okay, anomalies AS \"Anomalies\" FROM out")
