@@ -319,6 +319,32 @@ def test_near_duplicates_in_large_groups(spark, monkeypatch):
     assert {r.doc_id: (r.class_id, r.n_links) for r in jaccard.near_duplicates(df).collect()} == brute_near(rows)
 
 
+def test_pairs_just_at_the_threshold_are_found(spark):
+    """600 planted pairs of similarity 0.8 to 0.83: all of them, and none of the 200 below 0.8."""
+    rng = np.random.default_rng(17)
+    grams = lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    alike = lambda a, b: len(grams(a) & grams(b)) / len(grams(a) | grams(b))
+    rows, linked = [], set()
+    near = below = 0
+    while near < 600 or below < 200:
+        n = int(rng.integers(60, 200))
+        one = [f"w{x}" for x in rng.integers(0, 10**9, n)]
+        two = list(one)
+        cut = int(n * rng.uniform(0.08, 0.14))
+        two[-cut:] = [f"v{x}" for x in rng.integers(0, 10**9, cut)]
+        s = alike(one, two)
+        if 0.8 <= s <= 0.83 and near < 600:
+            near += 1
+            linked |= {len(rows), len(rows) + 1}
+        elif 0.77 <= s < 0.8 and below < 200:
+            below += 1
+        else:
+            continue
+        rows += [(len(rows), " ".join(one)), (len(rows) + 1, " ".join(two))]
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).where("n_links > 0").collect()
+    assert {r.doc_id for r in got} == linked and all(r.n_links == 1 and r.class_id == r.doc_id - r.doc_id % 2 for r in got)
+
+
 def test_near_duplicate_edges(spark, odd, none):
     got = jaccard.near_duplicates(odd).collect()
     assert len(got) == len(ODD) + 1
