@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from fleetmetrics.functions.schemas import empty
 from fleetmetrics.plans.facts import build_facts
 from fleetmetrics.sources import incremental
-from fleetmetrics.sources.readings import overwrite_days, read_readings_range
+from fleetmetrics.sources.readings import DAY, overwrite_days, read_readings_range, replace_readings, write_readings
 
 
 @dataclass
@@ -37,10 +37,21 @@ def _begun(ledger: DataFrame, name: str, now: datetime, lookback: int) -> tuple[
 
 
 def ingest_readings(spark: SparkSession, ledger: DataFrame, lake: str, table: str, now: datetime, name: str = "readings") -> Run:
-    """Readings of the lake since the watermark, those not known yet appended to ``table``; the watermark moves to the latest written, else to the window's end."""
+    """Readings of the lake from the watermark to ``now``, both included, replace those of ``table``; the watermark moves to the latest of them, else to the window's end.
+
+    ``table`` is parquet by day, as the lake is; only the window's days are rewritten. Of readings with one id one is
+    written, and none whose id the table has outside the window.
+    """
     ledger, since, until = _begun(ledger, name, now, 0)
-    rows = read_readings_range(spark, lake, since, until).drop("event_date")
-    n, latest = incremental.write_new(rows, _table(spark, table, rows), table, ["ReadId"], ts="TimeSpan")
+    end = until + timedelta(microseconds=1)
+    rows = read_readings_range(spark, lake, since, until)
+    there = _table(spark, table, rows)
+    rows = incremental.new_rows(rows.drop(DAY), incremental.delete_range(there.drop(DAY), "TimeSpan", since, end), ["ReadId"])
+    if there.isEmpty():
+        write_readings(rows, table)
+    else:
+        replace_readings(spark, table, rows, since, end)
+    n, latest = read_readings_range(spark, table, since, until).agg(F.count("*"), F.max("TimeSpan")).first()
     return Run(incremental.mark_completed(ledger, name, now, True, latest or until), {table: n})
 
 

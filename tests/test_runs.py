@@ -26,9 +26,18 @@ def test_ingestion_twice(spark, tmp_path):
     expected = moved.where(F.col("TimeSpan") >= F.lit("2025-10-01 00:00:00").cast("timestamp_ntz"))
     assert first.written[table] == expected.count() > 0
     assert entry.LastRunStatus == "SUCCESS" and entry.LastLoadedAt == expected.agg(F.max("TimeSpan")).first()[0]
-    again = runs.ingest_readings(spark, first.ledger, root, table, now)
-    assert again.written[table] == 0 and spark.read.parquet(table).count() == first.written[table]
-    assert again.ledger.count() == 1 and again.ledger.first().LastRunStatus == "SUCCESS"
+    stored = plain(spark.read.parquet(table))
+    again = runs.ingest_readings(spark, first.ledger, root, table, now)  # reads the latest once more
+    assert again.written[table] == expected.where(F.col("TimeSpan") == F.lit(entry.LastLoadedAt)).count()
+    assert plain(spark.read.parquet(table)) == stored and again.ledger.count() == 1
+    assert again.ledger.first().LastRunStatus == "SUCCESS" and again.ledger.first().LastLoadedAt == entry.LastLoadedAt
+    # What has come into the lake behind the watermark since, and a reading that is there already.
+    late = expected.limit(1).withColumns({c: F.lit("2027-01-01 10:00:00").cast("timestamp_ntz") for c in ("TimeSpan", "LocalTimeSpan")})
+    lake.write_readings(late.unionByName(late.withColumn("ReadId", F.lit("new"))), root)
+    third = runs.ingest_readings(spark, again.ledger, root, table, now)
+    got = spark.read.parquet(table)
+    assert got.count() == len(stored) + 1 and got.where("ReadId = 'new'").count() == 1
+    assert third.ledger.first().LastLoadedAt == datetime(2027, 1, 1, 10)
 
 
 def test_facts_twice(spark, tmp_path):
