@@ -233,10 +233,25 @@ def _added(of: DataFrame, size: int) -> DataFrame:
     return of.select("row", (m * value).alias("added"), m.alias("seen"))
 
 
+def _added_by_number(words: Broadcast, log_size: float):
+    """As :func:`_added`, for bigrams of two numbered words: their counts are looked up in the broadcast table."""
+
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = words.value.n
+        for batch in batches:
+            key, row, own, more, c = (x.to_numpy() for x in batch.columns)
+            m, own_h, own_w = ((own >> (16 * i) & 0xFFFF) + ((more >> (16 * i) & 0xFFFF) << 16) for i in range(3))
+            value = np.log(c) - np.log(n[key >> WORD_BITS] - own_h) - np.log(n[key & (1 << WORD_BITS) - 1] - own_w + 1) + log_size - np.log(BACKOFF)
+            numbers, rows = pd.factorize(row)
+            yield pa.RecordBatch.from_arrays([_long(rows), pa.array(np.bincount(numbers, m * value, len(rows))), _long(np.bincount(numbers, m, len(rows)))], ["row", "added", "seen"])
+
+    return run
+
+
 def _bigram_scores(rows: DataFrame) -> DataFrame:
     """Scores of (row, doc_id, text) at order 2."""
-    spark = rows.sparkSession
-    share = spark.sparkContext.broadcast
+    share = rows.sparkSession.sparkContext.broadcast
     texts = rows.select("text")
     met = texts.mapInArrow(_met, "gram long, level byte, n long, docs long").groupBy("gram", "level").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     met = materialise(met, "backoff-counts")
@@ -253,11 +268,7 @@ def _bigram_scores(rows: DataFrame) -> DataFrame:
     side = materialise(rows.mapInArrow(_exploded(*shared, False), _SIDE), "backoff-side")
 
     main = rows.mapInArrow(_exploded(*shared, True), "key long, row long, own long, more long")
-    counts = spark.createDataFrame(pa.table({"number": np.arange(len(numbered.n)), "times": numbered.n}))
-    count = lambda name, at: F.broadcast(counts.select(F.col("number").alias(at), F.col("times").alias(name)))
-    main = _others(main.repartition("key"), "key").withColumns({"h": F.shiftright("key", WORD_BITS), "w": F.col("key").bitwiseAND(F.lit((1 << WORD_BITS) - 1).cast("long"))})
-    # WORDS bounds the broadcast counts.
-    main = _added(main.join(count("ch", "h"), "h").join(count("cw", "w"), "w"), size)
+    main = _others(main.repartition("key"), "key").select("key", "row", "own", "more", "c").mapInArrow(_added_by_number(shared[0], shared[3]), "row long, added double, seen long")
 
     odd = side.where("gram is not null").drop("doc_id", "base", "n_words", "seen", "pairs")
     rare = lambda name, at: rarer.select(F.col("id").alias(at), F.col("times").alias(name))

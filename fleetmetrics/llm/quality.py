@@ -18,7 +18,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetmetrics.llm.shared import buffers, gram_hashes, materialise, slices, word_hashes
+from fleetmetrics.llm.shared import buffers, gram_hashes, materialise, slices, tidy, word_hashes
 
 SLICE_BYTES = 2_000_000
 TREES, DEPTH, LASSO = 12, 3, 0.002
@@ -82,6 +82,7 @@ def _measures(texts: pa.Array) -> np.ndarray:
 
 
 def _run(kept: int):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, batch.num_columns - 1, SLICE_BYTES):
