@@ -152,6 +152,7 @@ def buffers(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 # A random odd multiplier, and a table of byte values from a seeded generator.
 _R = 0x9E3779B97F4A7C15
 _BYTE_VALUE = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=np.uint64) * U(2) + U(1)
+LONG_TEXT = 4_000_000
 _IS_WORD = np.zeros(256, bool)
 _IS_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
@@ -174,9 +175,24 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """64-bit hashes of all words, n+1 offsets of each text's words, and each word's length in bytes.
 
     A word is a longest run of ASCII letters and digits and of any non-ASCII
-    characters, in lower case. The hash is a polynomial over the bytes.
+    characters, in lower case. The hash is a polynomial over the bytes. A text
+    of more than ``LONG_TEXT`` bytes is worked on in parts, cut at blanks.
     """
     data, offsets = buffers(pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
+    if len(offsets) > 2 or len(data) <= LONG_TEXT:
+        return _hashed(data, offsets)
+    hashes, lengths, at = [], [], 0
+    while at < len(data):
+        blank = np.flatnonzero(data[at + LONG_TEXT : at + 2 * LONG_TEXT] == 32)
+        end = at + LONG_TEXT + int(blank[0]) if len(blank) else len(data)
+        some = _hashed(data[at:end], np.array([0, end - at]))
+        hashes.append(some[0])
+        lengths.append(some[2])
+        at = end
+    return np.concatenate(hashes), np.array([0, sum(map(len, hashes))]), np.concatenate(lengths)
+
+
+def _hashed(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), np.zeros(0, np.int64)
     inside = _IS_WORD[data]

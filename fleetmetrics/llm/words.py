@@ -11,6 +11,7 @@ from __future__ import annotations
 import functools
 import json
 import os
+import re
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
 
@@ -26,8 +27,11 @@ from fleetmetrics.llm.shared import buffers
 
 #: Pieces remembered: about 50 bytes each.
 KEPT = 300_000
+#: Longer texts are cut before they become arrays, of some 50 bytes a character.
+LONG_TEXT = 2_000_000
 #: White space to some libraries only (fixed values), and the beginning of a special token's name.
 _UNLIKE = "[\x1c-\x1f\u0085᠎]|<\\|"
+_WHOLE, _CUT = re.compile(_UNLIKE), re.compile("[ \t\r\n]")
 
 
 @functools.cache
@@ -83,6 +87,17 @@ class WordTokenizer:
     def _library(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
 
+    @staticmethod
+    def _parts(text: str) -> list[str]:
+        """A long text cut at white space, which no piece contains; so that arrays are of bounded size. A text for the library stays whole."""
+        if _WHOLE.search(text):
+            return [text]
+        out, at = [], 0
+        while len(text) - at > LONG_TEXT and (m := _CUT.search(text, at + LONG_TEXT)):
+            out.append(text[at : m.start()])
+            at = m.start()
+        return [*out, text[at:]]
+
     def _solved(self, pieces: pa.Array) -> Codes:
         """Ids of distinct pieces."""
         data, at = buffers(pieces)
@@ -101,6 +116,9 @@ class WordTokenizer:
     def encode_arrays(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of whole texts (null counts as empty), end to end, and the n+1 offsets of the n texts."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        if len(texts) == 1 and pc.binary_length(texts[0]).as_py() > LONG_TEXT and len(parts := self._parts(texts[0].as_py())) > 1:
+            ids = np.concatenate([self.encode_arrays(pa.array([p], pa.large_string()))[0] for p in parts])
+            return ids, np.array([0, len(ids)])
         odd = np.flatnonzero(pc.match_substring_regex(texts, _UNLIKE).to_numpy(zero_copy_only=False))
         if len(odd):
             apart = [self._library(t) for t in texts.take(pa.array(odd)).to_pylist()]

@@ -708,6 +708,29 @@ def test_word_tokens_equal_the_library():
     assert [np.frombuffer(x, np.uint32).tolist() for x in w.encode_many(texts)] == [x.ids for x in t.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_word_tokens_of_long_texts(monkeypatch):
+    """Texts cut at white space before they become arrays have the same ids."""
+    from fleetmetrics.llm import words as module
+
+    w = WordTokenizer.at(WORDS)
+    texts = ["It's  we'll\n\tI'M 12 É ß日本 x-y " * 40, "a" * 3000, "one two <|endoftext|> three " * 50, " " * 900]
+    whole = [w.encode(t) for t in texts]
+    monkeypatch.setattr(module, "LONG_TEXT", 100)
+    assert [w.encode(t) for t in texts] == whole
+
+
+def test_word_hashes_of_long_texts(monkeypatch):
+    import pyarrow as pa
+
+    from fleetmetrics.llm import shared
+
+    texts = ["one, Two é日本 three  " * 60, "x" * 500, " " * 300, "ab " * 100]
+    whole = [shared.word_hashes(pa.array([t])) for t in texts]
+    monkeypatch.setattr(shared, "LONG_TEXT", 50)
+    for t, w in zip(texts, whole, strict=True):
+        assert all(np.array_equal(a, b) for a, b in zip(shared.word_hashes(pa.array([t])), w, strict=True))
+
+
 # 9
 
 
