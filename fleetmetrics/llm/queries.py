@@ -29,6 +29,7 @@ def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("media", 256).alias("media_sha256"),
         "feature",
         F.size("clips").alias("n_clips"),
+        F.array_join(F.transform("clips", lambda c: F.concat_ws("-", c["start_s"].cast("string"), c["end_s"].cast("string"))), ",").alias("clip_seconds"),
     )
 
 

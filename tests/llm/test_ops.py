@@ -138,6 +138,29 @@ def test_shots_and_clips(spark):
     assert [(r.start_frame, r.end_frame, r.start_s, r.end_s) for r in got] == [(0, 12, 0.0, 1.2), (12, 21, 1.2, 2.1), (21, 36, 2.1, 3.6)]
 
 
+def test_clips_of_many_videos(spark):
+    """Times follow each video's own pace; clips cover it without gaps; unreadable ones and null have none."""
+    rng = np.random.default_rng(9)
+    rows, lengths = [], {}
+    for i in range(12):
+        parts = [np.clip(rng.normal(rng.integers(20, 230), 4, (int(rng.integers(3, 9)), 24, 24)), 0, 255).astype(np.uint8) for _ in range(int(rng.integers(1, 5)))]
+        fps = int(rng.integers(1, 50))
+        frames = np.concatenate(parts)
+        lengths[i] = (len(frames), fps)
+        rows.append((i, bytearray(avi.write(mjpeg.encode_lossless(frames), 24, 24, fps=fps))))
+    df = spark.createDataFrame([*rows, (90, bytearray(b"RIFF")), (91, None)], "doc_id long, media binary")
+    by = {}
+    for r in media.clips(media.read_media(df)).collect():
+        by.setdefault(r.doc_id, []).append(r)
+    assert set(by) == set(lengths)
+    for i, found in by.items():
+        found.sort(key=lambda r: r.clip)
+        n, fps = lengths[i]
+        edges = [r.start_frame for r in found] + [n]
+        assert edges[0] == 0 and edges == sorted(set(edges)) and [r.end_frame for r in found] == edges[1:]
+        assert all(abs(r.start_s - r.start_frame / fps) < 1e-3 * (r.start_frame + 1) and abs(r.end_s - r.end_frame / fps) < 1e-3 * (r.end_frame + 1) for r in found)
+
+
 def baseline(pixels, q, restart=0):
     """A plain baseline encoder, block by block."""
     dc, ac = mjpeg.huffman(mjpeg.DC_LENGTHS, mjpeg.DC_SYMBOLS).codes, mjpeg.huffman(mjpeg.AC_LENGTHS, mjpeg.AC_SYMBOLS).codes
