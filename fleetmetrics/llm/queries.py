@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmetrics.llm import backoff, bpe, jaccard, media, packing, pii, quality, secrets, topk, warc
+from fleetmetrics.llm import backoff, bpe, fim, jaccard, linededup, media, packing, periodic, pii, quality, secrets, topk, warc
 from fleetmetrics.llm.shared import table
 
 
@@ -83,6 +83,29 @@ def op10_backoff_trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backoff.backoff_scores(table(spark, sf_dir, "documents"), order=3, stable=True)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    looped = docs.select("doc_id", periodic.looped(F.col("text"), F.crc32(F.col("doc_id").cast("string"))).alias("text"))
+    found = periodic.find_runs(looped)
+    # Runs are ordered by start, so of equal exponents the first stays; exponents are compared as fractions.
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda b, r: F.when(r["length"] * b["period"] > b["length"] * r["period"], r).otherwise(b))
+    line = lambda r: F.concat(F.concat_ws(",", *[r[x].cast("string") for x in ("start", "length", "period")]), F.lit("\n"))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period", F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = fim.restored(fim.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"))
+    return coded.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = linededup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 

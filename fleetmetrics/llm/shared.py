@@ -15,6 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 U = np.uint64
 
@@ -91,6 +92,18 @@ def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
     return tidied
 
 
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType) -> DataFrame:
+    """``mapInArrow`` for columns of any names, also with dots in them: tasks see them by number."""
+    coded = StructType([StructField(f"c{i}", f.dataType) for i, f in enumerate(schema.fields)])
+
+    @tidy
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in run(batches):
+            yield pa.RecordBatch.from_arrays(batch.columns, coded.names)
+
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(renamed, coded).toDF(*schema.names)
+
+
 class Members:
     """A filter of ids of fixed size: ids that it lacks are surely not among those it was made from; a few others seem to be."""
 
