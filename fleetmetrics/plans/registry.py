@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from datetime import datetime
@@ -19,7 +18,8 @@ from fleetmetrics.operators.rollup import bad_runs, device_status
 from fleetmetrics.operators.rules import FAMILIES, RULES, STATUS
 from fleetmetrics.plans import tables as t
 from fleetmetrics.plans.facts import build_facts, operations_view
-from fleetmetrics.sources import incremental, readings as lake
+from fleetmetrics.sources import files, incremental, keyindex, readings as lake
+from fleetmetrics.sources.ledger import Ledger
 from fleetmetrics.streaming import status as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,14 +111,7 @@ def _(spark, sf):
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("TimeSpan", "LocalTimeSpan")})
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    """A new folder below the one that driver and executors share; one of this machine where none is set and the master is local."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = tempfile.mkdtemp(prefix="spark-")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+_scratch = files.scratch
 
 
 @_query("L-3", f"SELECT * FROM readings WHERE LocalTimeSpan >= {_mid}")
@@ -137,25 +130,27 @@ def _target(spark, sf):
 
 @_query("L-2", "SELECT c_custkey, c_nationkey, c_mktsegment FROM customer", cte=False)
 def _(spark, sf):
-    """Over JDBC there and back, in parallel by key; the database lives in this process, so on a local master only."""
+    """Over JDBC there and back, in parallel by stretches of keys with as many rows each; the database lives in this process, so on a local master only."""
     url, driver, name = "jdbc:derby:memory:fleetmetrics;create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver", f"C{uuid.uuid4().hex}"
     rows = t.load(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    lo, hi = rows.agg(F.min("c_custkey"), F.max("c_custkey")).first()
     lake.write_jdbc(rows.coalesce(4), url, name, driver, createTableColumnTypes="c_mktsegment VARCHAR(64)")
-    return lake.read_jdbc(spark, url, name, driver, "c_custkey", (lo, hi + 1), 4)
+    return lake.read_jdbc(spark, url, name, driver, "c_custkey", partitions=4)
 
 
 @_query("L-4", f", {_TARGET} SELECT * FROM target UNION ALL SELECT DISTINCT * FROM incoming WHERE ReadId NOT IN (SELECT ReadId FROM target)")
 def _(spark, sf):
-    """Written in three runs: the target, what has come in, in which some rows are there twice, and the same again."""
+    """Written in three runs to a lake: the target, what has come in, in which some rows are there twice, and the same again. Summaries of the days' keys say which days are looked at."""
     target, incoming = _target(spark, sf)
     path = _scratch(spark, "readings")
-    target.write.parquet(path)
-    table = lambda: spark.read.schema(target.schema).parquet(path)
-    incremental.write_new(incoming, table(), path, ["ReadId"])
-    if incremental.write_new(incoming, table(), path, ["ReadId"])[0]:
-        raise RuntimeError("a repeated run has written rows")
-    return table()
+    lake.write_readings(target, path)
+    index = keyindex.KeyIndex(spark, path, lake.DAY, "ReadId")
+    for again in (False, True):
+        index.refresh()
+        fresh = index.new_rows(incoming)
+        if again and not fresh.isEmpty():
+            raise RuntimeError("a repeated run has new rows")
+        lake.write_readings(fresh, path)
+    return _plain(spark.read.parquet(path).drop(lake.DAY), "TimeSpan", "LocalTimeSpan")
 
 
 @_query("L-7", f", {_TARGET} SELECT * FROM incoming WHERE TimeSpan >= (SELECT max(TimeSpan) FROM target)")
@@ -243,14 +238,39 @@ def _(spark, sf):
     return _plain(incremental.get_watermark(_ledger(spark, sf), names, HI_TS).select("IngestionName", "LastLoadedAt", "LastRunStatus"), "LastLoadedAt")
 
 
-@_query("L-16", f", {_LEDGER} SELECT IngestionName, CASE WHEN IngestionName = 'NATION_3' THEN 'RUNNING' ELSE LastRunStatus END AS LastRunStatus, CASE WHEN IngestionName = 'NATION_3' THEN NULL ELSE {_mid} END AS LastRunFinishedAt FROM ledger")
+def _stored(spark, sf) -> Ledger:
+    """The ledger of runs, in a folder."""
+    out = Ledger(spark, _scratch(spark, "ledger"))
+    out.store(conform(_ledger(spark, sf), "ingestion_control"), 0)
+    return out
+
+
+_ENTRY = "SELECT IngestionName, CASE WHEN IngestionName = 'NATION_3' THEN {loaded} ELSE LastLoadedAt END AS LastLoadedAt, CASE WHEN IngestionName = 'NATION_3' THEN '{status}' ELSE LastRunStatus END AS LastRunStatus, CASE WHEN IngestionName = 'NATION_3' THEN {start} ELSE {lo} END AS LastRunStartedAt, CASE WHEN IngestionName = 'NATION_3' THEN {end} ELSE {mid} END AS LastRunFinishedAt, CASE WHEN IngestionName = 'NATION_3' THEN {error} END AS LastRunError FROM ledger"
+_ENTRY_COLUMNS = ["IngestionName", "LastLoadedAt", "LastRunStatus", "LastRunStartedAt", "LastRunFinishedAt", "LastRunError"]
+_ENTRY_TIMES = [c for c in _ENTRY_COLUMNS if c.endswith("At")]
+
+
+@_query("L-16", f", {_LEDGER} " + _ENTRY.format(loaded="LastLoadedAt", status="RUNNING", start=_hi, end="NULL", error="CAST(NULL AS VARCHAR)", lo=_lo, mid=_mid))
+def _(spark, sf):
+    stored = _stored(spark, sf)
+    stored.begin("NATION_3", HI_TS)
+    return _plain(stored.frame.select(*_ENTRY_COLUMNS), *_ENTRY_TIMES)
+
+
+@_query("L-17", f", {_LEDGER} " + _ENTRY.format(loaded=_hi, status="SUCCESS", start=_lo, end=_hi, error="CAST(NULL AS VARCHAR)", lo=_lo, mid=_mid))
 def _(spark, sf):
-    return _plain(incremental.mark_started(_ledger(spark, sf), "NATION_3", HI_TS).select("IngestionName", "LastRunStatus", "LastRunFinishedAt"), "LastRunFinishedAt")
+    stored = _stored(spark, sf)
+    stored.finish("NATION_3", HI_TS, True, HI_TS)
+    return _plain(stored.frame.select(*_ENTRY_COLUMNS), *_ENTRY_TIMES)
 
 
-@_query("L-17", f", {_LEDGER} SELECT IngestionName, CASE WHEN IngestionName = 'NATION_3' THEN {_hi} ELSE LastLoadedAt END AS LastLoadedAt, CASE WHEN IngestionName = 'NATION_3' THEN 'SUCCESS' ELSE LastRunStatus END AS LastRunStatus FROM ledger")
+@_query("L-17-failed", f", {_LEDGER} " + _ENTRY.format(loaded="LastLoadedAt", status="FAILED", start=_mid, end=_hi, error="'no space'", lo=_lo, mid=_mid))
 def _(spark, sf):
-    return _plain(incremental.mark_completed(_ledger(spark, sf), "NATION_3", HI_TS, True, HI_TS).select("IngestionName", "LastLoadedAt", "LastRunStatus"), "LastLoadedAt")
+    """A run that has begun and failed: the watermark stays."""
+    stored = _stored(spark, sf)
+    stored.begin("NATION_3", MID_TS)
+    stored.finish("NATION_3", HI_TS, False, HI_TS, "no space")
+    return _plain(stored.frame.select(*_ENTRY_COLUMNS), *_ENTRY_TIMES)
 
 
 @_query("L-18", "SELECT * FROM readings")
@@ -600,8 +620,7 @@ def _(spark, sf):
 def _events(spark, sf):
     """The events table as a stream: of the part files where the table is a folder, else of the one file beside the other tables."""
     stream, path = spark.readStream.schema(t.load(spark, sf, "events").schema), f"{sf}/events.parquet"
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hadoop).isDirectory():
+    if files.is_folder(spark, path):
         return stream.parquet(path)
     return stream.option("pathGlobFilter", "events.parquet").parquet(sf)
 
@@ -621,11 +640,22 @@ def _run_stream(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(f"{out}/rows")
 
 
-@_query("S-1", "SELECT event_id, user_id, value FROM events", cte=False)
+@_query("S-1", "SELECT CAST(event_id AS VARCHAR) AS ReadId, CAST(user_id AS VARCHAR) AS SensorId, CAST(value AS DECIMAL(19,9)) AS Value FROM events", cte=False)
 def _(spark, sf):
-    e = _events(spark, sf)
-    once = streaming.once(e.withColumn("ts", F.col("ts").cast("timestamp")), "event_id", "ts")
-    return _run_stream(spark, once.select("event_id", "user_id", "value"), "ingest")
+    """Three files one after another. Readings of the last hours come again in the next file an hour later, within the time for which ids are known; ones of the file before come again as they were, too late to count."""
+    r, root = _stamped(t.readings(spark, sf)), _scratch(spark, "arriving")
+    thirds = r.withColumn("third", F.when(F.col("TimeSpan") < F.lit(LO_TS), 0).when(F.col("TimeSpan") < F.lit(HI_TS), 1).otherwise(2))
+    recent = F.col("TimeSpan") >= F.when(F.col("third") == 0, F.lit(LO_TS)).otherwise(F.lit(HI_TS)) - F.expr("INTERVAL 1 HOUR")
+    for k in range(3):
+        before = thirds.where(F.col("third") == k - 1)
+        later = before.where(recent).withColumn("TimeSpan", F.col("TimeSpan") + F.expr("INTERVAL 1 HOUR"))
+        thirds.where(F.col("third") == k).unionByName(later).unionByName(before.where(~recent & (F.crc32("ReadId") % 10 == 0))).drop("third").coalesce(1).write.mode("append").parquet(root)
+    once = streaming.readings_stream(spark, root, r.schema, maxFilesPerTrigger="1")
+    return _run_stream(spark, once.select("ReadId", "SensorId", "Value"), "ingest")
+
+
+def _stamped(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("timestamp") for c in ("TimeSpan", "LocalTimeSpan")})
 
 
 @_query("S-2", f", {_CURRENT}, s AS ({_threshold_sql('cur', LO, None)}) SELECT DeviceId, LocationId, SensorTyId, h AS LocalTimeSpan, round(mv, 6) AS MeasurementValue, CAST(CASE WHEN ok / total >= 0.5 THEN 1 ELSE 3 END AS INTEGER) AS StatusCode, ok AS is_okay, total AS total_readings, anomalies AS \"Anomalies\" FROM s WHERE h + INTERVAL 1 HOUR <= (SELECT max(LocalTimeSpan) FROM cur) - INTERVAL 2 HOURS")
@@ -645,13 +675,19 @@ _SQL["S-3"] = f"WITH {t.SQL} {_W} SELECT DeviceId, LocationId, SensorTyId, h AS
 
 @_query("S-4", "SELECT CAST(event_id AS VARCHAR) AS ReadId, CAST(user_id AS VARCHAR) AS SensorId, ts AS TimeSpan, ts AS LocalTimeSpan, CAST(value AS DECIMAL(19,9)) AS Value FROM events", cte=False)
 def _(spark, sf):
-    """A lake in which every value is wrong by one is put right by a stream of the readings, range by range."""
-    root, columns = _scratch(spark, "lake"), ["ReadId", "SensorId", "TimeSpan", "LocalTimeSpan", "Value"]
-    lake.write_readings(t.readings(spark, sf).withColumn("Value", F.col("Value") + 1), root)
-    e, ts = _events(spark, sf), F.col("ts").cast("timestamp")
-    stream = e.select(F.col("event_id").cast("string").alias("ReadId"), F.col("user_id").cast("string").alias("SensorId"), ts.alias("TimeSpan"), ts.alias("LocalTimeSpan"), F.col("value").cast("decimal(19,9)").alias("Value"))
-    stream.writeStream.foreachBatch(streaming.replacing_lake(root)).option("checkpointLocation", f"{root}-state").trigger(availableNow=True).start().awaitTermination()
-    return _plain(spark.read.parquet(root).select(*columns), "TimeSpan", "LocalTimeSpan")
+    """A lake in which every value is wrong by one is put right by a stream of six micro-batches. The first ones have whole days, and say so; the last has one reading in twenty, late: they replace nothing."""
+    root, source = _scratch(spark, "lake"), _scratch(spark, "arriving")
+    r = _stamped(t.readings(spark, sf))
+    lake.write_readings(r.withColumn("Value", F.col("Value") + 1), root)
+    late, day = F.crc32("ReadId") % 20 == 0, F.to_date("TimeSpan")
+    r.where(~late).repartitionByRange(5, day).withColumn("late", F.lit(False)).write.parquet(source)
+    r.where(late).coalesce(1).withColumn("late", F.lit(True)).write.mode("append").parquet(source)
+    days = r.select(F.date_trunc("day", "TimeSpan").alias("since")).distinct().withColumn("until", F.col("since") + F.expr("INTERVAL 1 DAY"))
+    complete = streaming.declared(days)
+    stream = spark.readStream.schema(r.schema.add("late", "boolean")).option("maxFilesPerTrigger", "1").parquet(source)
+    replacing = streaming.replacing_lake(root, lambda batch, n: complete(batch.where("not late"), n))
+    stream.writeStream.foreachBatch(replacing).option("checkpointLocation", f"{root}-state").trigger(availableNow=True).start().awaitTermination()
+    return _plain(spark.read.parquet(root).select("ReadId", "SensorId", "TimeSpan", "LocalTimeSpan", "Value"), "TimeSpan", "LocalTimeSpan")
 
 
 # Operators that are parts of the queries above, on their own
@@ -723,9 +759,11 @@ def _(spark, sf):
     return _rounded(status.hourly_reading_status(rows, families[:3]).unionByName(status.hourly_reading_status(rows, families[3:])), "MeasurementValue")
 
 
-@_query("U-3", "SELECT * FROM readings WHERE false")
+@_query("U-3", f"{_DEVICES} SELECT * FROM ({_DEVICE_FACT}) WHERE false")
 def _(spark, sf):
-    return t.readings(spark, sf).limit(0)
+    """Facts of a window without readings: no rows, but all columns."""
+    none = t.readings(spark, sf).where((F.col("TimeSpan") > F.lit(HI_TS).cast("timestamp_ntz")) & (F.col("TimeSpan") < F.lit(LO_TS).cast("timestamp_ntz")))
+    return _plain(build_facts(none, t.dimensions(spark, sf), HI_TS, t.load(spark, sf, "customer")).devices, "ModifiedAt")
 
 
 @_query("U-4", "SELECT * FROM readings")

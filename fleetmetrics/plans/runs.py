@@ -1,17 +1,30 @@
-"""End-to-end runs: load window, replace, write, move the watermark. Each can be repeated: a second run changes nothing."""
+"""End-to-end runs: load window, replace, write, move the watermark. Each can be repeated: a second run changes nothing.
+
+A run that fails marks itself so in the ledger and leaves the watermark where it was. What it writes is put in place all
+at once (:class:`Journal`); the next run finishes or throws away what one that was killed has left.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from fleetmetrics.functions.schemas import empty
-from fleetmetrics.plans.facts import build_facts
-from fleetmetrics.sources import incremental
-from fleetmetrics.sources.readings import DAY, overwrite_days, read_readings_range, replace_readings, write_readings
+from fleetmetrics.operators.dimensions import enrich
+from fleetmetrics.operators.status import hourly_reading_status
+from fleetmetrics.plans.facts import facts_of
+from fleetmetrics.sources import incremental, keyindex
+from fleetmetrics.sources.files import delete, scratch
+from fleetmetrics.sources.ledger import FrameLedger, Ledger
+from fleetmetrics.sources.readings import DAY, hand_off, read_readings_range, replace_readings, table
+from fleetmetrics.sources.swap import Change, Journal
+
+Work = Callable[[datetime, datetime], tuple[datetime | None, dict[str, int]]]
 
 
 @dataclass
@@ -22,60 +35,72 @@ class Run:
     written: dict[str, int]
 
 
-def _table(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    """The table at ``path``; without rows if there is none yet."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    there = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
-    return spark.read.schema(like.schema).parquet(path) if there else like.limit(0)
-
+def _tracked(ledger: DataFrame | FrameLedger | Ledger, name: str, now: datetime, lookback: int, work: Work) -> Run:
+    """``work`` on the window of a run, which the ledger knows as started, and then as ended well or not."""
+    book = FrameLedger(ledger) if isinstance(ledger, DataFrame) else ledger
+    since, until = book.begin(name, now, lookback)
+    try:
+        latest, written = work(since, until)
+    except BaseException as failed:
+        book.finish(name, now, False, error=f"{type(failed).__name__}: {failed}"[:1000])
+        raise
+    book.finish(name, now, True, latest or until)
+    return Run(book.frame, written)
 
-def _begun(ledger: DataFrame, name: str, now: datetime, lookback: int) -> tuple[DataFrame, datetime, datetime]:
-    spark = ledger.sparkSession
-    ledger = incremental.get_watermark(ledger, spark.createDataFrame([(name,)], "IngestionName string"), now)
-    window = incremental.load_window(ledger.where((F.col("IngestionName") == name) & F.col("IsActive")), now, lookback).select("from_utc", "to_utc").first()
-    return incremental.mark_started(ledger, name, now), window[0], window[1]
 
+def ingest_readings(spark: SparkSession, ledger: DataFrame | FrameLedger | Ledger, lake: str, table_path: str, now: datetime, name: str = "readings") -> Run:
+    """Readings of the lake from the watermark to ``now``, both included, replace those of the table; the watermark moves to the latest of them, else to the window's end.
 
-def ingest_readings(spark: SparkSession, ledger: DataFrame, lake: str, table: str, now: datetime, name: str = "readings") -> Run:
-    """Readings of the lake from the watermark to ``now``, both included, replace those of ``table``; the watermark moves to the latest of them, else to the window's end.
-
-    ``table`` is parquet by day, as the lake is; only the window's days are rewritten. Of readings with one id one is
-    written, and none whose id the table has outside the window.
+    The table is parquet by day, as the lake is; only the window's days are rewritten. Of readings with one id one is
+    written, and none whose id the table has outside the window: summaries of the other days' keys, kept beside the
+    table, tell which of those days may have one, and no others are read.
     """
-    ledger, since, until = _begun(ledger, name, now, 0)
-    end = until + timedelta(microseconds=1)
-    rows = read_readings_range(spark, lake, since, until)
-    there = _table(spark, table, rows)
-    rows = incremental.new_rows(rows.drop(DAY), incremental.delete_range(there.drop(DAY), "TimeSpan", since, end), ["ReadId"])
-    if there.isEmpty():
-        write_readings(rows, table)
-    else:
-        replace_readings(spark, table, rows, since, end)
-    n, latest = read_readings_range(spark, table, since, until).agg(F.count("*"), F.max("TimeSpan")).first()
-    return Run(incremental.mark_completed(ledger, name, now, True, latest or until), {table: n})
-
-
-def write_facts(spark: SparkSession, ledger: DataFrame, readings: DataFrame, dimensions: DataFrame, devices_table: str, readings_table: str, now: datetime, name: str = "facts") -> Run:
+
+    def work(since: datetime, until: datetime) -> tuple[datetime | None, dict[str, int]]:
+        end = until + timedelta(microseconds=1)
+        journal = Journal(spark, f"{table_path}/_journal")
+        journal.recover([table_path])
+        rows = read_readings_range(spark, lake, since, until).drop(DAY)
+        index = keyindex.KeyIndex(spark, table_path, DAY, "ReadId")
+        index.refresh()
+        there = table(spark, table_path, StructType([*rows.schema, StructField(DAY, DateType())]))
+        outside = incremental.delete_range(there, "TimeSpan", since, end)
+        fresh = index.new_rows(rows, outside)
+        replace_readings(spark, table_path, fresh, since, end, journal)
+        index.refresh()
+        n, latest = read_readings_range(spark, table_path, since, until).agg(F.count("*"), F.max("TimeSpan")).first()
+        return latest, {table_path: n}
+
+    return _tracked(ledger, name, now, 0, work)
+
+
+def write_facts(spark: SparkSession, ledger: DataFrame | FrameLedger | Ledger, readings: DataFrame, dimensions: DataFrame, devices_table: str, readings_table: str, now: datetime, name: str = "facts", bound: DataFrame | None = None) -> Run:
     """Facts of the readings since the watermark less the lookback: the device fact of those hours is replaced, day by day, its sensor-type rows with it.
 
-    Both tables are parquet with a partition a day (``Fecha``). The first hour of the window is computed whole.
+    Both tables are parquet with a partition a day (``Fecha``), and change together. Statuses are computed once, in one
+    pass over the readings, and handed off to both. The window is closed at both ends and its first hour is computed
+    whole: so the hour that begins at the window's end is replaced too, which a half-open range would leave. ``bound`` as
+    in :func:`enrich`.
     """
-    ledger, since, until = _begun(ledger, name, now, incremental.LOOKBACK_HOURS)
-    since = since.replace(minute=0, second=0, microsecond=0)
-    t = F.col("LocalTimeSpan")
-    inside = lambda df: df.where((t >= F.lit(since).cast("timestamp_ntz")) & (t <= F.lit(until).cast("timestamp_ntz")))
-    facts = build_facts(inside(readings), dimensions, now)
-    keys = facts.devices.select("OperationId", "LocalTimeSpan", "Fecha")
-    tables = {devices_table: facts.devices, readings_table: facts.readings.join(keys, "OperationId")}
-    written = {}
-    for path, rows in tables.items():
-        old = _table(spark, path, rows)
-        days = old.where((F.col("Fecha") >= F.lit(since.date())) & (F.col("Fecha") <= F.lit(until.date())))
-        kept = days.where(~((t >= F.lit(since).cast("timestamp_ntz")) & (t <= F.lit(until).cast("timestamp_ntz"))))
-        overwrite_days(days, kept.unionByName(rows), path, "Fecha")
-        written[path] = inside(spark.read.schema(rows.schema).parquet(path)).count()
-    latest = inside(spark.read.schema(facts.devices.schema).parquet(devices_table)).agg(F.max("LocalTimeSpan").cast("timestamp")).first()[0]
-    return Run(incremental.mark_completed(ledger, name, now, True, latest or until), written)
+
+    def work(since: datetime, until: datetime) -> tuple[datetime | None, dict[str, int]]:
+        since = since.replace(minute=0, second=0, microsecond=0)
+        t = F.col("LocalTimeSpan")
+        inside = (t >= F.lit(since).cast("timestamp_ntz")) & (t <= F.lit(until).cast("timestamp_ntz"))
+        stage = scratch(spark, "status")
+        facts = facts_of(hand_off(hourly_reading_status(enrich(readings.where(inside), dimensions, bound)), stage), now)
+        journal = Journal(spark, f"{devices_table}/_journal")
+        journal.recover([devices_table, readings_table])
+        changes = []
+        for path, rows in ((devices_table, facts.devices), (readings_table, facts.readings.withColumn("Fecha", F.to_date("LocalTimeSpan")))):
+            days = table(spark, path, rows.schema).where((F.col("Fecha") >= F.lit(since.date())) & (F.col("Fecha") <= F.lit(until.date())))
+            mine = {"mine": F.count_if(inside), "latest": F.max(F.when(inside, t)).cast("timestamp")}
+            changes.append(Change(path, days.where(~inside).unionByName(rows), "Fecha", [(since.date(), until.date())], mine))
+        seen = journal.replace(f"{name}-{stage.rsplit('-', 1)[1]}", changes)
+        delete(spark, stage)
+        return seen[devices_table]["latest"], {path: seen[path]["mine"] for path in seen}
+
+    return _tracked(ledger, name, now, incremental.LOOKBACK_HOURS, work)
 
 
 def new_ledger(spark: SparkSession) -> DataFrame:

@@ -11,10 +11,13 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from fleetmetrics.operators.status import OK_SHARE_THRESHOLD, OK_SHARE_WINDOWED
-from fleetmetrics.sources.incremental import replace_range
-from fleetmetrics.sources.readings import replace_readings
+from fleetmetrics.sources.incremental import delete_range
+from fleetmetrics.sources.readings import replace_windows
+from fleetmetrics.sources.swap import Journal
 
 LATE = "2 hours"
+#: From a micro-batch and its number to the half-open windows of time for which it has all readings.
+Windows = Callable[[DataFrame, int], list[tuple[datetime, datetime]]]
 _SERIES = ["DeviceId", "LocationId", "SensorTyId", "_sensor_type"]
 
 
@@ -23,9 +26,9 @@ def once(stream: DataFrame, key: str, ts: str, late: str = LATE) -> DataFrame:
     return stream.withWatermark(ts, late).dropDuplicatesWithinWatermark([key])
 
 
-def readings_stream(spark: SparkSession, root: str, schema: StructType, ts: str = "TimeSpan", late: str = LATE) -> DataFrame:
-    """New readings of a parquet folder, each ReadId once (S-1)."""
-    return once(spark.readStream.schema(schema).parquet(root), "ReadId", ts, late)
+def readings_stream(spark: SparkSession, root: str, schema: StructType, ts: str = "TimeSpan", late: str = LATE, **options: str) -> DataFrame:
+    """New readings of a parquet folder, each ReadId once (S-1): one that comes again while its id is known is dropped, and so is one that is later than ``late``. Options are those of the file source."""
+    return once(spark.readStream.schema(schema).options(**options).parquet(root), "ReadId", ts, late)
 
 
 def ingest(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
@@ -52,23 +55,54 @@ def streaming_windowed(stream: DataFrame, lo: float, hi: float | None = None, la
     return hour.select(*_SERIES, F.col("w.start").alias("LocalTimeSpan"), "is_okay", F.when(F.col("is_okay") / F.lit(12) >= OK_SHARE_WINDOWED, 1).otherwise(3).alias("StatusCode"))
 
 
-def replacing(read: Callable[[], DataFrame], write: Callable[[DataFrame], None], ts: str) -> Callable[[DataFrame, int], None]:
-    """For foreachBatch: replace the time range that a micro-batch covers (S-4)."""
+def replacing(read: Callable[[], DataFrame], write: Callable[[DataFrame], None], ts: str, complete: Windows) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch, on a table that is a frame: replace the windows that are declared complete for a micro-batch; other rows of it are added (S-4)."""
 
-    def apply(batch: DataFrame, _: int) -> None:
-        lo, hi = batch.agg(F.min(ts), F.max(ts) + F.make_dt_interval(secs=F.lit(1))).first()
-        if isinstance(lo, datetime):
-            write(replace_range(read(), batch, ts, lo, hi))
+    def apply(batch: DataFrame, number: int) -> None:
+        out = read()
+        for since, until in complete(batch, number):
+            out = delete_range(out, ts, since, until)
+        write(out.unionByName(batch))
 
     return apply
 
 
-def replacing_lake(root: str) -> Callable[[DataFrame, int], None]:
-    """For foreachBatch: replace the readings of the time range that a micro-batch covers in a lake; only its days are rewritten (S-4)."""
+def replacing_lake(root: str, complete: Windows, stream: str = "readings", key: str = "ReadId") -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: replace the windows that are declared complete for a micro-batch in a lake (S-4).
 
-    def apply(batch: DataFrame, _: int) -> None:
-        lo, hi = batch.agg(F.min("TimeSpan"), F.max("TimeSpan") + F.make_dt_interval(secs=F.lit(1))).first()
-        if isinstance(lo, datetime):
-            replace_readings(batch.sparkSession, root, batch, lo, hi)
+    ``complete`` gives the half-open windows for which the source says that the batch has all readings, such as whole
+    days or hours. Only those are deleted. A reading outside of them, however late, deletes nothing and is added once.
+    Only the days concerned are rewritten, together. Each batch is on record by the stream's name and its number, so a
+    batch that comes again after a crash changes nothing, and one that was cut short is finished first.
+    """
+
+    def apply(batch: DataFrame, number: int) -> None:
+        spark, run = batch.sparkSession, f"{stream}-{number:012d}"
+        journal = Journal(spark, f"{root}/_journal")
+        journal.recover([root])
+        if journal.is_done(run):
+            return
+        batch = batch.persist()  # its days are looked up before its rows are written
+        try:
+            replace_windows(spark, root, batch, complete(batch, number), key, journal, run)
+        finally:
+            batch.unpersist()
 
     return apply
+
+
+def declared(windows: DataFrame, ts: str = "TimeSpan") -> Windows:
+    """Windows from a table of declarations (columns since, until): those in which the batch has a reading. They are few, as days or hours are."""
+
+    hour = F.expr("INTERVAL 1 HOUR")
+    since, until = (F.col(c).cast("timestamp") for c in ("since", "until"))
+    by_hour = windows.select(since.alias("since"), until.alias("until")).where("since < until")
+    by_hour = by_hour.withColumn("hour_", F.explode(F.sequence(F.date_trunc("hour", "since"), F.date_trunc("hour", F.col("until") - F.expr("INTERVAL 1 MICROSECOND")), hour)))
+
+    def complete(batch: DataFrame, number: int) -> list[tuple[datetime, datetime]]:
+        t = F.col(ts).cast("timestamp")
+        seen = batch.groupBy(F.date_trunc("hour", t).alias("hour_")).agg(F.min(t).alias("first_"), F.max(t).alias("last_"))
+        hit = by_hour.join(seen, "hour_").where("last_ >= since and first_ < until").select("since", "until")
+        return [tuple(r) for r in hit.distinct().collect()]
+
+    return complete

@@ -218,5 +218,5 @@ def test_replace_by_micro_batch(spark):
     old = spark.createDataFrame([(datetime(2025, 1, 1, h), "old") for h in range(4)], "ts timestamp, v string")
     batch = spark.createDataFrame([(datetime(2025, 1, 1, 1), "new"), (datetime(2025, 1, 1, 2), "new")], "ts timestamp, v string")
     kept = []
-    replacing(lambda: old, kept.append, "ts")(batch, 0)
+    replacing(lambda: old, kept.append, "ts", lambda b, n: [(datetime(2025, 1, 1, 1), datetime(2025, 1, 1, 3))])(batch, 0)
     assert [r.v for r in kept[0].orderBy("ts").collect()] == ["old", "new", "new", "old"]
