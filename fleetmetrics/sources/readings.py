@@ -130,10 +130,14 @@ _CUTS, _FINE = 64, 8
 def key_stretches(spark: SparkSession, table: str, column: str, partitions: int, options: dict) -> list[str]:
     """Predicates that cut a table into parts of about as many rows each, by a column of whole numbers; one more takes its nulls.
 
+    The column's name is quoted as in standard SQL; the table's is taken as it is.
+
     The database counts rows by stretches of the keys; stretches with too many rows are counted again in finer ones, so
     a part has at most 1 + 1/8 times the mean, but where one key has more rows than that. Only counts are read.
     """
 
+    column = '"' + column.replace('"', '""') + '"'
+
     def ask(sql: str) -> list:
         return spark.read.format("jdbc").option("dbtable", f"({sql}) q").options(**options).load().collect()
 
