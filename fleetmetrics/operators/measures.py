@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def alarm_events_of_alerts(alerts: DataFrame, events: DataFrame, after_hours: int = 12, before_hours: int = 29) -> DataFrame:
+#: An Imei and day with more than this share of all events is dealt to ``SALTS`` tasks: at most 1000 of them.
+HEAVY, SALTS = 1000, 64
+
+
+def alarm_events_of_alerts(alerts: DataFrame, events: DataFrame, after_hours: int = 12, before_hours: int = 29, salts: int = SALTS) -> DataFrame:
     """Pairs of an alert and an alarm event of the same Imei in the open interval (day + 12 h, day + 29 h), on another date (J-4).
 
     An event falls into the interval of at most two days, so it is given those days and the join is on Imei and day:
-    a hash join that deals out a busy Imei by day, in place of a range join.
+    a hash join that deals out a busy Imei by day, in place of a range join. Imeis that are busy on one day are found by a
+    count; their events are dealt out by a salt, and their alerts of that day go to each of the salts. All other rows have
+    salt 0. ``salts=1`` saves the count.
     """
     day = F.to_date("FechaAbierto")
     a = alerts.withColumn("day_", day)
@@ -18,7 +24,18 @@ def alarm_events_of_alerts(alerts: DataFrame, events: DataFrame, after_hours: in
     e = events.withColumn("day_", F.explode(F.sequence(shifted(before_hours), shifted(after_hours))))
     start = F.col("day_").cast("timestamp_ntz")
     inside = (F.col("Fecha").cast("timestamp_ntz") > start + F.make_dt_interval(hours=F.lit(after_hours))) & (F.col("Fecha").cast("timestamp_ntz") < start + F.make_dt_interval(hours=F.lit(before_hours)))
-    return a.join(e, ["Imei", "day_"]).where(inside & (F.to_date("Fecha") != F.col("day_"))).drop("day_")
+    e = e.where(inside & (F.to_date("Fecha") != F.col("day_")))
+    keys = ["Imei", "day_"]
+    if salts > 1:
+        counts = e.groupBy(*keys).count()
+        total = counts.agg(F.sum("count")).scalar()
+        heavy = counts.where(F.col("count") * HEAVY > total).select(*keys, F.lit(True).alias("heavy_"))
+        busy = F.coalesce(F.col("heavy_"), F.lit(False))
+        e = e.join(F.broadcast(heavy), keys, "left").withColumn("salt_", F.when(busy, F.pmod(F.xxhash64("Fecha", F.monotonically_increasing_id()), F.lit(salts)).cast("int")).otherwise(0)).drop("heavy_")
+        each = F.when(busy, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+        a = a.join(F.broadcast(heavy), keys, "left").withColumn("salt_", F.explode(each)).drop("heavy_")
+        keys = [*keys, "salt_"]
+    return a.join(e, keys).drop("day_", "salt_")
 
 
 def stores_not_armed(alerts: DataFrame, communicators: DataFrame, events: DataFrame, codes: DataFrame, alert_type: int = 23, closed_status: int = 6, event_codes: tuple[int, ...] = (401, 407), zone: int = 3) -> DataFrame:
@@ -60,17 +77,30 @@ def by_day(evaluations: DataFrame) -> DataFrame:
 def daily_opportunity(evaluations: DataFrame, modules: DataFrame, module: str, source: str = "module", since: str | None = None, until: str | None = None) -> DataFrame:
     """Mean daily opportunity of each date, store and module (J-5, J-6, A-12, M-8 to M-10).
 
-    An evaluation is expanded to the days from its start to its end; its opportunity, or its module's
-    (``source="evaluation"`` or ``"module"``), over seven counts for each. Values that are no numbers are left out.
+    An evaluation counts for the days from its start to its end with its opportunity, or its module's
+    (``source="evaluation"`` or ``"module"``), over seven. Values that are no numbers are left out of the mean; a day that
+    has no others has a null one.
+
+    A sweep line: an evaluation is two changes, of the sum and the numbers of values and evaluations, on its first day and
+    on the day after its last. Changes are added up by day before the shuffle, however long evaluations are; running sums
+    by store then hold from each change to the next one, and only those results are laid out by day.
     """
     if source not in ("evaluation", "module"):
         raise ValueError("source must be evaluation or module")
     m = modules.where(F.col("Fk_ModuloEvaluable") == module).select(F.col("Fk_EvaluacionGeneral").alias("Id"), "Fk_ModuloEvaluable", F.col("Oportunidad").alias("of_module"))
     value = F.col("of_module" if source == "module" else "Oportunidad")
     each = evaluations.join(m, "Id").withColumn("x", (value.try_cast("decimal(18,6)") / 7).try_cast("decimal(9,4)"))
-    rows = by_day(each).select("Fecha", "Fk_Tienda", "Fk_ModuloEvaluable", "x")
-    if since is not None:
-        rows = rows.where(F.col("Fecha") >= F.lit(since).cast("date"))
-    if until is not None:
-        rows = rows.where(F.col("Fecha") <= F.lit(until).cast("date"))
-    return rows.groupBy("Fecha", "Fk_Tienda", "Fk_ModuloEvaluable").agg(F.avg("x").cast("double").alias("Oportunidad"))
+    first, last = F.to_date("FechaInicio"), F.to_date("FechaFin")
+    first = first if since is None else F.greatest(first, F.lit(since).cast("date"))
+    last = last if until is None else F.least(last, F.lit(until).cast("date"))
+    each = each.withColumns({"first_": first, "last_": last}).where("first_ <= last_")
+    change = lambda at, sign: F.struct(at.alias("at"), (F.lit(sign) * F.coalesce("x", F.lit(0).cast("decimal(9,4)"))).cast("decimal(38,4)").alias("x"), (F.lit(sign) * F.col("x").isNotNull().cast("long")).alias("n"), F.lit(sign).cast("long").alias("k"))
+    both = F.array(change(F.col("first_"), 1), change(F.date_add("last_", 1), -1))
+    store = ["Fk_Tienda", "Fk_ModuloEvaluable"]
+    changes = each.select(*store, F.explode(both).alias("c")).groupBy(*store, "c.at").agg(*[F.sum(f"c.{c}").alias(c) for c in ("x", "n", "k")])
+    order = Window.partitionBy(*store).orderBy("at")
+    now = lambda c: F.sum(c).over(order.rowsBetween(Window.unboundedPreceding, 0)).alias(c)
+    held = changes.select(*store, "at", now("x"), now("n"), now("k"), F.lead("at").over(order).alias("next")).where("k > 0")
+    days = held.withColumn("Fecha", F.explode(F.sequence("at", F.date_sub("next", 1))))
+    mean = F.when(F.col("n") > 0, F.col("x").cast("double") / F.col("n"))
+    return days.select("Fecha", *store, mean.alias("Oportunidad"))

@@ -97,28 +97,46 @@ def _capped(raw: Column, win: Column, long_windows: str) -> Column:
     return F.when(hours > 1, long).otherwise(F.least(raw, F.lit(3))).cast("long")
 
 
-def hourly(df: DataFrame, period: int = 60, join_grain: str = "device", long_windows: str = "reference") -> DataFrame:
+def _step() -> Column:
+    """Minutes of the buckets that readings are added up by first: the greatest common divisor of five and the window's length."""
+    return F.when(F.coalesce(F.col("win") % BUCKET, F.lit(0)) == 0, BUCKET).otherwise(1)
+
+
+def hourly(df: DataFrame, period: int = 60, join_grain: str = "device", long_windows: str = "reference", any_window: bool = True) -> DataFrame:
     """Status of all rules by hour, in one pass: by five-minute maxima and windows where ``win`` is given (A-2), else by share (A-1).
 
     Columns: rule, series, h, is_okay, total_readings, total_sensors, Promedio, StatusCode, MeasurementValue, Anomalies.
-    Windows and the period are multiples of five minutes. See :func:`windowed` for the grain; devices are not null.
+    The period is a multiple of five minutes; windows are of any length, unless ``any_window`` is False, which says that
+    they are multiples of five minutes too and saves a grouping. See :func:`windowed` for the grain; devices are not null.
+
+    Three shuffles: of sums by sensor and bucket, which are added up before it; of those to a task for each device and
+    day, where buckets, hours and windows come from them; and of hours and windows to a task a device, for gaps.
     """
     keys, value = ["rule", *_SERIES], F.col("Value").cast("double")
     at, bounds = minute_index(F.col("LocalTimeSpan")), [F.first(c).alias(c) for c in ("lo", "hi", "win")]
     bad = (value <= F.col("lo")) | F.coalesce(value > F.col("hi"), F.lit(False))
-    sensors = df.where("DeviceId is not null").groupBy(*keys, "SensorId", floor_to(at, BUCKET).alias("b")).agg(
+    step = _step() if any_window else F.lit(BUCKET)
+    sensors = df.where("DeviceId is not null").groupBy(*keys, "SensorId", floor_to(at, step).cast("int").alias("b")).agg(
         F.max("Value").cast("double").alias("v"), F.sum("Value").alias("total"), F.count("*").alias("n"), F.count_if(_within(value, strict=False)).alias("ok"), F.count_if(bad).alias("bad"), *bounds
     )
     totals = [F.sum(c).alias(c) for c in ("total", "n", "ok", "bad")]
-    devices = sensors.groupBy(*keys, "b").agg(F.max("v").alias("v"), F.sum("v").alias("sum_v"), F.count("*").alias("n_v"), *totals, *bounds)
+    # A device's day is one task's: no sum below shuffles until hours and windows are all that is left.
+    sensors = sensors.withColumn("day", F.floor(F.col("b") / 1440)).repartition("DeviceId", "day")
+    at_home, windowed_ = ["rule", "DeviceId", "day", "LocationId", "SensorTyId"], F.col("win").isNotNull()
     place = lambda window, step: F.struct(F.lit(window).alias("window"), floor_to(F.col("b"), step).cast("int").alias("at"))
-    hour_of = F.array(place(False, F.lit(period)))
-    places = F.when(F.col("win").isNull(), hour_of).otherwise(F.concat(hour_of, F.array(place(True, F.col("win")))))
-    spans = devices.withColumn("p", F.explode(places)).groupBy("rule", "DeviceId", "LocationId", "SensorTyId", F.when(~F.col("p.window"), F.col("_sensor_type")).alias("_sensor_type"), "p.window", "p.at").agg(
-        *totals, F.sum("sum_v").alias("sum_v"), F.sum("n_v").alias("n_v"), F.count_if(_within(F.col("v"), strict=True)).alias("full"), *bounds
-    )
-    # From here on a row is a series' hour or window, so a device's rows are few, however many its readings are.
-    spans = spans.repartition("rule", "DeviceId")
+    both = lambda step: F.explode(F.when(windowed_, F.array(place(False, step), place(True, F.col("win")))).otherwise(F.array(place(False, step))))
+    unless_window = lambda c: F.when(~F.col("p.window"), F.col(c)).alias(c)
+    if any_window:  # windows from the finer buckets, five minutes from them too
+        sensors = sensors.withColumn("p", both(F.lit(BUCKET))).groupBy(*at_home, unless_window("_sensor_type"), unless_window("SensorId"), "p.window", F.col("p.at").alias("b")).agg(F.max("v").alias("v"), *totals, *bounds)
+        devices = sensors.groupBy(*at_home, "_sensor_type", "window", "b").agg(F.max("v").alias("v"), F.sum("v").alias("sum_v"), F.count("*").alias("n_v"), *totals, *bounds)
+        spans = devices.groupBy(*at_home, "_sensor_type", "window", F.when(F.col("window"), F.col("b")).otherwise(floor_to(F.col("b"), period)).cast("int").alias("at"))
+    else:
+        devices = sensors.groupBy(*at_home, "_sensor_type", "b").agg(F.max("v").alias("v"), F.sum("v").alias("sum_v"), F.count("*").alias("n_v"), *totals, *bounds)
+        spans = devices.withColumn("p", both(F.lit(period))).groupBy(*at_home, unless_window("_sensor_type"), "p.window", "p.at")
+    sums = [*totals, F.sum("sum_v").alias("sum_v"), F.sum("n_v").alias("n_v")]
+    spans = spans.agg(*sums, F.count_if(_within(F.col("v"), strict=True)).alias("full"), *bounds)
+    # From here on a row is a series' hour or window, so a device's rows are few, however many its readings are. Those that cross midnight come together.
+    spans = spans.repartition("DeviceId").groupBy("rule", "DeviceId", "LocationId", "SensorTyId", "_sensor_type", "window", "at").agg(*sums, F.sum("full").alias("full"), *bounds)
     following = F.lead("at").over(Window.partitionBy("rule", "DeviceId", "LocationId", "SensorTyId", "window").orderBy("at"))
     gaps = F.when(F.col("window"), F.sequence("at", F.coalesce(F.col("following") - F.col("win"), "at"), F.col("win"))).otherwise(F.array("at"))
     every = spans.withColumn("following", following).select("*", F.posexplode(gaps).alias("gap", "x")).withColumns({c: F.when(F.col("gap") == 0, F.col(c)).otherwise(0) for c in ("n", "bad")})
@@ -147,13 +165,13 @@ def hourly(df: DataFrame, period: int = 60, join_grain: str = "device", long_win
     )
 
 
-def windowed(df: DataFrame, period: int = 60, join_grain: str = "device", long_windows: str = "reference") -> DataFrame:
+def windowed(df: DataFrame, period: int = 60, join_grain: str = "device", long_windows: str = "reference", any_window: bool = True) -> DataFrame:
     """Status by five-minute maxima (A-2): mean of maxima, duty status and window anomalies of each series and hour.
 
     ``join_grain="device"`` joins status and anomalies on device and hour only, which repeats rows if a device has
-    several sensor types under one name; ``"sensor_type"`` keeps the grain. Windows are multiples of five minutes.
+    several sensor types under one name; ``"sensor_type"`` keeps the grain.
     """
-    out = hourly(df, period, join_grain, long_windows).drop("Promedio")
+    out = hourly(df, period, join_grain, long_windows, any_window).drop("Promedio")
     return out.withColumn("total_readings", F.col("total_readings").cast("int"))
 
 
@@ -164,10 +182,10 @@ def threshold_status(base: DataFrame, sensor_type: str | None = "Corriente", lo:
 
 
 def windowed_status(base: DataFrame, sensor_type: str | None = "Corriente", lo: float = 0, hi: float | None = None, window: int = 20, period: int = 60, **options: str) -> DataFrame:
-    """A-2 for one sensor type (None: all), one pair of bounds and one window length, a multiple of five minutes."""
-    if window <= 0 or window % BUCKET or period <= 0 or period % BUCKET:
-        raise ValueError(f"window and period must be multiples of {BUCKET} minutes")
-    out = windowed(_with_bounds(base, sensor_type, lo, hi, window), period, **options)
+    """A-2 for one sensor type (None: all), one pair of bounds and one window length in minutes. The period is a multiple of the five-minute bucket."""
+    if window <= 0 or period <= 0 or period % BUCKET:
+        raise ValueError(f"the window must be positive, and the period a multiple of {BUCKET} minutes")
+    out = windowed(_with_bounds(base, sensor_type, lo, hi, window), period, any_window=window % BUCKET > 0, **options)
     return out.withColumn("LocalTimeSpan", from_minutes(F.col("h"))).drop("rule", "h")
 
 
@@ -177,7 +195,7 @@ def hourly_reading_status(readings: DataFrame, families: list[str] | None = None
     kept = readings.join(rules, ["_device_type", "_sensor_type"])
     kept = kept.where(~F.col("no_defrost") | (F.col("_sensor_name") != "Resistencia de deshielo"))
     flags = rule_table(readings.sparkSession, families).select("rule", "as_share", "keep_anomalies").distinct()
-    both = hourly(kept).join(F.broadcast(flags), "rule")
+    both = hourly(kept, any_window=False).join(F.broadcast(flags), "rule")
     out = both.select(
         *_SERIES, "StatusCode", F.when(F.col("as_share"), F.col("Promedio")).otherwise(F.col("MeasurementValue")).alias("MeasurementValue"),
         F.when(F.col("keep_anomalies"), F.col("Anomalies")).alias("Anomalies"), from_minutes(F.col("h")).alias("LocalTimeSpan"),

@@ -14,13 +14,13 @@ from fleetmetrics.functions.schemas import conform
 from fleetmetrics.functions.timegrid import bucket, date_parts, floor_to, from_minutes, grid, hour, minute_index
 from fleetmetrics.operators import measures, status
 from fleetmetrics.operators.dimensions import decode_status
-from fleetmetrics.operators.rollup import bad_runs, device_status
+from fleetmetrics.operators.rollup import bad_runs, bad_runs_chunked, device_status
 from fleetmetrics.operators.rules import FAMILIES, RULES, STATUS
 from fleetmetrics.plans import tables as t
 from fleetmetrics.plans.facts import build_facts, operations_view
 from fleetmetrics.sources import files, incremental, keyindex, readings as lake
 from fleetmetrics.sources.ledger import Ledger
-from fleetmetrics.streaming import status as streaming
+from fleetmetrics.streaming import gaps, status as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
 _Q: dict[str, Query] = {}
@@ -423,6 +423,17 @@ def _(spark, sf):
     return _rounded(status.windowed_status(t.enriched(spark, sf), None, LO, None, 20), "MeasurementValue")
 
 
+@_query("A-2-7-minutes", f", {_CURRENT}, {_windowed_sql('', 'cur', LO, None, 7).strip()} {_out_sql()}")
+def _(spark, sf):
+    """Windows that neither five minutes nor an hour hold whole."""
+    return _rounded(status.windowed_status(t.enriched(spark, sf), "Corriente", LO, None, 7), "MeasurementValue")
+
+
+@_query("A-2-12-minutes", f", {_windowed_sql('', 'ext', LO, 60.0, 12).strip()} {_out_sql()}")
+def _(spark, sf):
+    return _rounded(status.windowed_status(t.enriched(spark, sf), None, LO, 60.0, 12), "MeasurementValue")
+
+
 @_query("A-3", f"{_W} SELECT DeviceId, SensorId, LocationId, SensorTyId, b5 AS b, vm AS v FROM m")
 def _(spark, sf):
     return status.sensor_maxima(_series(spark, sf)).select("DeviceId", "SensorId", "LocationId", "SensorTyId", from_minutes(F.col("b")).alias("b"), "v")
@@ -473,6 +484,24 @@ def _(spark, sf):
     return bad_runs(t.enriched(spark, sf).where("_sensor_type = 'Corriente'"), LO)
 
 
+@_query("W-1-hours", f""", {_CURRENT}, r AS (SELECT ReadId, LocalTimeSpan, date_trunc('hour', LocalTimeSpan) AS h, CASE WHEN CAST(Value AS DOUBLE) <= {LO} THEN 1 ELSE 0 END AS bad FROM cur),
+s AS (SELECT *, CASE WHEN bad = 1 AND coalesce(lag(bad) OVER w, 0) = 0 THEN 1 ELSE 0 END AS starts FROM r WINDOW w AS (PARTITION BY h ORDER BY LocalTimeSpan, ReadId)),
+g AS (SELECT *, sum(starts) OVER (PARTITION BY h ORDER BY LocalTimeSpan, ReadId ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM s)
+SELECT h AS HourStart, min(LocalTimeSpan) AS run_start, max(LocalTimeSpan) AS run_end, count(*) AS run_length FROM g WHERE bad = 1 GROUP BY h, run""")
+def _(spark, sf):
+    """Of all devices of an hour together, as the reference has it, in chunks of five minutes."""
+    return bad_runs_chunked(t.enriched(spark, sf).where("_sensor_type = 'Corriente'"), LO, keys=(), chunk_minutes=5)
+
+
+@_query("W-1-across", f""", {_CURRENT}, r AS (SELECT DeviceId, SensorId, ReadId, LocalTimeSpan, CASE WHEN CAST(Value AS DOUBLE) <= {LO} THEN 1 ELSE 0 END AS bad FROM cur),
+s AS (SELECT *, CASE WHEN bad = 1 AND coalesce(lag(bad) OVER w, 0) = 0 THEN 1 ELSE 0 END AS starts FROM r WINDOW w AS (PARTITION BY DeviceId, SensorId ORDER BY LocalTimeSpan, ReadId)),
+g AS (SELECT *, sum(starts) OVER (PARTITION BY DeviceId, SensorId ORDER BY LocalTimeSpan, ReadId ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM s)
+SELECT DeviceId, SensorId, min(LocalTimeSpan) AS run_start, max(LocalTimeSpan) AS run_end, count(*) AS run_length FROM g WHERE bad = 1 GROUP BY DeviceId, SensorId, run""")
+def _(spark, sf):
+    """Runs that go on over hours and days."""
+    return bad_runs_chunked(t.enriched(spark, sf).where("_sensor_type = 'Corriente'"), LO, within_hour=False)
+
+
 @_query("G-1", f"{_W} SELECT DeviceId, LocationId, SensorTyId, xw FROM sp")
 def _(spark, sf):
     rows = _series(spark, sf).withColumn("xw", floor_to(minute_index(F.col("LocalTimeSpan")), 20))
@@ -664,13 +693,31 @@ def _(spark, sf):
     return _rounded(_plain(rows.select("DeviceId", "LocationId", "SensorTyId", "LocalTimeSpan", "MeasurementValue", "StatusCode", "is_okay", "total_readings", "Anomalies"), "LocalTimeSpan"), "MeasurementValue")
 
 
-@_query("S-3")
+@_query("S-3-duty")
 def _(spark, sf):
     rows = _run_stream(spark, streaming.streaming_windowed(_event_stream(spark, sf), LO), "windowed")
     return _plain(rows.select("DeviceId", "LocationId", "SensorTyId", "LocalTimeSpan", "is_okay", "StatusCode"), "LocalTimeSpan")
 
 
-_SQL["S-3"] = f"WITH {t.SQL} {_W} SELECT DeviceId, LocationId, SensorTyId, h AS LocalTimeSpan, count(*) FILTER (WHERE vm > {LO}) AS is_okay, CAST(CASE WHEN count(*) FILTER (WHERE vm > {LO}) / 12.0 >= 0.3 THEN 1 ELSE 3 END AS INTEGER) AS StatusCode FROM d WHERE h + INTERVAL 1 HOUR <= (SELECT max(LocalTimeSpan) FROM cur) - INTERVAL 2 HOURS GROUP BY DeviceId, LocationId, SensorTyId, h"
+_SQL["S-3-duty"] = f"WITH {t.SQL} {_W} SELECT DeviceId, LocationId, SensorTyId, h AS LocalTimeSpan, count(*) FILTER (WHERE vm > {LO}) AS is_okay, CAST(CASE WHEN count(*) FILTER (WHERE vm > {LO}) / 12.0 >= 0.3 THEN 1 ELSE 3 END AS INTEGER) AS StatusCode FROM d WHERE h + INTERVAL 1 HOUR <= (SELECT max(LocalTimeSpan) FROM cur) - INTERVAL 2 HOURS GROUP BY DeviceId, LocationId, SensorTyId, h"
+
+
+_GAPS = """, lim AS (SELECT date_trunc('hour', max(LocalTimeSpan) - INTERVAL 2 HOURS) AS l FROM cur),
+gsp AS (SELECT DeviceId, LocationId, SensorTyId, _sensor_type, unnest(generate_series(min(xw), (SELECT l FROM lim) - INTERVAL '20 minutes', INTERVAL '20 minutes')) AS xw FROM b WHERE DeviceId IS NOT NULL GROUP BY DeviceId, LocationId, SensorTyId, _sensor_type),
+gan AS (SELECT s.DeviceId, s.LocationId, s.SensorTyId, s._sensor_type, date_trunc('hour', s.xw) AS h, least(count(*) FILTER (WHERE coalesce(n, 0) = 0 OR z = n OR (n < {lo} AND z > 0)), 3) AS anomalies
+  FROM gsp s LEFT JOIN ag a ON s.DeviceId = a.DeviceId AND s.LocationId = a.LocationId AND s.SensorTyId = a.SensorTyId AND s.xw = a.xw GROUP BY ALL),
+gok AS (SELECT DeviceId, LocationId, SensorTyId, h, count(*) FILTER (WHERE vm > {lo}) AS ok FROM d GROUP BY ALL)
+SELECT g.DeviceId, g.LocationId, g.SensorTyId, g.h AS LocalTimeSpan, round(mv, 6) AS MeasurementValue, coalesce(n, 0) AS total_sensors, coalesce(ok, 0) AS is_okay,
+  CAST(CASE WHEN coalesce(ok, 0) / 12.0 >= 0.3 THEN 1 ELSE 3 END AS INTEGER) AS StatusCode, anomalies AS "Anomalies"
+FROM gan g LEFT JOIN val v ON g.DeviceId = v.DeviceId AND g.LocationId = v.LocationId AND g.SensorTyId = v.SensorTyId AND g.h = v.h
+  LEFT JOIN gok o ON g.DeviceId = o.DeviceId AND g.LocationId = o.LocationId AND g.SensorTyId = o.SensorTyId AND g.h = o.h"""
+
+
+@_query("S-3", f"{_W} {_GAPS.format(lo=LO)}")
+def _(spark, sf):
+    """With values, and with the hours in which nothing came."""
+    rows = _run_stream(spark, gaps.streaming_status_with_gaps(_event_stream(spark, sf), LO), "windowed")
+    return _rounded(_plain(rows.drop("_sensor_type"), "LocalTimeSpan"), "MeasurementValue")
 
 
 @_query("S-4", "SELECT CAST(event_id AS VARCHAR) AS ReadId, CAST(user_id AS VARCHAR) AS SensorId, ts AS TimeSpan, ts AS LocalTimeSpan, CAST(value AS DECIMAL(19,9)) AS Value FROM events", cte=False)

@@ -152,7 +152,7 @@ def test_families_equal_the_single_pass(spark):
     assert whole == parts
 
 
-@pytest.mark.parametrize(("name", "scans"), [("A-2", 1), ("A-2-long", 1), ("A-9", 1), ("F-1", 1), ("F-7", 1), ("F-8", 1), ("F-8-readings", 1), ("M-11", 1), ("U-1", 2)])
+@pytest.mark.parametrize(("name", "scans"), [("A-2", 1), ("A-2-long", 1), ("A-2-7-minutes", 1), ("A-2-12-minutes", 1), ("A-9", 1), ("F-1", 1), ("F-7", 1), ("F-8", 1), ("F-8-readings", 1), ("M-11", 1), ("U-1", 2)])
 def test_readings_are_scanned_once(spark, name, scans):
     """Counted on the plan that was run: nothing is persisted, and no branch reads the events again."""
     df = registry.queries()[name](spark, "/root/testdata/sf0.01")
@@ -165,7 +165,7 @@ def test_readings_are_scanned_once(spark, name, scans):
 def test_windows_equal_their_parts(spark):
     """The single pass against the operators that it is made of, with gaps, several sensors and types."""
     rows = tables.enriched(spark, "/root/testdata/sf0.01").where("DeviceId is not null")
-    for window, hi, grain, long_windows in ((20, None, "device", "reference"), (240, 60.0, "sensor_type", "flag"), (15, None, "device", "reference"), (35, 80.0, "sensor_type", "reference")):
+    for window, hi, grain, long_windows in ((20, None, "device", "reference"), (240, 60.0, "sensor_type", "flag"), (15, None, "device", "reference"), (35, 80.0, "sensor_type", "reference"), (7, None, "device", "reference"), (12, 60.0, "sensor_type", "flag"), (1, None, "device", "reference"), (150, 60.0, "device", "flag")):
         df = status._with_bounds(rows, None, 10.0, hi, window)
         maxima = status.sensor_maxima(df)
         keys = ["DeviceId"] if grain == "device" else ["DeviceId", "LocationId", "SensorTyId", "_sensor_type"]
@@ -173,10 +173,11 @@ def test_windows_equal_their_parts(spark):
         anomalies = anomalies.drop("SensorTyId") if grain == "device" else anomalies
         parts = status.mean_of_maxima(maxima).join(status.duty(status.device_maxima(maxima), keys), ["rule", "h", *keys]).join(anomalies, ["rule", "h", *keys[:1], *keys[2:3]], "left")
         columns = ["DeviceId", "LocationId", "SensorTyId", "h", "is_okay", "StatusCode", "total_sensors", "round(MeasurementValue, 9)", "coalesce(Anomalies, 0L)"]
-        got = status.windowed(df, 60, grain, long_windows).selectExpr(*columns)
+        got = status.windowed(df, 60, grain, long_windows, window % 5 > 0).selectExpr(*columns)
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, parts.selectExpr(*columns).collect())), window
-    with pytest.raises(ValueError, match="multiples of 5"):
-        status.windowed_status(rows, None, 0, None, 7)
+    for bad in ({"window": 0}, {"period": 7}):
+        with pytest.raises(ValueError, match="positive"):
+            status.windowed_status(rows, None, 0, None, **bad)
 
 
 def test_lake_prunes_days(spark, tmp_path):
