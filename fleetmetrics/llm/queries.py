@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmetrics.llm import backoff, bpe, fim, jaccard, linededup, media, packing, periodic, pii, quality, secrets, topk, warc
-from fleetmetrics.llm.shared import table
+from fleetmetrics.llm.shared import scratch_dir, table
 
 
 def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,8 +49,11 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audited replica is stored as files, with its faults, and read back; the trusted side are the records as they should be."""
     archive = warc.records(table(spark, sf_dir, "pages"))
-    return warc.audit(warc.leaves(archive), warc.leaves(warc.damaged(archive)))
+    replica = f"{scratch_dir(spark)}/replica-{uuid.uuid4().hex}"
+    warc.write_archive(warc.damaged(archive), replica, compress=False)  # places as in the trusted layout
+    return warc.audit(warc.leaves(archive), warc.leaves(warc.read_archive(spark, replica)))
 
 
 def _digest(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:

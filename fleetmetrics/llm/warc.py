@@ -1,6 +1,6 @@
 """WARC archives and a Merkle audit of replicas.
 
-Each record's bytes are hashed where they lie. The digests, in order of offset, are the leaves of a tree: a node covers a
+Each record's bytes are hashed where they lie, compressed ones as they are stored. The digests, in order of offset, are the leaves of a tree: a node covers a
 fixed range of record numbers of one file, ``FANOUT`` nodes below it, up to a root for each file. The roots, in order of
 file, are the leaves of the archive's tree, whose nodes cover fixed ranges of file numbers. Two replicas are compared
 from the archive's root down: only children of nodes that differ are looked at, level by level, down to the records of
@@ -11,7 +11,9 @@ all behind it.
 from __future__ import annotations
 
 import gzip
+import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,6 +29,8 @@ NAMELESS_FILES = 1 << 20
 #: Every record has a date; pages have none, so it is a fixed one, and equal pages give equal bytes.
 DATE = "1970-01-01T00:00:00Z"
 _END = b"\r\n\r\n"
+#: How every member begins (no name, no time, unknown system), what stands behind it, and the bytes that are read at a time.
+_HEAD, _PAD, _PIECE = gzip.compress(b"", 6, mtime=0)[:10], b"\0", 1 << 16
 _FAULTS = "record_id long, file long, number long, start long, length long, copies long, expected string, found string, fault string"
 
 
@@ -49,11 +53,76 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", bod
     return pages.select(key.alias("record_id"), F.coalesce(F.floor(key / RECORDS_PER_FILE), nameless).cast("long").alias("file"), content.alias("content"))
 
 
-def write_archive(rows: DataFrame, path: str) -> None:
-    """Records as WARC files below ``path``, one for each ``file``, in order of id and bytes, compressed. Contents must be UTF-8."""
-    text = F.expr(f"substring(content, 1, octet_length(content) - {len(_END)})").cast("string")
-    ordered = rows.repartition("file").sortWithinPartitions("file", "record_id", F.sha2("content", 256))
-    ordered.select("file", text.alias("value")).write.partitionBy("file").option("lineSep", _END.decode()).option("compression", "gzip").text(path)
+def write_archive(rows: DataFrame, path: str, compress: bool = True) -> None:
+    """Records as WARC files below ``path``, one for each ``file``, in order of id and bytes. Contents may be any bytes.
+
+    Compressed, each record is a gzip member of its own, behind which a zero byte stands, that gzip readers pass over: so
+    a record's place on disk is its member's, and one that is damaged costs no other. The place of the file says which
+    form it has, not its bytes, as those may rot.
+    """
+    ordered = rows.select("file", "record_id", "content").repartition("file").sortWithinPartitions("file", "record_id", F.sha2("content", 256))
+    if compress:
+        stored, end = ordered.mapInArrow(_members, "file long, content binary"), _PAD.decode()
+    else:
+        stored, end = ordered.select("file", F.expr(f"substring(content, 1, octet_length(content) - {len(_END)})").alias("content")), _END.decode()
+    # A cast to string keeps bytes as they are, and the text writer writes them so.
+    stored.select(F.lit("gzip" if compress else "plain").alias("form"), "file", F.col("content").cast("string").alias("value")).write.partitionBy("form", "file").option("lineSep", end).text(path)
+
+
+@tidy
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([gzip.compress(c.as_py(), 6, mtime=0) for c in batch.column(2)], pa.binary())], ["file", "content"])
+
+
+def members(data: bytes) -> Iterator[tuple[int, int, bytes, bool]]:
+    """(start, length, content, sound) of each gzip member of a file as :func:`write_archive` makes it, without a gap.
+
+    A member is sound if its head and the byte behind it are those that are written, and its check sum is right. One that
+    is not reaches to the next sound one, and its content is what could be read of it.
+    """
+    at = 0
+    while at < len(data):
+        content, size = _member(data, at)
+        if size:
+            yield at, size, content, True
+            at += size
+            continue
+        following = data.find(_PAD + _HEAD, at + 1)
+        while following >= 0 and not _member(data, following + 1)[1]:
+            following = data.find(_PAD + _HEAD, following + 1)
+        end = following + 1 if following >= 0 else len(data)
+        yield at, end - at, _readable(data[at:end]), False
+        at = end
+
+
+def _member(data: bytes, at: int) -> tuple[bytes, int]:
+    """Content, and length with the byte behind, of a sound member; length 0 if there is none."""
+    if data[at : at + len(_HEAD)] != _HEAD:
+        return b"", 0
+    reader = zlib.decompressobj(31)
+    out, end = [], at
+    try:
+        while not reader.eof and end < len(data):  # piece by piece, as what follows is not this member's
+            out.append(reader.decompress(data[end : end + _PIECE]))
+            end += _PIECE
+    except zlib.error:
+        return b"", 0
+    end = min(end, len(data)) - len(reader.unused_data)
+    return (b"".join(out), end + 1 - at) if reader.eof and data[end : end + 1] == _PAD else (b"", 0)
+
+
+def _readable(stored: bytes) -> bytes:
+    """What comes out of a damaged member until it breaks; nothing if its head is damaged."""
+    reader, out = zlib.decompressobj(-15), []
+    try:
+        for k in range(len(_HEAD), len(stored)):  # byte by byte, to lose no more than must be
+            out.append(reader.decompress(stored[k : k + 1]))
+            if reader.eof:
+                break
+    except zlib.error:
+        pass
+    return b"".join(out)
 
 
 def parse(data: bytes) -> Iterator[tuple[int, int, int | None]]:
@@ -77,36 +146,61 @@ def parse(data: bytes) -> Iterator[tuple[int, int, int | None]]:
         at = end
 
 
+_ID = re.compile(rb"\r\nWARC-Record-ID: <urn:page:(-?\d{1,18})>")
+
+
+def _stored(data: bytes, form: str) -> Iterator[tuple[int | None, int, int, bytes, bool]]:
+    """(id, start, length, content, sound) of each record of a file, whatever has become of it."""
+    if form == "plain":
+        yield from ((i, a, n, data[a : a + n], True) for a, n, i in parse(data))
+        return
+    for a, n, content, sound in members(data):
+        name = _ID.search(content[: content.find(_END)] if _END in content else content)
+        yield int(name[1]) if name else None, a, n, content, sound
+
+
 @tidy
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, stored in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            data = gzip.decompress(stored.as_py()) if path.endswith(".gz") else stored.as_py()
-            file, found = int(re.search(r"file=(-?\d+)", path)[1]), [*parse(data)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([i for _, _, i in found], pa.int64()), pa.array([file] * len(found), pa.int64()), pa.array([a for a, _, _ in found], pa.int64()), pa.array([data[a : a + n] for a, n, _ in found], pa.binary())],
-                ["record_id", "file", "start", "content"],
-            )
+            data, place = stored.as_py(), re.search(r"form=(gzip|plain)/file=(-?\d+)/", path)
+            some: list[tuple] = []
+            for i, at, n, content, sound in _stored(data, place[1]):
+                some.append((i, int(place[2]), at, n, content, hashlib.sha256(data[at : at + n]).hexdigest(), sound))
+                if len(some) == _ROWS or sum(len(r[4]) for r in some) > _BYTES:
+                    yield _batch(some)
+                    some = []
+            if some:
+                yield _batch(some)
+
+
+_ROWS, _BYTES = 64, 4_000_000
+_COLUMNS = {"record_id": pa.int64(), "file": pa.int64(), "start": pa.int64(), "length": pa.int64(), "content": pa.binary(), "stored": pa.string(), "sound": pa.bool_()}
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), _COLUMNS.values(), strict=True)], list(_COLUMNS))
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """record_id, file, start, content of the records of WARC files below ``path`` (see :func:`write_archive`): the bytes that are stored.
+    """record_id, file, start, length (on disk), content, stored (sha256 of the bytes on disk), sound of the records of WARC files below ``path`` (see :func:`write_archive`).
 
-    A file is read by one task, which holds it; ``RECORDS_PER_FILE`` keeps files small.
+    Together the records of a file are all its bytes. Damage raises nothing: of a record that cannot be read whole the
+    content is what can, its id is null if that is not among it, and ``sound`` is false. A file is read by one task, which
+    holds it; ``RECORDS_PER_FILE`` keeps files small.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "content").mapInArrow(_read, "record_id long, file long, start long, content binary")
+    return files.select("path", "content").mapInArrow(_read, "record_id long, file long, start long, length long, content binary, stored string, sound boolean")
 
 
 def leaves(rows: DataFrame) -> DataFrame:
     """record_id, file, number (in its file, from 0), start, length, copies, digest (sha256) of each record. The content itself is not shuffled.
 
-    ``rows`` with a column ``start`` are stored ones, in that order; others are laid out in order of id and digest, and
-    equal records, then side by side, are one leaf of several copies.
+    ``rows`` with a column ``start`` are stored ones, in that order, with the digest of their bytes on disk; others are
+    laid out in order of id and digest, and equal records, then side by side, are one leaf of several copies.
     """
     stored = "start" in rows.columns
-    columns = ["record_id", "file", *(["start"] if stored else []), F.octet_length("content").cast("long").alias("length"), F.sha2("content", 256).alias("digest")]
-    hashed = rows.select(*columns)
+    hashed = rows.select("record_id", "file", *(["start", "length", F.col("stored").alias("digest")] if stored else [F.octet_length("content").cast("long").alias("length"), F.sha2("content", 256).alias("digest")]))
     if stored:
         number = F.row_number().over(Window.partitionBy("file").orderBy("start")) - 1
         return hashed.select("record_id", "file", number.cast("long").alias("number"), "start", "length", F.lit(1).cast("long").alias("copies"), "digest")
@@ -128,10 +222,10 @@ def _up(number: str) -> Column:
     return F.floor(F.col(number) / FANOUT).cast("long")
 
 
-def tree(leaf_rows: DataFrame) -> list[DataFrame]:
-    """Levels of (file, number, start, end, digest), records first, a root for each file last."""
-    levels, reach = 0, 1
-    while reach < RECORDS_PER_FILE:
+def tree(leaf_rows: DataFrame, records_a_file: int = RECORDS_PER_FILE) -> list[DataFrame]:
+    """Levels of (file, number, start, end, digest), records first, a root for each file last. A node has ``FANOUT`` others below it at most, if no file has more records than said."""
+    levels, reach = 1, FANOUT
+    while reach < records_a_file:
         levels, reach = levels + 1, reach * FANOUT
     out = [leaf_rows.select("file", "number", "start", (F.col("start") + F.col("length") * F.col("copies")).alias("end"), F.concat_ws("x", "digest", F.col("copies").cast("string")).alias("digest"))]
     for k in range(levels):
@@ -176,7 +270,8 @@ def audit(left: DataFrame, right: DataFrame) -> DataFrame:
     Equal archives give no rows after comparing one root each. Empty replicas are equal.
     """
     left, right = materialise(left, "leaves"), materialise(right, "leaves")
-    one, two = tree(left), tree(right)
+    most = max(int(x.agg(F.coalesce(F.max("number"), F.lit(0))).first()[0]) + 1 for x in (left, right))  # repeated ids make files longer
+    one, two = tree(left, most), tree(right, most)
     roots = [materialise(x[-1].drop("number"), "roots") for x in (one, two)]
     span = max(int(r.agg(F.coalesce(F.max(F.abs("file")), F.lit(0))).first()[0]) for r in roots)
     high = [archive_tree(r, span) for r in roots]
