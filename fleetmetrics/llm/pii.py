@@ -1,8 +1,9 @@
 """Personal data in texts, also where it is disguised: offset-preserving deobfuscation.
 
 Plain identifiers are found in the text itself. Texts that hold a trace of disguise also run through transducers that
-rewrite look-alike letters, invisible characters, spelled digits and at/dot words, and remember for every character
-they emit which source characters it stands for; identifiers found in what they emit are mapped back to the source.
+rewrite look-alike letters, invisible characters, escapes, spelled digits and at/dot words, one after another, and
+remember for every character they emit which source characters it stands for; identifiers found in what they emit are
+mapped back to the source. Blanks may be of any kind and number.
 """
 
 from __future__ import annotations
@@ -92,6 +93,9 @@ DIGIT_WORDS = {
 AT_WORDS = "at|arroba|arobase|ät"
 DOT_WORDS = "dot|punto|point|punkt"
 PLUS_WORDS = "plus|más|mas"
+#: In prose "at this point in" is no address: "point" goes with the at word of its language, and behind a plain at word stands no article.
+_NO_DOT = {"at": ("point",), "ät": ("point",)}
+_ARTICLES = frozenset("a an the this that these those my your his her its our their each every any some no which what one".split())
 
 
 @functools.lru_cache(1)
@@ -110,22 +114,29 @@ def _letters() -> tuple[dict[str, str], re.Pattern]:
 
 
 _DIGITS = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
-_WORD_RUN = re.compile(rf"(?i)(?<!\w)(?:(?:{PLUS_WORDS})[\s,-]+)?(?:(?:{_DIGITS}|[0-9]{{1,4}}|{DOT_WORDS})(?!\w)(?:[\s,.-]+|\Z|(?=\W))){{4,}}")
+_PART = r"\s,.()\[\]/-"
+_WORD_RUN = re.compile(rf"(?i)(?<!\w)(?:(?:{PLUS_WORDS})[\s,-]+)?(?:(?:{_DIGITS}|[0-9]{{1,4}}|{DOT_WORDS})(?!\w)(?:[{_PART}]+|\Z|(?=\W))){{4,}}")
 _WORD = re.compile(rf"(?i)(?<!\w)(?:{_DIGITS}|{DOT_WORDS}|{PLUS_WORDS})(?!\w)")
-_OPEN, _CLOSE = r"\s{0,3}[\[({<]\s{0,3}", r"\s{0,3}[\])}>]\s{0,3}"
+_OPEN, _CLOSE = r"(?<!\s)\s*+[\[({<]\s*+", r"\s*+[\])}>]\s*+"
 _SIGN = re.compile(rf"(?i){_OPEN}(?:(?P<at>{AT_WORDS}|@)|(?P<dot>{DOT_WORDS}|\.)|(?P<plus>{PLUS_WORDS}|\+)){_CLOSE}")
-_SPOKEN = re.compile(rf"(?i)(?<=[A-Za-z0-9_%+-])(?P<at>\s{{1,3}}(?:{AT_WORDS})\s{{1,3}})(?=[A-Za-z0-9-]{{1,63}}(?:(?:\s{{1,3}}(?:{DOT_WORDS})\s{{1,3}}|\.)[A-Za-z0-9-]{{1,63}}){{0,8}}?\s{{1,3}}(?:{DOT_WORDS})\s{{1,3}}[A-Za-z])")
-_SPOKEN_DOT = re.compile(rf"(?i)(?<=[A-Za-z0-9-])\s{{1,3}}(?:{DOT_WORDS})\s{{1,3}}(?=[A-Za-z0-9-])")
-#: Signs as character references of HTML, and signs as words between low lines.
-_REFERENCE = re.compile(r"(?i)&(?:#(?P<dec>0{0,4}[0-9]{2,3})|#x(?P<hex>0{0,4}[0-9a-f]{2})|(?P<name>commat|period|plus));")
+#: Between the names of an address stand signs: a word between blanks, a word or sign between marks, a sign between blanks.
+_MARKS = r"\s*+[-*_~|=^'\"`]{1,3}\s*+"
+_AT = re.compile(rf"(?i)(?<=[a-z0-9_%+-])(?:(?P<word>\s++(?:{AT_WORDS})\s++)|(?P<marked>(?:(?<=[a-z0-9%+])){_MARKS}(?:{AT_WORDS}|@){_MARKS})|(?P<spaced>\s++@\s*+|@\s++))(?=[a-z0-9])")
+_DOT = re.compile(rf"(?i)(?:(?P<word>\s++(?:{DOT_WORDS})\s++)|(?P<marked>{_MARKS}(?:{DOT_WORDS}|\.){_MARKS})|(?P<spaced>\s++\.\s++)|\.)(?=[a-z0-9])")
+_NAME = re.compile(rf"(?i)[a-z0-9]++(?:-(?!(?:{DOT_WORDS})[-\s])[a-z0-9]++)*+")
+#: Names before an at word that dot words join; a local part has 64 characters at most.
+_BEFORE = re.compile(rf"(?i)(?:[a-z0-9_%+-]++(?:\s++(?:{DOT_WORDS})\s++|{_MARKS}(?:{DOT_WORDS}){_MARKS}))++[a-z0-9_%+-]++\Z")
+_BEFORE_DOT = re.compile(rf"(?i)\s++(?:{DOT_WORDS})\s++|{_MARKS}(?:{DOT_WORDS}){_MARKS}")
+_LOCAL_PART = 64
+_SPOKEN_DOT = re.compile(rf"(?i)(?<=[A-Za-z0-9-])\s++(?:{DOT_WORDS})\s++(?=[A-Za-z0-9-])")
+#: Signs as character references of HTML, and as escapes of addresses of the web.
+_REFERENCE = re.compile(r"(?i)&(?:#(?P<dec>0{0,4}[0-9]{2,3})|#x(?P<hex>0{0,4}[0-9a-f]{2})|(?P<name>commat|period|plus));|(?<=[a-z0-9])%(?P<esc>40|2e)(?=[a-z0-9])|%(?P<plus>2b)(?=[0-9])")
 _NAMED = {"commat": "@", "period": ".", "plus": "+"}
-_LOW_LINES = re.compile(rf"(?i)(?<=[A-Za-z0-9])_(?:{AT_WORDS})_(?=[A-Za-z0-9-]{{1,63}}(?:(?:_(?:{DOT_WORDS})_|\.)[A-Za-z0-9-]{{1,63}}){{1,8}})")
-_LOW_DOT = re.compile(rf"(?i)(?<=[A-Za-z0-9-])_(?:{DOT_WORDS})_(?=[A-Za-z0-9-])")
 #: Letters in the place of digits, within what is mostly digits.
 _LIKE_DIGITS = re.compile(r"(?<![\w.+])[+]?[0-9OolI](?:[ .-]?[0-9OolI]){6,}(?![\w])")
 _FOR_DIGITS = {"O": "0", "o": "0", "l": "1", "I": "1"}
 #: Without one of these no transducer changes anything.
-_TRACE = re.compile(rf"(?i)[\[({{<]\s{{0,3}}(?:{AT_WORDS}|@|{DOT_WORDS}|\.|{PLUS_WORDS}|\+)\s{{0,3}}[\])}}>]")
+_TRACE = re.compile(rf"(?i)[\[({{<]\s*+(?:{AT_WORDS}|@|{DOT_WORDS}|\.|{PLUS_WORDS}|\+)\s*+[\])}}>]")
 
 
 _NAMES = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*")
@@ -165,21 +176,46 @@ def _signs(n: Normalised) -> Iterator[tuple[int, int, str]]:
 
 def _references(n: Normalised) -> Iterator[tuple[int, int, str]]:
     for m in _REFERENCE.finditer(n.text):
-        new = _NAMED[m["name"].lower()] if m["name"] else chr(int(m["dec"]) if m["dec"] else int(m["hex"], 16))
+        code = m["hex"] or m["esc"] or m["plus"]
+        new = _NAMED[m["name"].lower()] if m["name"] else chr(int(m["dec"]) if m["dec"] else int(code, 16))
         if "!" <= new <= "~":
             yield m.start(), m.end(), new
 
 
-def _low_lines(n: Normalised) -> Iterator[tuple[int, int, str]]:
-    """An at word between low lines, and the dot words behind it."""
-    for m in _LOW_LINES.finditer(n.text):
-        yield m.start(), m.end(), "@"
-        end = m.end()
-        while word := _NAMES.match(n.text, end):
-            if not (d := _LOW_DOT.match(n.text, word.end())):
+def _addresses(text: str) -> Iterator[tuple[int, int, str]]:
+    """Signs for what stands between the names of an address: after an at, the dots on its right, and dot words on its left.
+
+    A plain at word counts only if a dot behind it is disguised too, as prose has "at example.com"; between marks, or as a
+    sign between blanks, it counts with plain dots as well. The last name is letters.
+    """
+    free = 0
+    for at in _AT.finditer(text):
+        if at.start() < free:
+            continue
+        dots, end, last, disguised = [], at.end(), None, False
+        spoken = at["word"] and at["word"].strip().lower()
+        while name := _NAME.match(text, end):
+            if spoken and last is None and name.group().lower() in _ARTICLES:
                 break
-            yield d.start(), d.end(), "."
-            end = d.end()
+            end, last = name.end(), name.group()
+            dot = _DOT.match(text, end)
+            if not dot or not _NAME.match(text, dot.end()) or (spoken and dot["word"] and dot["word"].strip().lower() in _NO_DOT.get(spoken, ())):
+                break
+            disguised |= dot.group() != "."
+            dots.append(dot.span())
+            end = dot.end()
+        if not dots or (at["word"] and not disguised) or not (last.isalpha() and len(last) > 1):
+            continue
+        left = _BEFORE.search(text, max(free, at.start() - _LOCAL_PART), at.start())
+        if left:
+            yield from ((*d.span(), ".") for d in _BEFORE_DOT.finditer(text, left.start(), left.end()))
+        yield *at.span(), "@"
+        yield from ((a, b, ".") for a, b in dots)
+        free = end
+
+
+def _joined(n: Normalised) -> Iterator[tuple[int, int, str]]:
+    yield from _addresses(n.text)
 
 
 def _like_digits(n: Normalised) -> Iterator[tuple[int, int, str]]:
@@ -189,11 +225,6 @@ def _like_digits(n: Normalised) -> Iterator[tuple[int, int, str]]:
             yield from ((i, i + 1, _FOR_DIGITS[n.text[i]]) for i in letters)
 
 
-def _spoken(n: Normalised) -> Iterator[tuple[int, int, str]]:
-    for m in _SPOKEN.finditer(n.text):
-        yield m.start(), m.end(), "@"
-
-
 def _spoken_dots(n: Normalised) -> Iterator[tuple[int, int, str]]:
     """Dot words on the right of an @, as far as names joined by dots go."""
     at = n.text.find("@")
@@ -247,10 +278,10 @@ def _maybe(text: str) -> bool:
     """Whether any transducer may find something to do: true of every text that one of them changes."""
     if not text.isascii() and _letters()[1].search(text) and not _letters()[0].keys().isdisjoint(text) or _TRACE.search(text):
         return True
-    if "&" in text and _REFERENCE.search(text) or "_" in text and _LOW_LINES.search(text) or any(_FOR_DIGITS.keys() & set(m.group()) for m in _LIKE_DIGITS.finditer(text)):
+    if ("&" in text or "%" in text) and _REFERENCE.search(text) or next(_addresses(text), None) or any(_FOR_DIGITS.keys() & set(m.group()) for m in _LIKE_DIGITS.finditer(text)):
         return True
     words = set(_WORDS.findall(text.replace("İ", "i").lower()))  # patterns that ignore case take İ for an i
-    if not _DOT_SET.isdisjoint(words) and ("@" in text and _SPOKEN_DOT.search(text) or _SPOKEN.search(text)):
+    if not _DOT_SET.isdisjoint(words) and "@" in text and _SPOKEN_DOT.search(text):
         return True
     return not _RUN_SET.isdisjoint(words) and _WORD_RUN.search(text) is not None
 
@@ -261,7 +292,7 @@ def spans(text: str) -> list[tuple[str, int, int, bool]]:
     if not _maybe(text):
         return [(*s, True) for s in base]
     n = Normalised(text)
-    for step in (_references, _look, _signs, _low_lines, _spoken, _spoken_dots, _digit_words, _like_digits):
+    for step in (_references, _look, _signs, _joined, _spoken_dots, _digit_words, _like_digits):
         n.rewrite(step(n))
     # Base spans of a kind are in order and apart, so only the last one that begins at or before a span may hold it.
     starts: dict[str, list[int]] = {k: [a for kind, a, _ in base if kind == k] for k in KINDS}
