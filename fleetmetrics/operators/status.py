@@ -112,14 +112,23 @@ def hourly(df: DataFrame, period: int = 60, join_grain: str = "device", long_win
     Three shuffles: of sums by sensor and bucket, which are added up before it; of those to a task for each device and
     day, where buckets, hours and windows come from them; and of hours and windows to a task a device, for gaps.
     """
+    return hourly_of(bucket_sums(df, any_window), period, join_grain, long_windows, any_window)
+
+
+def bucket_sums(df: DataFrame, any_window: bool = True) -> DataFrame:
+    """Readings added up by rule, series, sensor and bucket: all that :func:`hourly_of` needs. Sums of disjoint sets of readings add up to those of all."""
     keys, value = ["rule", *_SERIES], F.col("Value").cast("double")
     at, bounds = minute_index(F.col("LocalTimeSpan")), [F.first(c).alias(c) for c in ("lo", "hi", "win")]
     bad = (value <= F.col("lo")) | F.coalesce(value > F.col("hi"), F.lit(False))
     step = _step() if any_window else F.lit(BUCKET)
-    sensors = df.where("DeviceId is not null").groupBy(*keys, "SensorId", floor_to(at, step).cast("int").alias("b")).agg(
+    return df.where("DeviceId is not null").groupBy(*keys, "SensorId", floor_to(at, step).cast("int").alias("b")).agg(
         F.max("Value").cast("double").alias("v"), F.sum("Value").alias("total"), F.count("*").alias("n"), F.count_if(_within(value, strict=False)).alias("ok"), F.count_if(bad).alias("bad"), *bounds
     )
-    totals = [F.sum(c).alias(c) for c in ("total", "n", "ok", "bad")]
+
+
+def hourly_of(sensors: DataFrame, period: int = 60, join_grain: str = "device", long_windows: str = "reference", any_window: bool = True, anchors: DataFrame | None = None) -> DataFrame:
+    """:func:`hourly` from sums of buckets. ``anchors`` are windows (rule, DeviceId, LocationId, SensorTyId, lo, hi, win, at) that are known to lie between a series' first and last reading: gaps are filled from and to them too."""
+    bounds, totals = [F.first(c).alias(c) for c in ("lo", "hi", "win")], [F.sum(c).alias(c) for c in ("total", "n", "ok", "bad")]
     # A device's day is one task's: no sum below shuffles until hours and windows are all that is left.
     sensors = sensors.withColumn("day", F.floor(F.col("b") / 1440)).repartition("DeviceId", "day")
     at_home, windowed_ = ["rule", "DeviceId", "day", "LocationId", "SensorTyId"], F.col("win").isNotNull()
@@ -135,6 +144,10 @@ def hourly(df: DataFrame, period: int = 60, join_grain: str = "device", long_win
         spans = devices.withColumn("p", both(F.lit(period))).groupBy(*at_home, unless_window("_sensor_type"), "p.window", "p.at")
     sums = [*totals, F.sum("sum_v").alias("sum_v"), F.sum("n_v").alias("n_v")]
     spans = spans.agg(*sums, F.count_if(_within(F.col("v"), strict=True)).alias("full"), *bounds)
+    if anchors is not None:
+        empty = {f.name: F.lit(0).cast(f.dataType) for f in spans.schema if f.name in ("total", "n", "ok", "bad", "sum_v", "n_v", "full")}
+        anchors = anchors.withColumns(empty | {"day": F.lit(None).cast("long"), "_sensor_type": F.lit(None).cast("string"), "window": F.lit(True)})
+        spans = spans.unionByName(anchors.select(*spans.columns))
     # From here on a row is a series' hour or window, so a device's rows are few, however many its readings are. Those that cross midnight come together.
     spans = spans.repartition("DeviceId").groupBy("rule", "DeviceId", "LocationId", "SensorTyId", "_sensor_type", "window", "at").agg(*sums, F.sum("full").alias("full"), *bounds)
     following = F.lead("at").over(Window.partitionBy("rule", "DeviceId", "LocationId", "SensorTyId", "window").orderBy("at"))
@@ -189,20 +202,27 @@ def windowed_status(base: DataFrame, sensor_type: str | None = "Corriente", lo:
     return out.withColumn("LocalTimeSpan", from_minutes(F.col("h"))).drop("rule", "h")
 
 
-def hourly_reading_status(readings: DataFrame, families: list[str] | None = None) -> DataFrame:
-    """Status of every device, sensor type and hour by the rule table, in one pass over enriched readings (F-1 to F-7). The rule table has a row a rule and device type."""
-    rules = F.broadcast(rule_table(readings.sparkSession, families))
-    kept = readings.join(rules, ["_device_type", "_sensor_type"])
-    kept = kept.where(~F.col("no_defrost") | (F.col("_sensor_name") != "Resistencia de deshielo"))
-    flags = rule_table(readings.sparkSession, families).select("rule", "as_share", "keep_anomalies").distinct()
-    both = hourly(kept, any_window=False).join(F.broadcast(flags), "rule")
-    out = both.select(
+def ruled(readings: DataFrame, families: list[str] | None = None) -> DataFrame:
+    """Enriched readings with the bounds of the rule that each falls under; others are left out. The rule table has a row a rule and device type."""
+    kept = readings.join(F.broadcast(rule_table(readings.sparkSession, families)), ["_device_type", "_sensor_type"])
+    return kept.where(~F.col("no_defrost") | (F.col("_sensor_name") != "Resistencia de deshielo"))
+
+
+def statuses(hours: DataFrame, families: list[str] | None = None) -> DataFrame:
+    """What :func:`hourly` gives in the columns of the reading status."""
+    flags = rule_table(hours.sparkSession, families).select("rule", "as_share", "keep_anomalies").distinct()
+    out = hours.join(F.broadcast(flags), "rule").select(
         *_SERIES, "StatusCode", F.when(F.col("as_share"), F.col("Promedio")).otherwise(F.col("MeasurementValue")).alias("MeasurementValue"),
         F.when(F.col("keep_anomalies"), F.col("Anomalies")).alias("Anomalies"), from_minutes(F.col("h")).alias("LocalTimeSpan"),
     )
     return conform(out.withColumn("OperationId", operation_id()), "reading_status")
 
 
+def hourly_reading_status(readings: DataFrame, families: list[str] | None = None) -> DataFrame:
+    """Status of every device, sensor type and hour by the rule table, in one pass over enriched readings (F-1 to F-7)."""
+    return statuses(hourly(ruled(readings, families), any_window=False), families)
+
+
 def family_status(readings: DataFrame, family: str) -> DataFrame:
     """Status of one equipment family."""
     if family not in FAMILIES:
