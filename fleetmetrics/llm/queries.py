@@ -49,11 +49,11 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The audited replica is stored as files, with its faults, and read back; the trusted side are the records as they should be."""
+    """The audited replica is stored as compressed files, with its faults, and read back; the trusted side are the records as they should be."""
     archive = warc.records(table(spark, sf_dir, "pages"))
     replica = f"{scratch_dir(spark)}/replica-{uuid.uuid4().hex}"
-    warc.write_archive(warc.damaged(archive), replica, compress=False)  # places as in the trusted layout
-    return warc.audit(warc.leaves(archive), warc.leaves(warc.read_archive(spark, replica)))
+    warc.write_archive(warc.damaged(archive), replica)
+    return warc.audit(warc.leaves(archive), warc.leaves(warc.read_archive(spark, replica), as_stored=False))
 
 
 def _digest(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:

@@ -60,11 +60,12 @@ def write_archive(rows: DataFrame, path: str, compress: bool = True) -> None:
     a record's place on disk is its member's, and one that is damaged costs no other. The place of the file says which
     form it has, not its bytes, as those may rot.
     """
-    ordered = rows.select("file", "record_id", "content").repartition("file").sortWithinPartitions("file", "record_id", F.sha2("content", 256))
-    if compress:
-        stored, end = ordered.mapInArrow(_members, "file long, content binary"), _PAD.decode()
+    keyed = rows.select("file", "record_id", F.sha2("content", 256).alias("digest"), "content")
+    if compress:  # before the shuffle
+        stored, end = keyed.mapInArrow(_members, keyed.schema), _PAD.decode()
     else:
-        stored, end = ordered.select("file", F.expr(f"substring(content, 1, octet_length(content) - {len(_END)})").alias("content")), _END.decode()
+        stored, end = keyed.withColumn("content", F.expr(f"substring(content, 1, octet_length(content) - {len(_END)})")), _END.decode()
+    stored = stored.repartition("file").sortWithinPartitions("file", "record_id", "digest")
     # A cast to string keeps bytes as they are, and the text writer writes them so.
     stored.select(F.lit("gzip" if compress else "plain").alias("form"), "file", F.col("content").cast("string").alias("value")).write.partitionBy("form", "file").option("lineSep", end).text(path)
 
@@ -72,7 +73,7 @@ def write_archive(rows: DataFrame, path: str, compress: bool = True) -> None:
 @tidy
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([gzip.compress(c.as_py(), 6, mtime=0) for c in batch.column(2)], pa.binary())], ["file", "content"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([gzip.compress(c.as_py(), 6, mtime=0) for c in batch.column(3)], pa.binary())], batch.schema.names)
 
 
 def members(data: bytes) -> Iterator[tuple[int, int, bytes, bool]]:
@@ -165,8 +166,10 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path, stored in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             data, place = stored.as_py(), re.search(r"form=(gzip|plain)/file=(-?\d+)/", path)
             some: list[tuple] = []
+            offset = 0
             for i, at, n, content, sound in _stored(data, place[1]):
-                some.append((i, int(place[2]), at, n, content, hashlib.sha256(data[at : at + n]).hexdigest(), sound))
+                some.append((i, int(place[2]), at, n, content, hashlib.sha256(data[at : at + n]).hexdigest(), sound, offset))
+                offset += len(content)
                 if len(some) == _ROWS or sum(len(r[4]) for r in some) > _BYTES:
                     yield _batch(some)
                     some = []
@@ -175,7 +178,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 _ROWS, _BYTES = 64, 4_000_000
-_COLUMNS = {"record_id": pa.int64(), "file": pa.int64(), "start": pa.int64(), "length": pa.int64(), "content": pa.binary(), "stored": pa.string(), "sound": pa.bool_()}
+_COLUMNS = {"record_id": pa.int64(), "file": pa.int64(), "start": pa.int64(), "length": pa.int64(), "content": pa.binary(), "stored": pa.string(), "sound": pa.bool_(), "offset": pa.int64()}
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -183,24 +186,33 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """record_id, file, start, length (on disk), content, stored (sha256 of the bytes on disk), sound of the records of WARC files below ``path`` (see :func:`write_archive`).
+    """record_id, file, start, length (on disk), content, stored (sha256 of the bytes on disk), sound, offset (in the file without compression) of the records of WARC files below ``path`` (see :func:`write_archive`).
 
     Together the records of a file are all its bytes. Damage raises nothing: of a record that cannot be read whole the
     content is what can, its id is null if that is not among it, and ``sound`` is false. A file is read by one task, which
     holds it; ``RECORDS_PER_FILE`` keeps files small.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "content").mapInArrow(_read, "record_id long, file long, start long, length long, content binary, stored string, sound boolean")
+    return files.select("path", "content").mapInArrow(_read, "record_id long, file long, start long, length long, content binary, stored string, sound boolean, offset long")
 
 
-def leaves(rows: DataFrame) -> DataFrame:
+def leaves(rows: DataFrame, as_stored: bool = True) -> DataFrame:
     """record_id, file, number (in its file, from 0), start, length, copies, digest (sha256) of each record. The content itself is not shuffled.
 
-    ``rows`` with a column ``start`` are stored ones, in that order, with the digest of their bytes on disk; others are
-    laid out in order of id and digest, and equal records, then side by side, are one leaf of several copies.
+    ``rows`` with a column ``start`` are stored ones, in that order, with the place and digest of their bytes on disk. With
+    ``as_stored=False`` they have those of the records themselves, whatever the compression (of what cannot be read whole,
+    still the digest on disk), as replicas need that are compressed in another way. Other rows are laid out in order of id
+    and digest; equal records, then side by side, are one leaf of several copies.
     """
     stored = "start" in rows.columns
-    hashed = rows.select("record_id", "file", *(["start", "length", F.col("stored").alias("digest")] if stored else [F.octet_length("content").cast("long").alias("length"), F.sha2("content", 256).alias("digest")]))
+    size, own = F.octet_length("content").cast("long").alias("length"), F.sha2("content", 256)
+    if stored and as_stored:
+        columns = ["start", "length", F.col("stored").alias("digest")]
+    elif stored:
+        columns = [F.col("offset").alias("start"), size, F.when(F.col("sound"), own).otherwise(F.col("stored")).alias("digest")]
+    else:
+        columns = [size, own.alias("digest")]
+    hashed = rows.select("record_id", "file", *columns)
     if stored:
         number = F.row_number().over(Window.partitionBy("file").orderBy("start")) - 1
         return hashed.select("record_id", "file", number.cast("long").alias("number"), "start", "length", F.lit(1).cast("long").alias("copies"), "digest")
