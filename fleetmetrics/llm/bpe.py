@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from fleetmetrics.llm.cutting import SPACE, Characters, byte_level, kinds, spans
 from fleetmetrics.llm.merging import LONGEST, Codes, Known, PairTable, merge_all
-from fleetmetrics.llm.shared import buffers, release, slices
+from fleetmetrics.llm.shared import buffers, map_batches, release, slices
 
 SLICE_BYTES = 2_000_000
 #: Characters that the transducer reads in a step, and ids that the decoder does.
@@ -386,5 +386,5 @@ def decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids") -> DataFra
 
     A column ``decoded`` that is already there is replaced.
     """
-    rows = encoded.select(*[c for c in encoded.columns if c not in (ids_col, "decoded")], F.col(ids_col).cast("array<int>").alias(ids_col))
-    return rows.mapInArrow(_decoded(vocabulary), T.StructType([*rows.schema.fields, T.StructField("decoded", T.StringType())]))
+    rows = encoded.select(*[F.col(f"`{c}`") for c in encoded.columns if c not in (ids_col, "decoded")], F.col(f"`{ids_col}`").cast("array<int>").alias(ids_col))
+    return map_batches(rows, _decoded(vocabulary), T.StructType([*rows.schema.fields, T.StructField("decoded", T.StringType())]))

@@ -13,9 +13,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from fleetmetrics.llm import avi, mjpeg
-from fleetmetrics.llm.shared import buffers, slices, tidy
+from fleetmetrics.llm.shared import buffers, map_batches, slices, tidy
 
 SLICE_BYTES = 1_500_000
 SIDE = 24
@@ -125,9 +126,8 @@ def read_media(media: DataFrame, media_col: str = "media") -> DataFrame:
     and unreadable media give null in all three. Columns of these names that are already there are replaced.
     """
     names = [c for c in media.columns if c not in (media_col, "payload", "clips", "feature")]
-    rows = media.select(*names, media_col)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return rows.mapInArrow(_read, f"{fields}, payload binary, clips {CLIPS}, feature string")
+    rows = media.select(*[F.col(f"`{c}`") for c in [*names, media_col]])
+    return map_batches(rows, _read, StructType([*rows.schema.fields, *StructType.fromDDL(f"payload binary, clips {CLIPS}, feature string")]))
 
 
 def clips(read: DataFrame, id_col: str = "doc_id") -> DataFrame:

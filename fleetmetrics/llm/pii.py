@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetmetrics.llm.shared import slices, tidy
+from fleetmetrics.llm.shared import map_batches, slices, tidy
 
 SLICE_BYTES = 2_000_000
 KINDS = ("email", "ip", "card", "phone")
@@ -358,13 +358,13 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with every span of personal data, disguised or not, replaced by its kind in brackets; spans that overlap by the first one's. Null stays null; all columns stay."""
     schema = docs.schema
 
-    @tidy
+    k = docs.columns.index(text_col)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            k = batch.schema.get_field_index(text_col)
             for part in slices(batch, k, SLICE_BYTES):
                 columns = part.columns
                 columns[k] = pa.array([_masked(t) for t in columns[k].to_pylist()], pa.string())
                 yield pa.RecordBatch.from_arrays(columns, part.schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)

@@ -17,8 +17,9 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from fleetmetrics.llm.shared import buffers, gram_hashes, materialise, slices, tidy, word_hashes
+from fleetmetrics.llm.shared import buffers, gram_hashes, map_batches, materialise, slices, tidy, word_hashes
 
 SLICE_BYTES = 2_000_000
 TREES, DEPTH, LASSO = 12, 3, 0.002
@@ -94,9 +95,9 @@ def _run(kept: int):
 
 def statistics(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
     """The columns ``keep`` (the text may be the last of them) and the statistics of each whole text (null counts as empty; all of an empty text's are 0). Other columns are dropped."""
-    rows = docs.select(*keep) if keep[-1] == text_col else docs.select(*keep, F.col(text_col).alias("text_"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(keep)])
-    return rows.mapInArrow(_run(len(keep)), ", ".join([fields, *(f"{s} double" for s in STATISTICS)]))
+    kept = [F.col(f"`{c}`") for c in keep]
+    rows = docs.select(*kept) if keep[-1] == text_col else docs.select(*kept, F.col(f"`{text_col}`").alias("text_"))
+    return map_batches(rows, _run(len(keep)), StructType([*rows.schema.fields[: len(keep)], *(StructField(s, DoubleType()) for s in STATISTICS)]))
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -126,6 +126,20 @@ s AS (
   FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank" FROM s)
 SELECT query_id, "rank", vec_id, score FROM r WHERE "rank" <= 10""",
+    "op4_ngram_jaccard_join": r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS nr, doc_id, coalesce(text, '') AS text, regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9\x{80}-\x{10FFFF}]+') AS w FROM documents),
+g AS (
+  SELECT DISTINCT nr, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS gram FROM d),
+n AS (SELECT nr, count(*) AS n FROM g GROUP BY nr),
+shared AS (SELECT a.nr AS a, b.nr AS b, count(*) AS k FROM g a JOIN g b ON a.gram = b.gram AND a.nr <> b.nr GROUP BY a.nr, b.nr),
+links AS (
+  SELECT a, b FROM shared JOIN n x ON x.nr = a JOIN n y ON y.nr = b WHERE k >= 0.8 * (x.n + y.n - k) - 1e-6
+  UNION ALL SELECT x.nr, y.nr FROM d x JOIN d y ON x.text = y.text AND x.nr <> y.nr WHERE len(x.w) = 0),
+reach AS (SELECT nr, nr AS other FROM d UNION SELECT r.nr, l.b FROM reach r JOIN links l ON l.a = r.other),
+class AS (SELECT reach.nr AS nr, min(d.doc_id) AS class_id FROM reach JOIN d ON d.nr = other GROUP BY reach.nr)
+SELECT d.doc_id, class_id, coalesce(k, 0) AS n_links FROM d JOIN class USING (nr) LEFT JOIN (SELECT a AS nr, count(*) AS k FROM links GROUP BY a) USING (nr)""",
     "op5_warc_fixity": r"""
 WITH c AS (
   SELECT page_id AS record_id, CAST(floor(page_id / 1024) AS BIGINT) AS file, md5(CAST(page_id AS VARCHAR)) AS code,
@@ -148,6 +162,25 @@ f AS (
 SELECT record_id, file, CAST(number AS BIGINT) AS number, CAST(start AS BIGINT) AS start, CAST(size AS BIGINT) AS length, CAST(1 AS BIGINT) AS copies,
   expected, CASE WHEN fault <> 'missing' THEN found END AS found, fault
 FROM f WHERE fault IS NOT NULL""",
+    "op12_fill_in_middle": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || doc_id) AS x FROM documents),
+h AS (
+  SELECT *, length(t) AS n, CAST('0x' || x[1:8] AS BIGINT) AS h1, CAST('0x' || x[9:16] AS BIGINT) AS h2, CAST('0x' || x[17:24] AS BIGINT) AS h3, CAST('0x' || x[25:32] AS BIGINT) AS h4 FROM d),
+c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN n = 0 OR regexp_matches(t, '<[PSM]>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, '<P>' || substring(t, 1, a) AS pre, '<M>' || substring(t, a + 1, b - a) AS mid, '<S>' || substring(t, b + 1) AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN pre || suf || mid ELSE suf || pre || mid END) AS output_sha256, sha256(t) AS restored_sha256 FROM p""",
+    "op13_line_dedup": r"""
+WITH d AS (SELECT row_number() OVER () AS nr, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT nr, doc_id, generate_subscripts(ls, 1) AS i, unnest(ls) AS line FROM d),
+k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1),
+m AS (SELECT k.*, f.key IS NOT NULL AND k.doc_id <> f.first AS gone FROM k LEFT JOIN f ON k.key = f.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256 FROM m GROUP BY nr, doc_id""",
 }
 
 

@@ -93,7 +93,9 @@ def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
 
 
 def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType) -> DataFrame:
-    """``mapInArrow`` for columns of any names, also with dots in them: tasks see them by number."""
+    """``mapInArrow`` for columns of any names: where some have dots in them, which Spark would take for fields, tasks see all by number."""
+    if not any("." in c for c in [*df.columns, *schema.names]):
+        return df.mapInArrow(tidy(run), schema)
     coded = StructType([StructField(f"c{i}", f.dataType) for i, f in enumerate(schema.fields)])
 
     @tidy
