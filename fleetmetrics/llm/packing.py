@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from fleetmetrics.llm.shared import release, slices
 from fleetmetrics.llm.words import WordTokenizer
 
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 #: What a cut costs, in halves of the sum of squares.
 CUT = 16
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"

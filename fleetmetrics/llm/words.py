@@ -23,7 +23,7 @@ from tokenizers import Tokenizer
 from fleetmetrics.llm.bpe import _byte_letters
 from fleetmetrics.llm.cutting import SPACE, Characters, kinds, spans, word_level
 from fleetmetrics.llm.merging import LONGEST, Codes, Known, PairTable, merge_all
-from fleetmetrics.llm.shared import buffers
+from fleetmetrics.llm.shared import buffers, release
 
 #: Pieces remembered: about 50 bytes each.
 KEPT = 300_000
@@ -82,7 +82,9 @@ class WordTokenizer:
     @staticmethod
     @functools.lru_cache(2)
     def at(path: str) -> WordTokenizer:
-        return WordTokenizer(path)
+        made = WordTokenizer(path)
+        release()  # of the parsed file
+        return made
 
     def _library(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)

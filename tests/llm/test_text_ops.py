@@ -269,3 +269,47 @@ def test_only_suspects_are_shuffled(spark, documents):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     plan = linededup.drop_repeated_lines(docs)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 2 and "Sort" not in plan, plan
+
+
+# Columns whose names clash with those that come, and the pipeline on odd rows
+
+NAMES = ["spans", "ids", "length", "row", "class_id", "n_links", "score", "predicted", "held_out", "sequence_id", "key", "a.b"]
+
+
+@pytest.fixture(scope="module")
+def clashing(spark):
+    rows = [(i, t, *[f"{n}!" for n in NAMES]) for i, t in enumerate(ODD)]
+    return spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in NAMES))
+
+
+def test_clashing_names_do_no_harm(spark, clashing):
+    """The same results as without the other columns."""
+    from fleetmetrics.llm import backoff, jaccard, packing, pii, secrets, topk, warc
+
+    words = registered.public_tokenizers.path("word_bpe_49k.json")
+    plain = clashing.select("doc_id", "text")
+    for f in (pii.find_pii, secrets.find_secrets, jaccard.near_duplicates, backoff.backoff_scores, lambda d: packing.pack(d, words)):
+        assert sorted(map(str, f(clashing).collect())) == sorted(map(str, f(plain).collect()))
+    pages = clashing.withColumnsRenamed({"doc_id": "page_id", "text": "html", "key": "url", "row": "start", "ids": "content"})
+    a, b = (warc.records(p).collect() for p in (pages, pages.select("page_id", "url", "html")))
+    assert sorted(map(str, a)) == sorted(map(str, b))
+    v = spark.createDataFrame([(k, [float(k), 1.0], "x", "y") for k in range(5)], "vec_id long, embedding array<double>, rank string, score string")
+    got = [topk.top_k(w, w.where("vec_id = 0"), 3).collect() for w in (topk.integer_vectors(x, "vec_id", "embedding") for x in (v, v.select("vec_id", "embedding")))]
+    assert got[0] == got[1] and len(got[0]) == 3
+
+
+def test_the_pipeline_on_odd_rows(spark, clashing):
+    """Nulls, empty and long texts, repeats, rows without an id and clashing names, through all four stages in turn."""
+    import corpus_pipeline
+
+    docs = clashing.unionByName(clashing.where("doc_id in (7, 10)")).unionByName(clashing.where("doc_id = 9").withColumn("doc_id", clashing.doc_id * None)).withColumn("n_chars", clashing.doc_id * 0)
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        after = corpus_pipeline.materialise(stage(spark, docs, SF), f"odd-{name}")
+        assert after.columns == docs.columns, name
+        docs = after
+    kept = {r.doc_id: r for r in docs.collect()}
+    assert 8 in kept and kept[8].text == "<P" and None in kept and kept[8]["a.b"] == "a.b!"
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+    assert {r.doc_id for r in packed} == set(kept) and max(r.offset + r.length for r in packed) <= 2048
+    every = corpus_pipeline.STAGES[0][1](spark, clashing, SF)
+    assert every.columns == clashing.columns and {r.doc_id for r in every.collect()} <= set(range(len(ODD)))
