@@ -88,11 +88,8 @@ class KeyIndex:
         h = _hash(self.key)
         probes = keys.withColumn("slots_log", F.explode(F.array(*map(F.lit, logs)))).withColumns({"slot": _slot(h, F.col("slots_log")), "mask_": _bits(h)})
         hits = probes.join(summaries, ["slots_log", "slot"]).where(F.col("bits").bitwiseAND(F.col("mask_")) == F.col("mask_"))
-        hits = hits.select(f"`{self.key}`", "day_").persist()
-        try:
-            days = sorted(r[0] for r in hits.select("day_").distinct().collect())
-        finally:
-            hits.unpersist()
+        hits = hits.select(f"`{self.key}`", "day_")
+        days = sorted(r[0] for r in hits.select("day_").distinct().collect())
         return hits.select(f"`{self.key}`").distinct(), days
 
     def new_rows(self, incoming: DataFrame, target: DataFrame | None = None) -> DataFrame:
