@@ -4,9 +4,12 @@
 2. Documents with the same set of n-grams become one class, whose smallest id stands for it.
 3. Band hashes are first combined within each task's batch (a batch links what it holds of one band, and sends one
    row a band on), then shuffled; so a band that a third of all documents share costs a row a batch.
-4. Connected candidates form clusters. Clusters are dealt out in pairs of bounded blocks of documents, and every pair of
-   documents within a pair of blocks is compared on the full n-gram sets: a matrix product inside the task, from which
-   only counts and a spanning forest of links leave.
+4. Connected candidates form clusters. One of more than a block may hold together by chance only, as bands of texts far
+   below the threshold meet now and then; so it is taken apart first: the texts of each bucket are compared by sketches,
+   a byte a MinHash, and only texts that agree in about as many as the threshold asks stay connected.
+5. Clusters are dealt out in pairs of bounded blocks of documents, and every pair of documents within a pair of blocks is
+   compared on the full n-gram sets: a matrix product inside the task, from which only counts and a spanning forest of
+   links leave.
 """
 
 from __future__ import annotations
@@ -27,6 +30,8 @@ from fleetmetrics.llm.shared import Members, U, buffers, gram_hashes, materialis
 SLICE_BYTES = 2_000_000
 BLOCK_DOCS = 192
 BLOCK_GRAMS = 400_000
+#: Most texts of a bucket whose sketches are in one part; parts are compared in pairs.
+BUCKET_PART = 2048
 BROADCAST_ROWS = 20_000
 
 
@@ -40,6 +45,17 @@ def choose_bands(similarity: float, recall: float = 0.9999, max_hashes: int = 12
     return best
 
 
+def least_equal(hashes: int, similarity: float, miss: float) -> int:
+    """The most of ``hashes`` MinHashes of which a pair right at ``similarity`` has fewer equal ones in at most a share ``miss`` of cases."""
+    below, k = 0.0, 0
+    while k < hashes:
+        below += math.comb(hashes, k) * similarity**k * (1 - similarity) ** (hashes - k)
+        if below > miss:
+            break
+        k += 1
+    return k
+
+
 def _gram_sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
     """Sorted distinct n-gram hashes of each text; a text of 1 to n-1 words has one gram, all its words."""
     words, at, _ = word_hashes(texts)
@@ -68,13 +84,14 @@ def _signatures(n: int, bands: int, rows: int):
         salt = mixed(np.arange(bands, dtype=np.uint64) + U(1))
         for batch in batches:
             for part in slices(batch, 1, SLICE_BYTES):
-                keys, sigs, sizes = [], [], []
+                keys, sigs, sketches, sizes = [], [], [], []
                 data, at = buffers(part.column(1))
                 for i, grams in enumerate(_gram_sets(part.column(1), n)):
                     keys.append(_key(_content(grams, data, at, i)))
                     sizes.append(len(grams))
                     if not len(grams):
                         sigs.append(None)
+                        sketches.append(None)
                         continue
                     low = np.full(bands * rows, 0xFFFFFFFF, np.uint32)
                     x = (grams >> U(32)).astype(np.uint32)
@@ -84,7 +101,9 @@ def _signatures(n: int, bands: int, rows: int):
                     for r in range(rows):
                         h = mixed(h + low.reshape(bands, rows)[:, r])
                     sigs.append(h.tobytes())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary()), pa.array(sizes, pa.int64())], ["doc_id", "key", "bands", "grams"])
+                    sketches.append((mixed(low.astype(np.uint64)) >> U(56)).astype(np.uint8).tobytes())
+                columns = [part.column(0), *[pa.array(x, pa.binary()) for x in (keys, sigs, sketches)], pa.array(sizes, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "bands", "sketch", "grams"])
 
     return run
 
@@ -194,6 +213,75 @@ def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (u, v)], ["u", "v"])
 
 
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(bucket, node, sketch): a row for each band of a text."""
+    for batch in batches:
+        bands = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.int64).reshape(batch.num_rows, -1)
+        rows = pa.array(np.repeat(np.arange(batch.num_rows), bands.shape[1]))
+        yield pa.RecordBatch.from_arrays([pa.array(bands.ravel()), batch.column(0).take(rows), batch.column(2).take(rows)], ["bucket", "node", "sketch"])
+
+
+def _reached(sketch: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """A forest that connects what chains of sketches with ``least`` equal bytes connect. One is compared only with those not yet reached, so texts that are all alike take one look each."""
+    ends, starts, free = [], [], np.arange(len(sketch))
+    while len(free) > 1:
+        reached, free = [free[0]], free[1:]
+        while reached and len(free):
+            at = reached.pop()
+            near = np.count_nonzero(sketch[free] == sketch[at], axis=1) >= least
+            ends.append(free[near])
+            starts.append(np.full(len(ends[-1]), at))
+            reached.extend(ends[-1])
+            free = free[~near]
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *ends]), np.concatenate([none, *starts])
+
+
+def _look_alikes(least: int):
+    """Rows sorted by part of a bucket: links between its texts whose sketches have ``least`` equal bytes, as a forest."""
+
+    def links(group: np.ndarray, node: np.ndarray, sketch: np.ndarray) -> pa.RecordBatch:
+        starts = np.flatnonzero(group)
+        sizes = np.diff(np.append(starts, len(node)))
+        two = starts[sizes == 2]
+        two = two[np.count_nonzero(sketch[two] == sketch[two + 1], axis=1) >= least]
+        u, v = [node[two + 1]], [node[two]]
+        for at, size in zip(starts[sizes > 2], sizes[sizes > 2], strict=True):
+            a, b = _reached(sketch[at : at + size], least)
+            u.append(node[at + a])
+            v.append(node[at + b])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (u, v)], ["u", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the last part, which may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = [np.stack([batch.column(i).to_numpy() for i in range(3)]).T, batch.column(3).to_numpy(), np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint8).reshape(batch.num_rows, -1)]
+            part, node, sketch = rows if held is None else [np.concatenate(x) for x in zip(held, rows, strict=True)]
+            group = np.ones(len(node), bool)
+            group[1:] = (part[1:] != part[:-1]).any(axis=1)
+            last = int(np.flatnonzero(group)[-1])
+            held = [part[last:], node[last:], sketch[last:]]
+            if last:
+                yield links(group[:last], node[:last], sketch[:last])
+        if held is not None:
+            yield links(np.arange(len(held[1])) == 0, *held[1:])
+
+    return run
+
+
+def _taken_apart(members: DataFrame, least: int) -> DataFrame:
+    """(node, cluster) of the texts of large clusters (node, bands, sketch) that stay connected if texts that share a bucket must have ``least`` equal bytes of sketch."""
+    buckets = members.select("node", "bands", "sketch").mapInArrow(_by_bucket, "bucket long, node long, sketch binary")
+    parts = materialise(buckets.groupBy("bucket").agg(F.ceil(F.count("*") / BUCKET_PART).alias("parts")).where("parts > 1"), "parts")
+    dealt = buckets.join(_sized(parts), "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1)).cast("long")).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+    dealt = dealt.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("other"))
+    dealt = dealt.select("bucket", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "node", "sketch")
+    edges = dealt.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi").mapInArrow(_look_alikes(least), "u long, v long")
+    return connected_components(edges, "alike").withColumnRenamed("component", "cluster")
+
+
 def _grams_of(members: Broadcast, n: int):
     """(doc_id, key, grams) of the texts whose id may be a member's; of a text that is there repeatedly, once a slice."""
 
@@ -277,16 +365,23 @@ def _classes(docs: DataFrame, n: int, similarity: float, recall: float, apart: b
     ``apart`` keeps different texts of one id apart; class_id is then any number that tells classes from each other.
     """
     bands, rows = choose_bands(similarity, recall)
-    signed = materialise(docs.where("doc_id is not null").mapInArrow(_signatures(n, bands, rows), "doc_id long, key binary, bands binary, grams long"), "signatures")
-    reps = materialise(signed.groupBy("key").agg(F.min("doc_id").alias("least"), F.min("doc_id").alias("node"), F.count("*").alias("copies"), F.first("bands").alias("bands"), F.first("grams").alias("grams")), "classes")
+    signed = materialise(docs.where("doc_id is not null").mapInArrow(_signatures(n, bands, rows), "doc_id long, key binary, bands binary, sketch binary, grams long"), "signatures")
+    reps = materialise(signed.groupBy("key").agg(F.min("doc_id").alias("least"), F.min("doc_id").alias("node"), F.count("*").alias("copies"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.first("grams").alias("grams")), "classes")
     own = _apart(reps) if apart else None
     reps = reps if own is None else own
     buckets = reps.where("bands is not null").select("node", "bands").mapInArrow(_within_batch, "bucket long, doc long, least long")
     dealt = buckets.repartition(F.coalesce("bucket", "doc")).sortWithinPartitions("bucket")
     cluster = connected_components(dealt.mapInArrow(_chained, "u long, v long"), "candidates")
-    members = materialise(reps.select("node", "least", "key", "copies", "grams").join(cluster.withColumnRenamed("component", "cluster"), "node"), "members")
-    sizes = members.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("grams") / BLOCK_GRAMS)).alias("blocks")).where("blocks > 1")
-    members = members.join(_sized(materialise(sizes, "large")), "cluster", "left").select(F.col("least").alias("doc_id"), "node", "key", "copies", "cluster", F.coalesce("blocks", F.lit(1)).cast("long").alias("blocks"))
+    members = materialise(reps.select("node", "least", "key", "copies", "grams", "bands", "sketch").join(cluster.withColumnRenamed("component", "cluster"), "node"), "members")
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("grams") / BLOCK_GRAMS)).alias("blocks")
+    large = materialise(members.groupBy("cluster").agg(blocks).where("blocks > 1").select("cluster"), "large")
+    members, wide = members.join(_sized(large), "cluster", "left_anti"), members.join(_sized(large), "cluster")
+    columns = ["node", "least", "key", "copies", "grams", "cluster"]
+    if not large.isEmpty():
+        alike = _taken_apart(wide, least_equal(bands * rows, similarity, (1 - recall) / 10))
+        wide = materialise(wide.drop("cluster").join(alike, "node").select(columns), "alike-members")
+    sizes = materialise(wide.groupBy("cluster").agg(blocks).where("blocks > 1"), "sizes")
+    members = members.select(columns).unionByName(wide.select(columns)).join(_sized(sizes), "cluster", "left").select(F.col("least").alias("doc_id"), "node", "key", "copies", "cluster", F.coalesce("blocks", F.lit(1)).cast("long").alias("blocks"))
     # Only the gram sets of members are shuffled, and of each one once: a filter of fixed size keeps most other texts back.
     ids = docs.sparkSession.sparkContext.broadcast(Members.of(members.select("doc_id")))
     sets = docs.mapInArrow(_grams_of(ids, n), "doc_id long, key binary, grams binary").groupBy("doc_id", "key").agg(F.first("grams").alias("grams"))
@@ -308,7 +403,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Two documents are linked if the Jaccard similarity of their sets of ``n``-word grams is at least ``similarity``;
     classes are the connected components of links. ``recall`` is the least chance that a pair right at ``similarity``
-    shares a band; every pair of a candidate cluster is then compared on full gram sets. Words as in ``word_hashes``.
+    shares a band; every pair of a candidate cluster is then compared on full gram sets. In clusters of more than a block,
+    texts that share a band must agree in a sketch too, which a pair right at ``similarity`` fails in a tenth of the
+    cases that ``recall`` leaves at most. Words as in ``word_hashes``.
     A text of fewer than ``n`` words has one gram. Texts without a word, null and empty ones among them, are linked with
     equal texts only (null is empty). Repeated rows count as documents of their own, linked with each other; rows of
     one id with different texts share their class and links. Rows without an id are returned with a null class and no links. Other columns are ignored; an empty table gives no rows.
