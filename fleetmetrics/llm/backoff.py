@@ -14,8 +14,11 @@ differences are added up by document; nothing else has to come together again.
 Bigrams are what costs. Two things keep their shuffle small, at any size of the corpus: words that several documents
 have are numbered by a dictionary of the ``WORDS`` commonest, so that a bigram of two of them is one number from which
 the counts of its parts can be told; and the ``BIGRAMS`` commonest bigrams are scored where they are, from a broadcast
-table. So no gram in the shuffle is common, and a window over each one's rows counts it and joins the count
-at once. Bigrams with a rarer word go by hash and meet the table of word counts in a join.
+table. One is left out of it only if no slice of 2 MB has it three times, or a million others are commoner. So a gram in
+the shuffle has two rows a slice at most, where a slice has some hundred thousand (a phrase that comes once in each of
+many long documents has a row a document, of as many as the document has different bigrams), or is rare; a task's
+share of rows is not set by a single gram. A window over each one's rows counts it and joins the count at once.
+Bigrams with a rarer word go by hash and meet the table of word counts in a join.
 """
 
 from __future__ import annotations
@@ -34,6 +37,8 @@ from fleetmetrics.llm.shared import Members, U, gram_hashes, materialise, slices
 BACKOFF = 0.4
 #: Entries of the broadcast tables of words and of bigrams, of 16 bytes each. Words are numbered in ``WORD_BITS`` bits.
 WORDS, BIGRAMS, WORD_BITS = 1 << 20, 1 << 20, 20
+#: Counts are told apart by so many leading bits where the commonest are chosen: 2 ** LEADING counts for each further bit at most.
+LEADING = 11
 #: A bigram is a candidate for the table if a slice of ``SLICE_BYTES`` has it so often.
 OFTEN = 3
 SLICE_BYTES = 2_000_000
@@ -108,25 +113,28 @@ class _Table:
         return np.where(self.keys[at] == hashes, at, -1)
 
 
-def _largest(grams: DataFrame, level: int, most: int) -> _Table:
-    """The ``most`` commonest grams, or a few less; so what goes to the driver has a fixed bound, and nothing is sorted.
+def _largest(grams: DataFrame, level: int, most: int) -> tuple[_Table, int]:
+    """The ``most`` commonest grams, or a few less, and the highest count that others may have; so what goes to the driver has a fixed bound, and nothing is sorted.
 
-    They are cut at a count; of those with just that count, as many as there is room for are taken, by hash.
+    Counts are cut to their leading ``LEADING`` bits, of which there are few, and grams are cut at such a count; of those
+    that share it, as many as there is room for are taken, by hash.
     """
-    of = grams.where(F.col("level") == level)
-    numbers = {r["n"]: r["count"] for r in of.groupBy("n").count().collect()}  # distinct counts: at most the root of twice the words
-    room, cut = most, None
-    for n in sorted(numbers, reverse=True):
-        if numbers[n] > room:
-            cut = n
+    shift = f"cast(greatest(length(bin(n)) - {LEADING}, 0) as int)"
+    of = grams.where(F.col("level") == level).withColumn("low", F.expr(f"shiftleft(shiftright(n, {shift}), {shift})"))
+    numbers = {r["low"]: (r["count"], r["high"]) for r in of.groupBy("low").agg(F.count("*").alias("count"), F.max("n").alias("high")).collect()}
+    room, limit = most, 0
+    for low in sorted(numbers, reverse=True):
+        count, high = numbers[low]
+        if count > room:
+            room = max(0, room - 4 * int(room**0.5))
+            below = -(1 << 63) + int((1 << 64) * room / count)
+            of, limit = of.where((F.col("low") > low) | (F.col("low") == low) & (F.col("gram") < below)), high
             break
-        room -= numbers[n]
-    if cut is not None:
-        room = max(0, room - 4 * int(room**0.5))
-        below = -(1 << 63) + int((1 << 64) * room / numbers[cut])
-        of = of.where((F.col("n") > cut) | (F.col("n") == cut) & (F.col("gram") < below))
+        room -= count
     top = of.select("gram", "n").toArrow()
-    return _Table(top["gram"].to_numpy().view(np.uint64)[:most], top["n"].to_numpy()[:most])
+    if len(top) > most:  # hashes fell together against all odds: what is cut may be as common as the commonest
+        limit = max(numbers[low][1] for low in numbers)
+    return _Table(top["gram"].to_numpy().view(np.uint64)[:most], top["n"].to_numpy()[:most]), limit
 
 
 def _counted(common: Broadcast):
@@ -258,12 +266,11 @@ def _bigram_scores(rows: DataFrame) -> DataFrame:
     words = met.where("level = 1")
     total, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     size = max(1, total + kinds)
-    numbered, common = _largest(met.where("docs > 1"), 1, WORDS), _largest(met, 2, BIGRAMS)
+    (numbered, limit), (common, _) = _largest(met.where("docs > 1"), 1, WORDS), _largest(met, 2, BIGRAMS)
     exact = texts.mapInArrow(_counted(share(common)), "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
     common.n = np.zeros(len(common.keys), np.int64)
     common.n[exact["place"].to_numpy()] = exact["n"].to_numpy()
-    least = int(numbered.n.min()) if len(numbered.n) else total
-    rarer = words.where((F.col("docs") > 1) & (F.col("n") <= least)).select(F.col("gram").alias("id"), F.col("n").alias("times"))
+    rarer = words.where((F.col("docs") > 1) & (F.col("n") <= limit)).select(F.col("gram").alias("id"), F.col("n").alias("times"))
     shared = share(numbered), share(common), share(Members.of(rarer.select("id"))), float(np.log(size))
     side = materialise(rows.mapInArrow(_exploded(*shared, False), _SIDE), "backoff-side")
 

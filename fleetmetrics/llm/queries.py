@@ -114,7 +114,33 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
+def _backoff_sql(order: int) -> str:
+    """Scores of order 2 or 3: each position's words, then the distinct grams of a document beside the counts of all."""
+    words = ["w1", "w2", "w3"][:order]
+    levels = ["w1", "w1, w2", "w1, w2, w3"][:order]
+    counts = "".join(f"o{k} AS (SELECT nr, {g}, count(*) AS m FROM t WHERE w{k} IS NOT NULL GROUP BY nr, {g}), c{k} AS (SELECT {g}, sum(m) AS n FROM o{k} GROUP BY {g}), e{k} AS (SELECT o{k}.*, n, n - m AS c FROM o{k} JOIN c{k} USING ({g})), " for k, g in enumerate(levels, 1))
+    one = "SELECT nr, m * ln((c + 1) / size) AS s, 0 AS seen FROM e1, z"
+    two = """SELECT a.nr, a.m * (ln(a.c) - ln(h.c) - ln((g.c + 1) / size) - ln(0.4)), a.m FROM z, e2 a
+      JOIN e1 h ON h.nr = a.nr AND h.w1 = a.w1 JOIN e1 g ON g.nr = a.nr AND g.w1 = a.w2 WHERE a.c > 0"""
+    three = """SELECT a.nr, a.m * (ln(a.c) - ln(h.c) - (ln(g.c) - ln(x.c)) - ln(0.4)), a.m FROM e3 a
+      JOIN e2 h ON h.nr = a.nr AND h.w1 = a.w1 AND h.w2 = a.w2 JOIN e2 g ON g.nr = a.nr AND g.w1 = a.w2 AND g.w2 = a.w3
+      JOIN e1 x ON x.nr = a.nr AND x.w1 = a.w2 WHERE a.c > 0"""
+    lost = " + ".join(f"greatest(n_words - {k}, 0)" for k in range(1, order))
+    return rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS nr, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9\x{{80}}-\x{{10FFFF}}]+') AS w FROM documents),
+p AS (SELECT nr, generate_subscripts(w, 1) AS i, unnest(w) AS w1 FROM d),
+t AS (SELECT nr, {", ".join(["w1", *(f"lead(w1, {k}) OVER (PARTITION BY nr ORDER BY i) AS w{k + 1}" for k in range(1, len(words)))])} FROM p),
+{counts}z AS (SELECT greatest(1, coalesce(sum(n), 0) + count(*)) AS size FROM c1),
+a AS (SELECT nr, sum(s) AS s, sum(seen) AS seen FROM ({" UNION ALL ".join([one, two, three][:order])}) GROUP BY nr),
+f AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(s, 0) AS s, coalesce(seen, 0) AS seen FROM d LEFT JOIN a USING (nr))
+SELECT doc_id, n_words, round(s + ({lost}) * ln(0.4), 6) AS log_score, CAST({lost} - seen AS BIGINT) AS n_backed_off,
+  CASE WHEN n_words > 0 THEN round(s + ({lost}) * ln(0.4), 6) / n_words END AS mean_log_score FROM f"""
+
+
 ORACLE = {
+    "op10_backoff": _backoff_sql(2),
+    "op10_backoff_trigrams": _backoff_sql(3),
     "op1_topk": """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS vec

@@ -369,6 +369,36 @@ def test_pairs_just_at_the_threshold_are_found(spark):
     assert {r.doc_id for r in got} == linked and all(r.n_links == 1 and r.class_id == r.doc_id - r.doc_id % 2 for r in got)
 
 
+@pytest.mark.parametrize("part", [2048, 16])
+def test_clusters_held_together_by_chance_are_taken_apart(spark, monkeypatch, part):
+    """400 texts with two fifths of their grams in common, 15 of them with a near copy: one connected cluster of candidates, whose sets are not all compared."""
+    monkeypatch.setattr(jaccard, "BLOCK_DOCS", 8)
+    monkeypatch.setattr(jaccard, "BUCKET_PART", part)
+    written = {}
+
+    def noted(df, name, plain=jaccard.materialise):
+        written[name] = plain(df, name)
+        return written[name]
+
+    monkeypatch.setattr(jaccard, "materialise", noted)
+    rng = np.random.default_rng(23)
+    template = [f"w{i}" for i in range(104)]
+    docs = [[*template, *(f"v{x}" for x in rng.integers(0, 10**9, 75))] for _ in range(400)]
+    docs += [[*docs[i][:-3], "x", "y", f"z{i}"] for i in range(0, 150, 10)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(docs)]
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {r.doc_id: (r.class_id, r.n_links) for r in got} == brute_near(rows) and sum(r.n_links for r in got) == 30
+    assert written["large"].count() == 1 and written["members"].count() > 300  # without sketches each set would be copied for some 40 blocks
+    assert 30 <= written["verified"].count() < 100
+
+
+def test_sketches_miss_hardly_a_pair():
+    k = jaccard.least_equal(120, 0.8, 1e-5)
+    rng = np.random.default_rng(3)
+    assert (rng.binomial(120, 0.8, 1_000_000) < k).sum() <= 25 and (rng.binomial(120, 0.8, 1_000_000) < k + 3).sum() > 25
+    assert jaccard.least_equal(120, 1.0, 1e-5) == 120 and jaccard.least_equal(8, 0.8, 0.0) == 0
+
+
 def test_near_duplicate_edges(spark, odd, none):
     got = jaccard.near_duplicates(odd).collect()
     assert len(got) == len(ODD) + 1
@@ -982,6 +1012,36 @@ def test_backoff_with_small_tables(spark, documents, monkeypatch, entries):
     same_scores(backoff.backoff_scores(df).collect(), brute_backoff({d["doc_id"]: words(d["text"]) for d in few}, 2))
 
 
+def test_largest_counts_are_cut_in_a_bounded_number_of_rows(spark):
+    """None that is left out is commoner than the limit; only leading bits of counts are told apart."""
+    rng = np.random.default_rng(9)
+    n = [*range(1, 3000), *map(int, rng.integers(3000, 10**12, 2000)), *[7] * 4000]
+    grams = spark.createDataFrame([(int(g), 1, c) for g, c in zip(rng.integers(-(1 << 63), 1 << 63, len(n)), n, strict=True)], "gram long, level int, n long")
+    for most in (0, 1, 500, 4000, 6000, 20_000):
+        table, limit = backoff._largest(grams, 1, most)
+        inside = sorted(map(int, table.n))
+        left = Counter(n) - Counter(inside)
+        assert len(inside) <= most and len(inside) >= min(len(n), most) * 0.9 - 130 and max(left, default=0) <= limit, (most, len(inside), limit)
+        assert not inside or max(left, default=0) <= inside[0] * (1 + 2 / (1 << backoff.LEADING - 1)), most
+
+
+def test_phrases_of_long_documents_have_few_rows_a_slice(spark, monkeypatch):
+    """A bigram that no slice has three times is not in the table; its rows are as many as slices, of as many as these have bigrams."""
+    monkeypatch.setattr(backoff, "SLICE_BYTES", 2_000)
+    rng = np.random.default_rng(31)
+    texts = [" ".join([*(f"w{x}" for x in rng.integers(0, 200, 600)), "so", "it", "goes"]) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    seen = []
+
+    def noted(rows, key, plain=backoff._others):
+        seen.append(rows.groupBy(key).count().selectExpr("max(count) most", "sum(count) total").first() if key == "key" else None)
+        return plain(rows, key)
+
+    monkeypatch.setattr(backoff, "_others", noted)
+    same_scores(backoff.backoff_scores(df).collect(), brute_backoff({i: words(t) for i, t in enumerate(texts)}, 2))
+    assert seen[0].most <= 2 * 60 and seen[0].total > 100 * seen[0].most
+
+
 def test_backoff_joins_counts_by_hash(spark, documents):
     df = spark.createDataFrame([(d["doc_id"], d["text"]) for d in documents[:50]], "doc_id long, text string")
     plan = backoff.backoff_scores(df)._jdf.queryExecution().executedPlan().toString()
