@@ -74,3 +74,23 @@ def test_quiet_series_are_forgotten(spark, tmp_path):
         streaming.ingest(out, f"{folder}/out", f"{folder}/state").awaitTermination()
         hours = [r.LocalTimeSpan.hour for r in spark.read.schema(out.schema).parquet(f"{folder}/out").where("SensorTyId = 'x'").collect()]
         assert sorted(hours) == list(range(len(hours))) and (len(hours) == 18 if quiet is None else 4 <= len(hours) <= 18)
+
+
+@pytest.mark.parametrize(("name", "arrivals"), [("S-1", 3)])
+def test_arrivals_are_written_by_many_tasks(name, arrivals, spark, tmp_path):
+    """Each arrival comes as files of all tasks that read the events, not of one that reads them all."""
+    for path in SF.glob("*.parquet"):
+        if path.name != "events.parquet":
+            shutil.copy(path, tmp_path)
+    spark.read.parquet(f"{SF}/events.parquet").repartition(4).write.parquet(f"{tmp_path}/events.parquet")
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    known = set(shared.glob("arriving-*"))
+    at_once = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # a task for each file
+    try:
+        got = registry.queries()[name](spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", at_once)
+    assert len(got) == spark.read.parquet(f"{SF}/events.parquet").count()
+    (source,) = set(shared.glob("arriving-*")) - known
+    assert [len(list(source.glob(f"{k}/*.parquet"))) for k in range(arrivals)] == [4] * arrivals
