@@ -76,7 +76,7 @@ def test_quiet_series_are_forgotten(spark, tmp_path):
         assert sorted(hours) == list(range(len(hours))) and (len(hours) == 18 if quiet is None else 4 <= len(hours) <= 18)
 
 
-@pytest.mark.parametrize(("name", "arrivals"), [("S-1", 3)])
+@pytest.mark.parametrize(("name", "arrivals"), [("S-1", 3), ("S-4", 6)])
 def test_arrivals_are_written_by_many_tasks(name, arrivals, spark, tmp_path):
     """Each arrival comes as files of all tasks that read the events, not of one that reads them all."""
     for path in SF.glob("*.parquet"):
