@@ -88,3 +88,16 @@ def test_incremental_facts_equal_a_rebuild(spark, tmp_path):
     assert plain(spark.read.parquet(sensors).drop("LocalTimeSpan")) == plain(expected.readings)
     assert partials.update_facts(spark, rows.limit(0), dims, root, devices, sensors, "none", now) == {}
     rows.unpersist()
+
+
+def test_only_stored_days_are_merged(spark, tmp_path, monkeypatch):
+    """A second run shares one day with the first: sums of its other day, and those of the first run, are not merged again."""
+    rows = tables.readings(spark, SF).where(F.col("TimeSpan") < F.lit("2024-01-04").cast("timestamp_ntz"))
+    dims, now, merging, given = tables.dimensions(spark, SF), datetime(2027, 6, 1), partials.merged, []
+    monkeypatch.setattr(partials, "merged", lambda sums: given.append({str(r[0]) for r in sums.select("Fecha").distinct().collect()}) or merging(sums))
+    root, devices, sensors = (str(tmp_path / x) for x in ("root", "devices", "sensors"))
+    noon = F.col("TimeSpan") < F.lit("2024-01-02 12:00:00").cast("timestamp_ntz")
+    for k, part in enumerate((noon, ~noon)):
+        partials.update_facts(spark, rows.where(part), dims, root, devices, sensors, f"run-{k}", now)
+    assert len(given) == 1 and "2024-01-02" in given[0] and "2024-01-03" not in given[0], given
+    assert plain(spark.read.parquet(devices)) == plain(build_facts(rows, dims, now).devices)
